@@ -34,8 +34,12 @@ def cut(x, n: int) -> Column:
     return F.left(_c(x), F.lit(n))
 
 
+# ASCII whitespace, spelled out so Java regex and RE2 agree exactly.
+WS = r"[\t\n\x0B\f\r ]+"
+
+
 def collapse_ws(x) -> Column:
-    return F.trim(F.regexp_replace(_c(x), r"\s+", " "))
+    return F.trim(F.regexp_replace(_c(x), WS, " "))
 
 
 def words(x) -> Column:

@@ -125,3 +125,99 @@ def non_null_rows(spark, sf_dir):
 @register("extract_profile")
 def extract_profile(spark, sf_dir):
     return ex.extract_profile(ex.extract(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S))
+
+
+# -- answer parsing and decision rules on the stand-in answer column ----------
+
+from dealscope.functions import answers as ans  # noqa: E402
+from dealscope.operators import enrich as en  # noqa: E402
+from dealscope.settings import DIMENSIONS  # noqa: E402
+
+
+@register("parse_confidence")
+def parse_confidence(spark, sf_dir):
+    a = F.col("answer_text")
+    return _uc(spark, sf_dir).select(
+        "usecase_id", ans.score_of(a).alias("confidence_score"), ans.level_of(a).alias("confidence_level"),
+        ans.rationale_of(a, S.multiline_rationale).alias("rationale_for_confidence_score"))
+
+
+@register("parse_dimensions")
+def parse_dimensions(spark, sf_dir):
+    a = F.col("answer_text")
+    return _uc(spark, sf_dir).select(
+        "usecase_id", *[ans.dimension_of(a, d).alias(c) for d, c in zip(DIMENSIONS, ans.SCORE_COLUMNS)])
+
+
+def _parsed_extract(spark, sf_dir):
+    cols = ex.EXTRACT_COLUMNS + ("answer_text",)
+    e = ex.extract(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S, columns=cols)
+    return ans.parse_answer(e, "answer_text", "num_of_blockers", S)
+
+
+@register("blocker_override")
+def blocker_override(spark, sf_dir):
+    return _parsed_extract(spark, sf_dir).select(
+        "usecase_id", "num_of_blockers", "confidence_score", "confidence_level", "rationale_for_confidence_score")
+
+
+@register("normalize_level")
+def normalize_level(spark, sf_dir):
+    return _parsed_extract(spark, sf_dir).select(
+        "usecase_id", "confidence_score",
+        ans.normalized_level(F.col("confidence_score"), S).alias("confidence_level_normalized"))
+
+
+@register("level_histogram")
+def level_histogram(spark, sf_dir):
+    return (_parsed_extract(spark, sf_dir)
+            .groupBy(ans.normalized_level(F.col("confidence_score"), S).alias("confidence_level_normalized"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("weighted_score")
+def weighted_score(spark, sf_dir):
+    a = F.col("answer_text")
+    dims = {d: ans.dimension_of(a, d) for d in DIMENSIONS}
+    return _uc(spark, sf_dir).select("usecase_id", ans.weighted_score(dims, S).alias("weighted_score"))
+
+
+# -- enrichment (rule backend) -------------------------------------------------
+
+def _enriched(spark, sf_dir, keep_inputs: bool = False):
+    return en.enrich(ex.extract(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S), S, keep_inputs=keep_inputs)
+
+
+@register("enriched_results")
+def enriched_results(spark, sf_dir):
+    return _enriched(spark, sf_dir)
+
+
+def _stage_query(name: str, *cols: str):
+    def q(spark, sf_dir):
+        return _enriched(spark, sf_dir).select("usecase_id", *cols)
+    register(name)(q)
+    return q
+
+
+_stage_query("infer_context", "context")
+_stage_query("infer_one_liner", "one_liner")
+_stage_query("infer_next_steps", "next_steps_summary")
+_stage_query("infer_implementation", "implementation_notes_summary")
+_stage_query("infer_blockers", "blockers_summary")
+_stage_query("classify_usecase_type", "usecase_type")
+_stage_query("label_business_usecase", "business_usecase_type")
+_stage_query("gen_soundbyte", "soundbyte")
+_stage_query("assess_confidence", "ai_confidence_score_advanced", "confidence_score", "confidence_level",
+             "rationale_for_confidence_score")
+_stage_query("recommend_action", "next_best_action_recommendation")
+_stage_query("classify_slippage", "likely_to_slip", "slippage_category")
+_stage_query("classify_acceleration", "can_be_accelerated", "accel_category")
+_stage_query("risk_flags", "confidence_level_normalized", "likely_to_slip", "can_be_accelerated")
+
+
+@register("level_disagreement")
+def level_disagreement(spark, sf_dir):
+    return _enriched(spark, sf_dir).select(
+        "usecase_id", "confidence_level", "confidence_level_normalized",
+        (~F.col("confidence_level").eqNullSafe(F.col("confidence_level_normalized"))).alias("levels_disagree"))

@@ -66,3 +66,73 @@ SQL["non_null_rows"] = _uc(
 SQL["extract_profile"] = _uc(
     "SELECT count(*) AS new_usecases_count, min(last_modified_date) AS oldest_modified, "
     "max(last_modified_date) AS newest_modified FROM ex", ("ex", extract_sql(FIXTURE_WATERMARK, S)))
+
+
+# -- answer parsing and decision rules ------------------------------------------
+
+from dealscope.functions.answers import SCORE_COLUMNS  # noqa: E402
+from dealscope.settings import DIMENSIONS, OVERRIDE_RATIONALE  # noqa: E402
+from oracle.enrich import enriched_ctes  # noqa: E402
+
+_A = "answer_text"
+_SCORE = f"TRY_CAST(regexp_extract({_A}, 'CONFIDENCE_SCORE:\\s*(\\d+)', 1) AS INTEGER)"
+_LEVEL = f"regexp_extract({_A}, 'LEVEL:\\s*(High|Medium|Low)', 1)"
+_RAT = f"regexp_extract({_A}, 'RATIONALE:\\s*(.+?)\\s*DIMENSION_SCORES:', 1)"
+
+
+def _dim(k):
+    return f"TRY_CAST(regexp_extract({_A}, '{k}=(\\d+)', 1) AS INTEGER)"
+
+
+SQL["parse_confidence"] = _uc(
+    f"SELECT usecase_id, {_SCORE} AS confidence_score, {_LEVEL} AS confidence_level, "
+    f"{_RAT} AS rationale_for_confidence_score FROM usecases")
+SQL["parse_dimensions"] = _uc(
+    "SELECT usecase_id, " + ", ".join(f"{_dim(k)} AS {c}" for k, c in zip(DIMENSIONS, SCORE_COLUMNS))
+    + " FROM usecases")
+
+_OVER = f"COALESCE(num_of_blockers, 0) > {S.blocker_override_above}"
+_PX = ("px", f"""SELECT e.*, u.answer_text FROM ex e JOIN usecases u USING (usecase_id)""")
+_PARSED = ("parsed", f"""SELECT *,
+  CASE WHEN {_OVER} THEN {S.override_score} ELSE {_SCORE} END AS confidence_score,
+  CASE WHEN {_OVER} THEN 'Low' ELSE {_LEVEL} END AS confidence_level,
+  CASE WHEN {_OVER} THEN {q(OVERRIDE_RATIONALE)} ELSE {_RAT} END AS rationale_for_confidence_score
+FROM px""")
+_NORM = (f"CASE WHEN confidence_score >= {S.high_threshold} THEN 'High' WHEN confidence_score >= "
+         f"{S.medium_threshold} THEN 'Medium' WHEN confidence_score IS NOT NULL THEN 'Low' ELSE 'Not computed' END")
+_EX = ("ex", extract_sql(FIXTURE_WATERMARK, S))
+
+SQL["blocker_override"] = _uc(
+    "SELECT usecase_id, num_of_blockers, confidence_score, confidence_level, rationale_for_confidence_score "
+    "FROM parsed", _EX, _PX, _PARSED)
+SQL["normalize_level"] = _uc(
+    f"SELECT usecase_id, confidence_score, {_NORM} AS confidence_level_normalized FROM parsed", _EX, _PX, _PARSED)
+SQL["level_histogram"] = _uc(
+    f"SELECT {_NORM} AS confidence_level_normalized, count(*) AS n FROM parsed GROUP BY 1", _EX, _PX, _PARSED)
+_RAW = " + ".join(f"COALESCE({_dim(k)}, 0) * ({S.weights_pct[k]})" for k in DIMENSIONS)
+SQL["weighted_score"] = _uc(
+    f"SELECT usecase_id, CAST(floor((greatest(0, least(1000, {_RAW})) + 50) / 100) * 10 AS INTEGER) "
+    "AS weighted_score FROM usecases")
+
+
+def _enr(body: str, *more) -> str:
+    return _uc(body, _EX, *enriched_ctes(S), *more)
+
+
+SQL["enriched_results"] = _enr("SELECT * FROM enr")
+for _name, _cols in {
+    "infer_context": "context", "infer_one_liner": "one_liner", "infer_next_steps": "next_steps_summary",
+    "infer_implementation": "implementation_notes_summary", "infer_blockers": "blockers_summary",
+    "classify_usecase_type": "usecase_type", "label_business_usecase": "business_usecase_type",
+    "gen_soundbyte": "soundbyte",
+    "assess_confidence": "ai_confidence_score_advanced, confidence_score, confidence_level, "
+                         "rationale_for_confidence_score",
+    "recommend_action": "next_best_action_recommendation",
+    "classify_slippage": "likely_to_slip, slippage_category",
+    "classify_acceleration": "can_be_accelerated, accel_category",
+    "risk_flags": "confidence_level_normalized, likely_to_slip, can_be_accelerated",
+}.items():
+    SQL[_name] = _enr(f"SELECT usecase_id, {_cols} FROM enr")
+SQL["level_disagreement"] = _enr(
+    "SELECT usecase_id, confidence_level, confidence_level_normalized, "
+    "confidence_level IS DISTINCT FROM confidence_level_normalized AS levels_disagree FROM enr")
