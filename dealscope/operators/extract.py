@@ -99,14 +99,17 @@ def blockers_default() -> Column:
 
 def extract(source: DataFrame, watermark, settings: Settings = DEFAULT,
             columns=EXTRACT_COLUMNS) -> DataFrame:
-    """Incremental extract: rows changed after ``watermark`` that pass the
-    value, stage, window and recency filters, projected to ``columns``.
+    """Incremental extract: rows changed after ``watermark`` (``None``: no
+    watermark) that pass the value, stage, window and recency filters,
+    projected to ``columns``.
 
     No ORDER BY: ordering inside a pipeline is a wasted global sort; callers
     sort terminal outputs only.
     """
-    cond = (changed_since(watermark, settings.inclusive_watermark) & value_at_least(settings)
-            & stage_allowed(settings) & live_in_window(settings) & recently_modified(settings))
+    cond = (value_at_least(settings) & stage_allowed(settings) & live_in_window(settings)
+            & recently_modified(settings))
+    if watermark is not None:
+        cond = changed_since(watermark, settings.inclusive_watermark) & cond
     out = source.where(cond)
     proj = [blockers_default().alias("num_of_blockers") if c == "num_of_blockers" else F.col(c)
             for c in columns]

@@ -221,3 +221,246 @@ def level_disagreement(spark, sf_dir):
     return _enriched(spark, sf_dir).select(
         "usecase_id", "confidence_level", "confidence_level_normalized",
         (~F.col("confidence_level").eqNullSafe(F.col("confidence_level_normalized"))).alias("levels_disagree"))
+
+
+# -- target lifecycle: watermark, upsert, change feed, bootstrap, runs ----------
+
+from dealscope.operators import rollup as ru  # noqa: E402
+from dealscope.operators import upsert as up  # noqa: E402
+from dealscope.plans import incremental as inc  # noqa: E402
+from dealscope.plans import reporting as rp  # noqa: E402
+from dealscope.sources.target import conform  # noqa: E402
+
+
+def _v0(spark, sf_dir):
+    return inc.fixture_target_v0(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S)
+
+
+def _batch(spark, sf_dir, target=None):
+    target = _v0(spark, sf_dir) if target is None else target
+    wm = ex.watermark(target, S)
+    return conform(inc.incremental_batch(_uc(spark, sf_dir), wm, S))
+
+
+@register("watermark_read")
+def watermark_read(spark, sf_dir):
+    return ex.watermark_frame(_v0(spark, sf_dir), S)
+
+
+@register("upsert_newer_wins")
+def upsert_newer_wins(spark, sf_dir):
+    v0 = _v0(spark, sf_dir)
+    return up.upsert(v0, _batch(spark, sf_dir, v0))
+
+
+@register("upsert_actions")
+def upsert_actions(spark, sf_dir):
+    v0 = _v0(spark, sf_dir)
+    return up.upsert_actions(v0, _batch(spark, sf_dir, v0))
+
+
+@register("change_feed")
+def change_feed(spark, sf_dir):
+    v0 = _v0(spark, sf_dir)
+    return up.change_feed(v0, _batch(spark, sf_dir, v0))
+
+
+@register("incremental_run")
+def incremental_run(spark, sf_dir):
+    return inc.incremental_state(_v0(spark, sf_dir), _uc(spark, sf_dir), S)
+
+
+@register("full_refresh_run")
+def full_refresh_run(spark, sf_dir):
+    return inc.full_refresh(_uc(spark, sf_dir), S)
+
+
+@register("bootstrap_target")
+def bootstrap_target(spark, sf_dir):
+    return inc.bootstrap_from_wide(inc.full_refresh(_uc(spark, sf_dir), S), S)
+
+
+def _state(spark, sf_dir):
+    return incremental_run(spark, sf_dir)
+
+
+@register("verification_counts")
+def verification_counts(spark, sf_dir):
+    return rp.verification_counts(_state(spark, sf_dir), S)
+
+
+@register("rows_per_run")
+def rows_per_run(spark, sf_dir):
+    return rp.rows_per_run(_state(spark, sf_dir))
+
+
+@register("recent_top10")
+def recent_top10(spark, sf_dir):
+    return rp.recent_top(_state(spark, sf_dir), S, 10)
+
+
+# -- reporting views -----------------------------------------------------------
+
+def _view(spark, sf_dir):
+    return rp.reporting_view(_state(spark, sf_dir), _uc(spark, sf_dir), S)
+
+
+@register("reporting_view")
+def reporting_view(spark, sf_dir):
+    return _view(spark, sf_dir)
+
+
+@register("radar_view")
+def radar_view(spark, sf_dir):
+    return rp.radar_view(_state(spark, sf_dir), _uc(spark, sf_dir), S)
+
+
+# -- roll-ups --------------------------------------------------------------------
+
+@register("field_manager_summary")
+def field_manager_summary(spark, sf_dir):
+    return ru.manager_summary(_view(spark, sf_dir), "field_manager", spark, S).orderBy("field_manager")
+
+
+@register("sales_manager_summary")
+def sales_manager_summary(spark, sf_dir):
+    d = fx.directory(spark, sf_dir, S)
+    return ru.manager_summary(_view(spark, sf_dir), "sales_manager", spark, S, directory=d).orderBy("sales_manager")
+
+
+@register("field_manager_summary_with_directory")
+def field_manager_summary_with_directory(spark, sf_dir):
+    d = fx.directory(spark, sf_dir, S)
+    return ru.manager_summary(_view(spark, sf_dir), "field_manager", spark, S, directory=d)
+
+
+@register("sales_manager_summary_basic")
+def sales_manager_summary_basic(spark, sf_dir):
+    return ru.manager_summary(_view(spark, sf_dir), "sales_manager", spark, S, contact_columns=False)
+
+
+def _fm_cols(*cols):
+    def q(spark, sf_dir):
+        agg = ru.category_aggregate(_view(spark, sf_dir), "field_manager", S)
+        return ru.manager_kpis(agg, "field_manager").select("field_manager", *cols)
+    return q
+
+
+register("manager_totals")(_fm_cols("total_use_cases", "total_estimated_monthly_value"))
+register("manager_representatives")(_fm_cols("snapshot_date", "sales_region", "sales_subregion_level_1",
+                                             "sales_subregion_level_2", "sales_subregion_level_3",
+                                             "sales_subregion_level_4"))
+register("manager_confidence_mix")(_fm_cols("total_use_cases", "high_confidence_count", "high_confidence_pct",
+                                            "medium_confidence_count", "medium_confidence_pct",
+                                            "low_confidence_count", "low_confidence_pct"))
+register("manager_slip_exposure")(_fm_cols("slip_usecase_count", "slip_total_monthly_value"))
+register("manager_accel_exposure")(_fm_cols("accel_usecase_count", "accel_total_monthly_value"))
+register("manager_stale")(_fm_cols("stale_usecase_count", "stale_total_monthly_value", "u3_stale_usecase_count",
+                                   "u3_stale_total_monthly_value", "u5_stale_usecase_count",
+                                   "u5_stale_total_monthly_value"))
+register("manager_blockers")(_fm_cols("one_blocker_usecase_count", "one_blocker_total_monthly_value",
+                                      "threeplus_blocker_usecase_count", "threeplus_blocker_total_monthly_value"))
+register("manager_cloud_slice")(_fm_cols("cloud_medhigh_usecase_count", "cloud_medhigh_total_monthly_value"))
+
+
+@register("category_counts")
+def category_counts(spark, sf_dir):
+    agg = ru.category_aggregate(_view(spark, sf_dir), "sales_manager", S)
+    return agg.where(F.col("dim") != ru.ALL).select(
+        "sales_manager", "dim", "category", F.col("n").alias("usecase_count"),
+        F.col("value").cast("double").alias("monthly_value"))
+
+
+def _top(dim):
+    def q(spark, sf_dir):
+        agg = ru.category_aggregate(_view(spark, sf_dir), "field_manager", S)
+        return (ru.ranked_categories(agg, "field_manager").where(F.col("dim") == dim)
+                .select("field_manager", "category", F.col("n").alias("usecase_count"),
+                        F.col("value").cast("double").alias("monthly_value"), "rn"))
+    return q
+
+
+register("top_usecase_types")(_top("usecase_type"))
+register("top_slippage")(_top("slippage"))
+register("top_acceleration")(_top("accel"))
+register("top_verticals")(_top("vertical"))
+
+
+@register("top3_slots")
+def top3_slots(spark, sf_dir):
+    cols = [n for n, _ in ru.slot_columns()]
+    return sales_manager_summary_basic(spark, sf_dir).select("sales_manager", *cols)
+
+
+@register("category_descriptions")
+def category_descriptions(spark, sf_dir):
+    cols = [f"top{k}_{c}" for k in (1, 2, 3) for c in ("slippage_category", "slippage_category_description",
+                                                       "accel_category", "accel_category_description")]
+    return field_manager_summary(spark, sf_dir).select("field_manager", *cols)
+
+
+@register("directory_join")
+def directory_join(spark, sf_dir):
+    return sales_manager_summary(spark, sf_dir).select("sales_manager", "email", "email_status")
+
+
+@register("slippage_lookup")
+def slippage_lookup_counts(spark, sf_dir):
+    counts = _state(spark, sf_dir).groupBy(F.col("slippage_category").alias("type")).agg(
+        F.count(F.lit(1)).alias("usecase_count"))
+    return ru.slippage_lookup(spark).join(counts, "type", "left").select(
+        "type", "description", F.coalesce("usecase_count", F.lit(0)).alias("usecase_count"))
+
+
+@register("acceleration_lookup")
+def acceleration_lookup_counts(spark, sf_dir):
+    counts = _state(spark, sf_dir).groupBy(F.col("accel_category").alias("type")).agg(
+        F.count(F.lit(1)).alias("usecase_count"))
+    return ru.acceleration_lookup(spark).join(counts, "type", "left").select(
+        "type", "description", F.coalesce("usecase_count", F.lit(0)).alias("usecase_count"))
+
+
+# -- scalar text operators ---------------------------------------------------------
+
+@register("strip_html_notes")
+def strip_html_notes(spark, sf_dir):
+    pages = fx.table(spark, sf_dir, "pages")
+    return pages.select("page_id", tx.strip_html("html", S.cut_notes_at).alias("notes"))
+
+
+def _managers(spark, sf_dir):
+    u = _uc(spark, sf_dir)
+    return (u.select(F.col("field_manager").alias("manager"))
+            .unionByName(u.select(F.col("sales_manager").alias("manager")))
+            .distinct())
+
+
+@register("name_parts")
+def name_parts(spark, sf_dir):
+    m = F.col("manager")
+    return _managers(spark, sf_dir).select("manager", tx.name_first(m).alias("name"), tx.name_last(m).alias("surname"))
+
+
+@register("generated_contact")
+def generated_contact_q(spark, sf_dir):
+    m = F.col("manager")
+    return _managers(spark, sf_dir).select("manager", tx.generated_contact(m, S).alias("generated_email"))
+
+
+@register("contact_resolution")
+def contact_resolution(spark, sf_dir):
+    return sales_manager_summary(spark, sf_dir).select("sales_manager", "name", "surname", "generated_email",
+                                                       "email", "email_status")
+
+
+TEMPLATE = "Account {account}: {one_liner} Type: {usecase_type}. Stage {stage}."
+
+
+@register("template_fill")
+def template_fill(spark, sf_dir):
+    e = _enriched(spark, sf_dir, keep_inputs=True)
+    st = _uc(spark, sf_dir).select("usecase_id", "stage")
+    j = e.join(st, "usecase_id")
+    filled = tx.template_fill(TEMPLATE, {"account": F.col("account_name"), "one_liner": F.col("one_liner"),
+                                         "usecase_type": F.col("usecase_type"), "stage": F.col("stage")})
+    return j.select("usecase_id", filled.alias("filled"))

@@ -121,11 +121,11 @@ def extract_sql(watermark, s: Settings = DEFAULT) -> str:
     from dealscope.operators.extract import EXTRACT_COLUMNS
     cols = ",\n  ".join("COALESCE(num_of_blockers, 0) AS num_of_blockers" if c == "num_of_blockers" else c
                         for c in EXTRACT_COLUMNS)
+    wm = "" if watermark is None else f"last_modified_date {op} {d(watermark)} AND "
     return f"""SELECT
   {cols}
 FROM usecases
-WHERE last_modified_date {op} {d(watermark)}
-  AND {lookahead_sql(s)}
+WHERE {wm}{lookahead_sql(s)}
   AND {recency_sql(s)}"""
 
 

@@ -52,8 +52,9 @@ def s_(x):
     return f"CAST({x} AS VARCHAR)"
 
 
-def enriched_ctes(s: Settings = DEFAULT, src: str = "ex") -> list[tuple[str, str]]:
-    """CTEs l1..l5 + ``enr`` (31 target columns) on top of an extract CTE."""
+def enriched_ctes(s: Settings = DEFAULT, src: str = "ex", prefix: str = "") -> list[tuple[str, str]]:
+    """CTEs l1..l5 + ``enr`` (31 target columns) on top of an extract CTE;
+    ``prefix`` renames every CTE so two chains can live in one query."""
     ctx_content = (
         f"'Main contact: ' || COALESCE(trim(ae_authority), 'not specified.') || "
         f"' Funding: ' || COALESCE(trim(ae_money_budget), 'not specified.') || "
@@ -171,5 +172,11 @@ FROM pn"""
   {d(s.as_of)} AS processed_date
 FROM l4"""
     enr = "SELECT " + ", ".join(en.ENRICHED_COLUMNS) + " FROM l5"
-    return [("l1", l1), ("l2", l2), ("l3a", l3a), ("l3b", l3b), ("l3", l3), ("p", p), ("pn", pn),
+    ctes = [("l1", l1), ("l2", l2), ("l3a", l3a), ("l3b", l3b), ("l3", l3), ("p", p), ("pn", pn),
             ("l4", l4), ("l5", l5), ("enr", enr)]
+    if not prefix:
+        return ctes
+    import re
+    names = [n for n, _ in ctes]
+    pat = re.compile(r"\bFROM (" + "|".join(names) + r")\b")
+    return [(prefix + n, pat.sub(lambda m: "FROM " + prefix + m.group(1), body)) for n, body in ctes]

@@ -136,3 +136,147 @@ for _name, _cols in {
 SQL["level_disagreement"] = _enr(
     "SELECT usecase_id, confidence_level, confidence_level_normalized, "
     "confidence_level IS DISTINCT FROM confidence_level_normalized AS levels_disagree FROM enr")
+
+
+# -- lifecycle, views, roll-ups -------------------------------------------------------
+
+from dealscope.operators.rollup import slot_columns  # noqa: E402
+from dealscope.plans.queries import TEMPLATE  # noqa: E402
+from oracle.enrich import strip as _strip  # noqa: E402
+from oracle.reporting import (COLS, KPI_NAMES, directory_sql, lookups_ctes, money, radar_ctes,  # noqa: E402
+                              rollup_ctes, rollup_select, state_ctes, view_ctes)
+
+
+def _st(body: str, *more) -> str:
+    return with_(*state_ctes(S), *more, body=body)
+
+
+def _rv(body: str, *more) -> str:
+    return with_(*view_ctes(S), *more, body=body)
+
+
+SQL["watermark_read"] = _st(f"SELECT COALESCE(max(processed_date), {d(S.watermark_default)}) AS watermark FROM v0")
+SQL["upsert_newer_wins"] = _st("SELECT * FROM state")
+SQL["upsert_actions"] = _st("SELECT _action AS action, count(*) AS n FROM cls GROUP BY 1")
+SQL["change_feed"] = _st(f"""SELECT {COLS}, CASE WHEN _action = 'insert' THEN 'insert' ELSE 'update_postimage' END
+  AS _change_type FROM cls WHERE _action <> 'unchanged'
+UNION ALL
+SELECT {COLS}, 'update_preimage' AS _change_type FROM v0
+WHERE EXISTS (SELECT 1 FROM cls WHERE cls._action = 'update' AND cls.usecase_id = v0.usecase_id)""")
+SQL["incremental_run"] = _st("SELECT * FROM state")
+SQL["verification_counts"] = _st("""SELECT * FROM (VALUES
+  ('Total Records', (SELECT count(*) FROM state)),
+  ('Records with AI Enrichment', (SELECT count(*) FROM state WHERE context IS NOT NULL)),
+  ('Records with Confidence Score', (SELECT count(*) FROM state WHERE confidence_score IS NOT NULL)),
+  ('High Confidence', (SELECT count(*) FROM state WHERE confidence_level_normalized = 'High')),
+  ('Medium Confidence', (SELECT count(*) FROM state WHERE confidence_level_normalized = 'Medium')),
+  ('Low Confidence', (SELECT count(*) FROM state WHERE confidence_level_normalized = 'Low'))
+) t(metric, count)""")
+SQL["rows_per_run"] = _st("SELECT processed_date, count(*) AS n FROM state GROUP BY ALL")
+SQL["recent_top10"] = _st(f"""SELECT usecase_id, one_liner, confidence_score, confidence_level_normalized,
+  usecase_type, business_usecase_type, likely_to_slip, slippage_category, can_be_accelerated, accel_category,
+  last_modified_date, processed_date
+FROM state WHERE processed_date = {d(S.as_of)}
+ORDER BY confidence_score DESC NULLS LAST, usecase_id ASC LIMIT 10""")
+
+# full refresh: every in-scope row, all source columns with defaults, + enrichment
+_FR_SRC = f"""SELECT * EXCLUDE (field_manager, account_solution_architect, sales_region, num_of_blockers,
+    sales_manager),
+  COALESCE(field_manager, 'FLM not assigned') AS field_manager,
+  COALESCE(account_solution_architect, 'SA not assigned') AS account_solution_architect,
+  COALESCE(sales_manager, 'Sales Manager not assigned') AS sales_manager,
+  COALESCE(sales_region, business_unit, 'No assigned') AS sales_region,
+  COALESCE(num_of_blockers, 0) AS num_of_blockers,
+  {stale_sql(S)} AS is_stale
+FROM usecases WHERE {lookahead_sql(S)} AND {recency_sql(S)}"""
+_FR = [("fr", _FR_SRC), *enriched_ctes(S, "fr", "fr_")]
+SQL["full_refresh_run"] = _uc("SELECT * EXCLUDE (_d_Pain, _d_Champion, _d_ImplementationPlan, _d_DecisionProcess, "
+                              "_d_Urgency, _d_CompetitionAwareness, _d_MajorBlockers, _d_MeasurableImpact, _score) "
+                              "FROM fr_l5", *_FR)
+SQL["bootstrap_target"] = _uc(
+    f"SELECT * REPLACE (CAST({d(S.as_of)} - 1 AS DATE) AS processed_date) FROM fr_enr", *_FR)
+
+SQL["reporting_view"] = _rv("SELECT * FROM rv")
+SQL["radar_view"] = with_(*radar_ctes(S), body="SELECT * FROM radar")
+
+_LK = lookups_ctes()
+_DIR = ("directory", directory_sql(S))
+
+
+def _roll(m: str, body: str, *more) -> str:
+    return _rv(body, *_LK, _DIR, *rollup_ctes(m, S), *more)
+
+
+SQL["field_manager_summary"] = _roll("field_manager", rollup_select("field_manager", S))
+SQL["sales_manager_summary"] = _roll("sales_manager", rollup_select("sales_manager", S, directory=True))
+SQL["field_manager_summary_with_directory"] = _roll("field_manager",
+                                                    rollup_select("field_manager", S, directory=True))
+SQL["sales_manager_summary_basic"] = _roll("sales_manager", rollup_select("sales_manager", S, contact=False))
+
+
+def _fm(*cols):
+    return _roll("field_manager", f"SELECT field_manager, {', '.join(cols)} FROM summary")
+
+
+SQL["manager_totals"] = _fm("total_use_cases", "total_estimated_monthly_value")
+SQL["manager_representatives"] = _fm("snapshot_date", "sales_region", *[f"sales_subregion_level_{i}"
+                                                                        for i in range(1, 5)])
+SQL["manager_confidence_mix"] = _fm("total_use_cases", *[f"{lvl}_confidence_{x}" for lvl in ("high", "medium", "low")
+                                                         for x in ("count", "pct")])
+SQL["manager_slip_exposure"] = _fm("slip_usecase_count", "slip_total_monthly_value")
+SQL["manager_accel_exposure"] = _fm("accel_usecase_count", "accel_total_monthly_value")
+SQL["manager_stale"] = _fm(*[f"{n}_{x}" for n in ("stale", "u3_stale", "u5_stale")
+                             for x in ("usecase_count", "total_monthly_value")])
+SQL["manager_blockers"] = _fm(*[f"{n}_{x}" for n in ("one_blocker", "threeplus_blocker")
+                                for x in ("usecase_count", "total_monthly_value")])
+SQL["manager_cloud_slice"] = _fm("cloud_medhigh_usecase_count", "cloud_medhigh_total_monthly_value")
+SQL["category_counts"] = _rv(f"""SELECT sales_manager, 'usecase_type' AS dim, usecase_type AS category,
+  count(*) AS usecase_count, {money('estimated_monthly_value')} AS monthly_value FROM rv GROUP BY 1, 3
+UNION ALL SELECT sales_manager, 'slippage', slippage_category, count(*), {money('estimated_monthly_value')}
+  FROM rv WHERE likely_to_slip = TRUE GROUP BY 1, 3
+UNION ALL SELECT sales_manager, 'accel', accel_category, count(*), {money('estimated_monthly_value')}
+  FROM rv WHERE can_be_accelerated = TRUE GROUP BY 1, 3
+UNION ALL SELECT sales_manager, 'vertical', vertical, count(*), {money('estimated_monthly_value')}
+  FROM rv GROUP BY 1, 3""")
+for _q, _t in (("top_usecase_types", "r_type"), ("top_slippage", "r_slip"), ("top_acceleration", "r_accel"),
+               ("top_verticals", "r_vert")):
+    SQL[_q] = _roll("field_manager", f"SELECT field_manager, category, n AS usecase_count, value AS monthly_value, "
+                                     f"rn FROM {_t} WHERE rn <= 3")
+SQL["top3_slots"] = _roll("sales_manager", "SELECT sales_manager, " + ", ".join(n for n, _ in slot_columns())
+                          + " FROM fms", ("fms", rollup_select("sales_manager", S, contact=False)))
+_DESC = [f"top{k}_{c}" for k in (1, 2, 3) for c in ("slippage_category", "slippage_category_description",
+                                                    "accel_category", "accel_category_description")]
+SQL["category_descriptions"] = _roll("field_manager", "SELECT field_manager, " + ", ".join(_DESC) + " FROM fms",
+                                     ("fms", rollup_select("field_manager", S)))
+SQL["directory_join"] = _roll("sales_manager", "SELECT sales_manager, email, email_status FROM sms",
+                              ("sms", rollup_select("sales_manager", S, directory=True)))
+SQL["contact_resolution"] = _roll("sales_manager", "SELECT sales_manager, name, surname, generated_email, email, "
+                                                   "email_status FROM sms",
+                                  ("sms", rollup_select("sales_manager", S, directory=True)))
+SQL["slippage_lookup"] = _st("""SELECT l.type, l.description, COALESCE(c.n, 0) AS usecase_count
+FROM slippage_categories l LEFT JOIN (SELECT slippage_category AS type, count(*) AS n FROM state GROUP BY 1) c
+  ON l.type = c.type""", *_LK)
+SQL["acceleration_lookup"] = _st("""SELECT l.type, l.description, COALESCE(c.n, 0) AS usecase_count
+FROM acceleration_categories l LEFT JOIN (SELECT accel_category AS type, count(*) AS n FROM state GROUP BY 1) c
+  ON l.type = c.type""", *_LK)
+
+SQL["strip_html_notes"] = f"SELECT page_id, {_strip('html', S.cut_notes_at)} AS notes FROM pages"
+_MGR = ("mgr", "SELECT DISTINCT manager FROM (SELECT field_manager AS manager FROM usecases "
+               "UNION ALL SELECT sales_manager FROM usecases)")
+SQL["name_parts"] = _uc("SELECT manager, string_split(manager, ' ')[1] AS name, string_split(manager, ' ')[-1] "
+                        "AS surname FROM mgr", _MGR)
+SQL["generated_contact"] = _uc(
+    f"SELECT manager, lower(string_split(manager, ' ')[1]) || '.' || lower(string_split(manager, ' ')[-1]) || "
+    f"{q('@' + S.email_domain)} AS generated_email FROM mgr", _MGR)
+
+
+def _template_sql() -> str:
+    out = q(TEMPLATE)
+    for slot, col in (("account", "e.account_name"), ("one_liner", "e.one_liner"),
+                      ("usecase_type", "e.usecase_type"), ("stage", "u.stage")):
+        out = f"replace({out}, {q('{' + slot + '}')}, COALESCE({col}, ''))"
+    return out
+
+
+SQL["template_fill"] = _uc(f"SELECT e.usecase_id, {_template_sql()} AS filled FROM l5 e "
+                           "JOIN usecases u ON e.usecase_id = u.usecase_id", _EX, *enriched_ctes(S))
