@@ -315,7 +315,24 @@ ENRICHED_COLUMNS = (
 )
 
 
+_STAGES: dict = {}
+
+
+def _stage_set(s: Settings) -> dict:
+    """All stage definitions for ``s``, built once (expression trees are
+    immutable and cost driver round trips to build)."""
+    key = repr(s)
+    if key not in _STAGES:
+        _STAGES[key] = {"levels": _stage_levels(s), "action": action_stage(s),
+                        "reasons": [slippage_stage(s), acceleration_stage(s)]}
+    return _STAGES[key]
+
+
 def stage_levels(s: Settings = DEFAULT) -> list[list[Stage]]:
+    return _stage_set(s)["levels"]
+
+
+def _stage_levels(s: Settings) -> list[list[Stage]]:
     return [
         [context_stage(s), next_steps_stage(s), implementation_stage(s), blockers_stage(s),
          usecase_type_stage(s), business_label_stage(s)],
@@ -335,17 +352,23 @@ def enrich(extract_df: DataFrame, settings: Settings = DEFAULT, backend: Backend
     """
     s = settings
     df = extract_df
-    levels = stage_levels(s)
-    for lvl in levels:
+    parts = s.enrich_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts > 1:
+        # Spread the CPU-heavy stage chain over the cluster by key (filters
+        # can leave the surviving rows in a few scan partitions).  The key
+        # joins downstream (upsert, reporting) reuse this partitioning.
+        df = df.repartition(parts, key)
+    stages = _stage_set(s)
+    for lvl in stages["levels"]:
         df = apply_level(df, key, lvl, backend, **infer_opts)
     df = ans.parse_answer(df, "ai_confidence_score_advanced", "num_of_blockers", s)
     df = df.withColumn("confidence_level_normalized", ans.normalized_level(F.col("confidence_score"), s))
-    df = apply_level(df, key, [action_stage(s)], backend, **infer_opts)
+    df = apply_level(df, key, [stages["action"]], backend, **infer_opts)
     df = df.withColumns({
         "likely_to_slip": ans.slip_flag(F.col("confidence_level_normalized")),
         "can_be_accelerated": ans.accel_flag(F.col("confidence_level_normalized")),
     })
-    df = apply_level(df, key, [slippage_stage(s), acceleration_stage(s)], backend, **infer_opts)
+    df = apply_level(df, key, stages["reasons"], backend, **infer_opts)
     df = df.withColumn("processed_date", F.lit(s.as_of))
     if keep_inputs:
         return df

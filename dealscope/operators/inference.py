@@ -39,12 +39,20 @@ def rule_summarize(content: Column, max_words: int) -> Column:
 
 def rule_classify(content: Column, labels: Sequence[tuple[str, Sequence[str]]]) -> Column:
     """Closed-set classifier: the label with most distinct keyword hits
-    (ties -> earlier label), NULL when nothing matches.  One projection."""
-    toks = F.array_distinct(tokens(content))
+    (ties -> earlier label), NULL when nothing matches.  One projection.
+
+    The text's tokens are intersected once with the whole vocabulary (one
+    hash-set pass over the text); the per-label counts then work on that
+    handful of matched keywords only."""
+    vocab = sorted({w for _, kws in labels for w in kws})
+    if not vocab:
+        return F.lit(None).cast("string")
+    matched = F.array_intersect(tokens(content), F.array(*[F.lit(w) for w in vocab]))
+
     def hits(kws):
         if not kws:
             return F.lit(0)
-        return F.size(F.array_intersect(toks, F.array(*[F.lit(w) for w in kws])))
+        return F.size(F.array_intersect(matched, F.array(*[F.lit(w) for w in kws])))
     scored = [F.struct(hits(kws).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
               for i, (label, kws) in enumerate(labels)]
     best = F.array_max(F.array(*scored))

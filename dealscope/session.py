@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 _BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -17,9 +18,10 @@ _BASE_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dealscope") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dealscope",
+                  driver_memory: str = "16g") -> SparkSession:
     """Local session for tests and the benchmark (never used on a cluster)."""
-    b = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    b = SparkSession.builder.master(f"local[{cores}]").appName(app).config("spark.driver.memory", driver_memory)
     for k, v in _BASE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

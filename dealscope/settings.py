@@ -126,7 +126,7 @@ class Settings:
     multiline_rationale: bool = False
     cut_notes_at: int = 2000
     cut_reason_at: int = 200
-    shuffle_partitions: int | None = None
+    enrich_partitions: int | None = None  # None -> spark.sql.shuffle.partitions
     weights_pct: dict = field(default_factory=lambda: dict(DIMENSION_WEIGHTS_PCT))
 
     @property

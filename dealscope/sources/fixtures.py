@@ -27,8 +27,24 @@ ANSWER_DIMENSION_FACTORS = (1, 3, 5, 7, 2, 4, 6, 8)
 FIXTURE_WATERMARK = _dt.date(2001, 2, 15)
 
 
+_CACHE: dict = {}
+
+
+def _cached(spark: SparkSession, key: tuple, build):
+    """Reuse a lazily built DataFrame per session: building a plan costs
+    driver round trips (schema reads, expression trees) but a DataFrame is
+    an immutable plan, so one object serves every query of the session."""
+    k = (id(spark),) + key
+    hit = _CACHE.get(k)
+    if hit is not None and hit.sparkSession is spark:
+        return hit
+    df = build()
+    _CACHE[k] = df
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _cached(spark, ("table", sf_dir, name), lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _by_mod(k: Column, n: int, cases: dict[int, object], default) -> Column:
@@ -65,8 +81,74 @@ def answer_text(k: Column) -> Column:
             .otherwise(text))
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` (set by the
+    cluster; only unit tests fall back to a scratch folder)."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    from dealscope.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def _code_key() -> str:
+    """Digest of the modules that derive the materialised fixtures, so a code
+    change never reads a stale copy."""
+    import hashlib
+    import pathlib
+    base = pathlib.Path(__file__).resolve().parent.parent
+    h = hashlib.sha256()
+    for rel in ("settings.py", "sources/fixtures.py", "sources/target.py", "functions/text.py",
+                "functions/answers.py", "operators/extract.py", "operators/inference.py",
+                "operators/enrich.py", "plans/incremental.py"):
+        h.update((base / rel).read_bytes())
+    return h.hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, name: str, key: tuple, build, partition_col: str | None = None,
+                 partitions: int | None = None) -> DataFrame:
+    """Read a derived table from the shared folder, deriving and writing it
+    (by Spark, from the given tables) the first time.  Written tables cut
+    lineage: later queries scan parquet instead of re-planning and
+    re-running the derivation."""
+    import hashlib
+
+    from pyspark.errors import AnalysisException
+    digest = hashlib.sha256(repr((name, key, _code_key())).encode()).hexdigest()[:20]
+    path = f"{shared_root(spark)}/dealscope-tables/{name}-{digest}"
+
+    def read():
+        return spark.read.parquet(path)
+
+    def get():
+        try:
+            return read()
+        except AnalysisException:
+            df = build()
+            if partition_col is not None:
+                n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+                df = df.repartition(n, partition_col)
+            try:
+                df.write.mode("errorifexists").parquet(path)
+            except AnalysisException:
+                pass  # written concurrently by another job: read theirs
+            return read()
+    return _cached(spark, ("materialized", path), get)
+
+
 def usecases(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
-    """The source fact table, one row per use case (key ``usecase_id``)."""
+    """The source fact table, one row per use case (key ``usecase_id``),
+    derived once from the test tables and stored as a table."""
+    return materialized(spark, "usecases", (sf_dir, repr(settings)),
+                        lambda: derive_usecases(spark, sf_dir, settings), partition_col="usecase_id")
+
+
+def derive_usecases(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
+    """The lazy derivation of ``usecases`` from the test tables."""
+    return _cached(spark, ("usecases", sf_dir, repr(settings)), lambda: _usecases(spark, sf_dir, settings))
+
+
+def _usecases(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
     as_of = F.lit(settings.as_of)
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -167,6 +249,10 @@ def usecases(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) ->
 
 
 def directory(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
+    return _cached(spark, ("directory", sf_dir, repr(settings)), lambda: _directory(spark, sf_dir, settings))
+
+
+def _directory(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
     """Contact directory (Name, Surname, email): one row per distinct manager
     name; by ``length(name) % 3`` a third matches the generated address, a
     third differs and a third has no row.  Built from customer, nation and
