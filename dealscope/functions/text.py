@@ -12,6 +12,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a let-binding).
+
+    Catalyst does not eliminate common subexpressions inside conditional
+    branches, so an expensive value used twice under a CASE WHEN would be
+    computed twice per row; binding it to a lambda variable avoids that."""
+    return F.transform(F.array(value), fn).getItem(0)
+
+
 def has_text(x) -> Column:
     """NOT NULL and non-blank after trimming spaces; never NULL itself."""
     c = _c(x)
@@ -49,8 +58,8 @@ def words(x) -> Column:
 
 def word_count(x) -> Column:
     """Number of words; 0 for NULL or blank text."""
-    c = collapse_ws(x)
-    return F.when(F.coalesce(F.length(c), F.lit(0)) == 0, F.lit(0)).otherwise(F.size(F.split(c, " ")))
+    return bind(collapse_ws(x), lambda c: F.when(F.coalesce(F.length(c), F.lit(0)) == 0, F.lit(0))
+                .otherwise(F.size(F.split(c, " "))))
 
 
 def first_words(x, n: int) -> Column:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.functions.text import first_words, tokens
+from dealscope.functions.text import bind, first_words, tokens
 
 # ---------------------------------------------------------------------------
 # Rule backend primitives
@@ -49,14 +49,16 @@ def rule_classify(content: Column, labels: Sequence[tuple[str, Sequence[str]]])
         return F.lit(None).cast("string")
     matched = F.array_intersect(tokens(content), F.array(*[F.lit(w) for w in vocab]))
 
-    def hits(kws):
-        if not kws:
-            return F.lit(0)
-        return F.size(F.array_intersect(matched, F.array(*[F.lit(w) for w in kws])))
-    scored = [F.struct(hits(kws).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
-              for i, (label, kws) in enumerate(labels)]
-    best = F.array_max(F.array(*scored))
-    return F.when(best["hits"] > 0, best["label"])
+    def best_of(m: Column) -> Column:
+        def hits(kws):
+            if not kws:
+                return F.lit(0)
+            return F.size(F.array_intersect(m, F.array(*[F.lit(w) for w in kws])))
+        return F.array_max(F.array(*[
+            F.struct(hits(kws).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
+            for i, (label, kws) in enumerate(labels)]))
+    # bind(): the text is tokenised once per row even under a guard.
+    return bind(bind(matched, best_of), lambda b: F.when(b["hits"] > 0, b["label"]))
 
 
 # ---------------------------------------------------------------------------

@@ -475,3 +475,54 @@ def template_fill(spark, sf_dir):
     filled = tx.template_fill(TEMPLATE, {"account": F.col("account_name"), "one_liner": F.col("one_liner"),
                                          "usecase_type": F.col("usecase_type"), "stage": F.col("stage")})
     return j.select("usecase_id", filled.alias("filled"))
+
+
+# -- text clustering -----------------------------------------------------------------
+
+from dealscope.operators import clustering as cl  # noqa: E402
+
+CLUSTER_K = 16
+
+
+def _labels_view(spark, sf_dir):
+    return _view(spark, sf_dir).select("usecase_id", "usecase_type", "business_usecase_type")
+
+
+@register("label_tokens")
+def label_tokens(spark, sf_dir):
+    return cl.label_tokens(_labels_view(spark, sf_dir)).select("usecase_id", "business_usecase_type", "words")
+
+
+@register("label_features")
+def label_features(spark, sf_dir):
+    return cl.label_features(cl.label_tokens(_labels_view(spark, sf_dir))).select("usecase_id", "features")
+
+
+def _clusters(spark, sf_dir, k=CLUSTER_K):
+    return cl.assign_clusters(_labels_view(spark, sf_dir), k)
+
+
+@register("label_clusters")
+def label_clusters(spark, sf_dir):
+    return _clusters(spark, sf_dir).select("usecase_id", "business_usecase_type", "prediction")
+
+
+@register("silhouette_sweep")
+def silhouette_sweep(spark, sf_dir):
+    return cl.silhouette_sweep(spark, _labels_view(spark, sf_dir))
+
+
+@register("cluster_sizes")
+def cluster_sizes(spark, sf_dir):
+    return cl.cluster_sizes(_clusters(spark, sf_dir))
+
+
+@register("cluster_names")
+def cluster_names(spark, sf_dir):
+    return cl.cluster_names(_clusters(spark, sf_dir))
+
+
+@register("group_top_words")
+def group_top_words(spark, sf_dir):
+    toks = cl.label_tokens(_labels_view(spark, sf_dir))
+    return cl.top_words(toks, "usecase_type").join(cl.cluster_sizes(toks, "usecase_type"), "usecase_type", "left")

@@ -280,3 +280,18 @@ def _template_sql() -> str:
 
 SQL["template_fill"] = _uc(f"SELECT e.usecase_id, {_template_sql()} AS filled FROM l5 e "
                            "JOIN usecases u ON e.usecase_id = u.usecase_id", _EX, *enriched_ctes(S))
+
+
+# -- text clustering (tokenise and group naming; KMeans is rows-only) ----------------
+
+SQL["label_tokens"] = _rv("SELECT usecase_id, business_usecase_type, string_split(lower(business_usecase_type), ' ') "
+                          "AS words FROM rv WHERE business_usecase_type IS NOT NULL")
+SQL["group_top_words"] = _rv("""SELECT n.usecase_type, n.category_name, s.usecase_count FROM (
+  SELECT usecase_type, string_agg(word, ' ' ORDER BY rank) AS category_name FROM (
+    SELECT usecase_type, word, ROW_NUMBER() OVER (PARTITION BY usecase_type ORDER BY count(*) DESC, word ASC) AS rank
+    FROM (SELECT usecase_type, unnest(string_split(lower(business_usecase_type), ' ')) AS word
+          FROM rv WHERE business_usecase_type IS NOT NULL)
+    GROUP BY usecase_type, word)
+  WHERE rank <= 5 GROUP BY usecase_type) n
+LEFT JOIN (SELECT usecase_type, count(*) AS usecase_count FROM rv WHERE business_usecase_type IS NOT NULL
+           GROUP BY 1) s ON n.usecase_type = s.usecase_type""")
