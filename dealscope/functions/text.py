@@ -89,7 +89,7 @@ def name_first(x) -> Column:
 
 def name_last(x) -> Column:
     parts = F.split(_c(x), " ")
-    return parts.getItem(F.size(parts) - 1)
+    return F.get(parts, F.size(parts) - 1)
 
 
 def generated_contact(x, settings: Settings = DEFAULT) -> Column:
