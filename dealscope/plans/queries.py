@@ -526,3 +526,24 @@ def cluster_names(spark, sf_dir):
 def group_top_words(spark, sf_dir):
     toks = cl.label_tokens(_labels_view(spark, sf_dir))
     return cl.top_words(toks, "usecase_type").join(cl.cluster_sizes(toks, "usecase_type"), "usecase_type", "left")
+
+
+# -- prompt de-duplication (I13) -------------------------------------------------------
+
+from dealscope.operators import inference as inf  # noqa: E402
+
+DEDUP_STAGES = ("next_steps_summary", "implementation_notes_summary", "usecase_type")
+
+
+@register("infer_distinct_prompts")
+def infer_distinct_prompts(spark, sf_dir):
+    """Per stage: rows, prompts actually sent (guard true) and distinct
+    prompts after the ``sha2`` de-duplication -- the calls a model backend
+    would pay."""
+    stages = {s.name: s for s in en.stage_levels(S)[0] if s.name in DEDUP_STAGES}
+    e = ex.extract(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S)
+    long, _ = inf.distinct_prompts(e, "usecase_id", {n: s.guarded_prompt() for n, s in stages.items()})
+    return long.groupBy("stage").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("prompt").alias("sent"),
+        F.count_distinct(F.when(F.col("prompt").isNotNull(), F.col("h"))).alias("distinct_prompts"))

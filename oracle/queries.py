@@ -295,3 +295,27 @@ SQL["group_top_words"] = _rv("""SELECT n.usecase_type, n.category_name, s.usecas
   WHERE rank <= 5 GROUP BY usecase_type) n
 LEFT JOIN (SELECT usecase_type, count(*) AS usecase_count FROM rv WHERE business_usecase_type IS NOT NULL
            GROUP BY 1) s ON n.usecase_type = s.usecase_type""")
+
+
+# -- prompt de-duplication (I13) ---------------------------------------------------------
+
+def _dedup_sql() -> str:
+    from oracle.enrich import ht
+    prompts = {
+        "next_steps_summary": f"CASE WHEN {ht('demand_plan_stage_next_steps')} THEN "
+                              f"'Condense these next steps into one action-focused sentence:' || chr(10) || "
+                              f"trim(demand_plan_stage_next_steps) END",
+        "implementation_notes_summary": f"CASE WHEN {ht('implementation_notes')} THEN "
+                                        f"'Condense these implementation notes into a short paragraph on steps, "
+                                        f"milestones and owners:' || chr(10) || implementation_notes END",
+        "usecase_type": f"CASE WHEN {ht('usecase_name')} OR {ht('usecase_description')} THEN "
+                        f"'Pick the technical category of this use case.' || chr(10) || 'Use case: ' || "
+                        f"COALESCE(trim(usecase_name), '.') || ' Description: ' || "
+                        f"COALESCE(trim(usecase_description), '.') END",
+    }
+    parts = [f"SELECT {q(n)} AS stage, {p} AS prompt FROM ex" for n, p in prompts.items()]
+    return _uc("SELECT stage, count(*) AS rows, count(prompt) AS sent, count(DISTINCT prompt) AS distinct_prompts "
+               "FROM (" + " UNION ALL ".join(parts) + ") GROUP BY stage", _EX)
+
+
+SQL["infer_distinct_prompts"] = _dedup_sql()
