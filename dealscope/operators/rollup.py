@@ -133,6 +133,10 @@ def top_slots(ranked: DataFrame, entity: str, spark: SparkSession, top: int = 3)
          .join(F.broadcast(acc), (F.col("dim") == "accel") & (F.col("category") == F.col("_at")), "left")
          .withColumn("description", F.coalesce(F.col("_sd"), F.col("_ad"))))
 
+    return r.groupBy(entity).agg(*_slot_aggs())
+
+
+def _slot_aggs(top: int = 3) -> list[Column]:
     def slot(dim, k, c):
         return F.max(F.when((F.col("dim") == dim) & (F.col("rn") == k), F.col(c)))
 
@@ -152,7 +156,7 @@ def top_slots(ranked: DataFrame, entity: str, spark: SparkSession, top: int = 3)
     for k in range(1, top + 1):
         aggs += [slot("vertical", k, "category").alias(f"top{k}_vertical"),
                  slot("vertical", k, "n").alias(f"top{k}_vertical_usecase_count")]
-    return r.groupBy(entity).agg(*aggs)
+    return aggs
 
 
 KPI_COLUMNS = (
@@ -202,16 +206,47 @@ def manager_kpis(agg: DataFrame, entity: str) -> DataFrame:
 def manager_summary(view: DataFrame, entity: str, spark: SparkSession, settings: Settings = DEFAULT,
                     directory: DataFrame | None = None, contact_columns: bool = True) -> DataFrame:
     """Roll-up per ``entity`` (69 columns with contact columns, 64 without;
-    with a directory the address comes from it when present)."""
+    with a directory the address comes from it when present).
+
+    One path from the view: a single aggregate (KPI records + category
+    counts), a rank within (entity, dim) on that small result, and one
+    ``groupBy(entity)`` that pivots both the KPIs and the top-3 slots -- no
+    second read of the view and no join of KPIs to slots."""
     agg = category_aggregate(view, entity, settings)
-    kpis = manager_kpis(agg, entity)
-    slots = top_slots(ranked_categories(agg, entity), entity, spark)
+    by_value = F.col("dim") == "usecase_type"
+    w = Window.partitionBy(entity, "dim").orderBy(
+        F.when(by_value, F.col("value")).otherwise(F.col("n").cast(MONEY)).desc(),
+        F.col("category").asc_nulls_last())
+    ranked = (agg.withColumn("rn", F.row_number().over(w))
+              .where((F.col("dim") == ALL) | (F.col("rn") <= 3)))
+    slip = slippage_lookup(spark).select(F.col("type").alias("_st"), F.col("description").alias("_sd"))
+    acc = acceleration_lookup(spark).select(F.col("type").alias("_at"), F.col("description").alias("_ad"))
+    r = (ranked
+         .join(F.broadcast(slip), (F.col("dim") == "slippage") & (F.col("category") == F.col("_st")), "left")
+         .join(F.broadcast(acc), (F.col("dim") == "accel") & (F.col("category") == F.col("_at")), "left")
+         .withColumn("description", F.coalesce(F.col("_sd"), F.col("_ad"))))
+    is_all = F.col("dim") == ALL
+
+    def kpi(c):
+        return F.max(F.when(is_all, F.col(c))).alias(c)
+
+    kpi_cols = ["snapshot_date", "sales_region", *[f"sales_subregion_level_{i}" for i in range(1, 5)], "n", "value",
+                *[f"{m}_n" for m in _kpi_measures(settings)],
+                *[f"{m}_value" for m, (_, wv) in _kpi_measures(settings).items() if wv]]
+    j = r.groupBy(entity).agg(*[kpi(c) for c in kpi_cols], *_slot_aggs())
+    total = F.col("n")
+    out = [F.col("snapshot_date"), F.col(entity), F.col("sales_region"),
+           *[F.col(f"sales_subregion_level_{i}") for i in range(1, 5)],
+           total.alias("total_use_cases"), F.col("value").cast("double").alias("total_estimated_monthly_value")]
+    for lvl in ("high", "medium", "low"):
+        n = F.col(f"{lvl}_confidence_n")
+        out += [n.alias(f"{lvl}_confidence_count"), pct(n, total).alias(f"{lvl}_confidence_pct")]
+    for m in ("slip", "accel", "stale", "u3_stale", "u5_stale", "one_blocker", "cloud_medhigh", "threeplus_blocker"):
+        out += [F.col(f"{m}_n").alias(f"{m}_usecase_count"),
+                F.col(f"{m}_value").cast("double").alias(f"{m}_total_monthly_value")]
     # A NULL manager forms its own group but, as with key equality, gets no
     # slot values (blank slots).
-    j = kpis.join(slots, kpis[entity].eqNullSafe(slots[entity]), "left").drop(slots[entity])
     blank = F.col(entity).isNull()
-    out = [F.col(c) for c in ("snapshot_date", entity, "sales_region",
-                              *[f"sales_subregion_level_{i}" for i in range(1, 5)], *KPI_COLUMNS)]
     for name, kind in slot_columns():
         c = F.col(name)
         if kind == "text":

@@ -38,11 +38,19 @@ def incremental_batch(source: DataFrame, watermark, settings: Settings = DEFAULT
     return en.enrich(ex.extract(source, watermark, settings), settings, backend, **infer_opts)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared ``spark.checkpoint.dir``: the data
+    is computed once (and survives executor loss); later plans read it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def incremental_state(target: DataFrame, source: DataFrame, settings: Settings = DEFAULT, backend="rule",
                       watermark=None, broadcast_rows: int | None = up.BROADCAST_ROWS) -> DataFrame:
-    """Pure form of one run: the next table state as a DataFrame."""
+    """Side-effect-free form of one run: the next table state as a DataFrame
+    (the enriched batch is materialised once, as in ``run_incremental``)."""
     wm = ex.watermark(target, settings) if watermark is None else watermark
-    batch = conform(incremental_batch(source, wm, settings, backend))
+    batch = materialize(conform(incremental_batch(source, wm, settings, backend)))
     return up.upsert(conform(target), batch, broadcast_rows=broadcast_rows)
 
 
@@ -58,7 +66,7 @@ def run_incremental(spark: SparkSession, source: DataFrame, table: VersionedTabl
     up.assert_unique_keys(batch, "usecase_id")
     # Materialise the enriched batch in the shared checkpoint folder: it is
     # read several times below, and an executor loss must not recompute it.
-    batch = batch.checkpoint(eager=True)
+    batch = materialize(batch)
     n = batch.count()
     new_state = up.upsert(target, batch)
     new_version = table.write_next(new_state, expected_version=version)

@@ -232,12 +232,9 @@ from dealscope.plans import reporting as rp  # noqa: E402
 from dealscope.sources.target import conform  # noqa: E402
 
 
-# Registered queries are single lazy plans: the batch is not materialised, so
-# an explicit row-count check would recompute it.  They leave the join
-# strategy to AQE, which checks the real size at run time
-# (spark.sql.adaptive.autoBroadcastJoinThreshold); ``run_incremental``
-# materialises the batch and uses the explicit count check.
-QUERY_BROADCAST = None
+# The enriched batch is materialised (reliable checkpoint) before the upsert,
+# so the explicit row-count check of the broadcast sides is cheap.
+QUERY_BROADCAST = up.BROADCAST_ROWS
 
 
 def _v0(spark, sf_dir):
@@ -250,7 +247,7 @@ def _v0(spark, sf_dir):
 def _batch(spark, sf_dir, target=None):
     target = _v0(spark, sf_dir) if target is None else target
     wm = ex.watermark(target, S)
-    return conform(inc.incremental_batch(_uc(spark, sf_dir), wm, S))
+    return inc.materialize(conform(inc.incremental_batch(_uc(spark, sf_dir), wm, S)))
 
 
 @register("watermark_read")
