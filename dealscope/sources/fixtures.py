@@ -135,7 +135,13 @@ def materialized(spark: SparkSession, name: str, key: tuple, build, partition_co
             try:
                 df.write.mode("errorifexists").parquet(path)
             except AnalysisException:
-                pass  # written concurrently by another job: read theirs
+                # Written concurrently by another job: wait for its commit.
+                import time
+                for attempt in range(30):
+                    try:
+                        return read()
+                    except AnalysisException:
+                        time.sleep(2)
             return read()
     return _cached(spark, ("materialized", path), get)
 
