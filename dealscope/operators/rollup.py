@@ -31,6 +31,15 @@ DIMENSIONS = (
     ("vertical", "vertical", None, False),
 )
 ALL = "__all__"
+RANK_DIMS = tuple(d[0] for d in DIMENSIONS)
+# Representative columns (any value per manager; we take the minimum) travel
+# as records too, so the large aggregate keeps fixed-width buffers only
+# (HashAggregate); their min is taken on the small aggregate.
+REPRESENTATIVES = ("sales_region", *[f"sales_subregion_level_{i}" for i in range(1, 5)])
+
+
+def _rep_dim(c: str) -> str:
+    return "rep:" + c
 
 
 def lookup_frame(spark: SparkSession, rows) -> DataFrame:
@@ -82,14 +91,18 @@ def _cnt(cond: Column) -> Column:
 
 
 def category_aggregate(view: DataFrame, entity: str, settings: Settings = DEFAULT) -> DataFrame:
-    """One pass: per (entity, dim, category) count and value, plus the KPI
-    measures on the ``__all__`` records."""
+    """One pass: per (entity, dim, category) count and value, the KPI
+    measures on the ``__all__`` records, and one record per representative
+    column value.  All aggregation buffers are fixed-width (HashAggregate
+    with map-side partial aggregation)."""
     measures = _kpi_measures(settings)
     recs = [F.struct(F.lit(ALL).alias("dim"), F.lit(None).cast("string").alias("category"))]
     for name, col, flt, _ in DIMENSIONS:
         rec = F.struct(F.lit(name).alias("dim"), F.col(col).cast("string").alias("category"))
         recs.append(rec if flt is None else F.when(F.col(flt) == F.lit(True), rec))
-    keep = [entity, VALUE, "snapshot_date", "sales_region", *[f"sales_subregion_level_{i}" for i in range(1, 5)]]
+    for c in REPRESENTATIVES:
+        recs.append(F.struct(F.lit(_rep_dim(c)).alias("dim"), F.col(c).cast("string").alias("category")))
+    keep = [entity, VALUE, "snapshot_date"]
     flags = {f"_m_{n}": c for n, (c, _) in measures.items()}
     exploded = (view.select(*keep, *[c.alias(n) for n, c in flags.items()],
                             F.explode(F.filter(F.array(*recs), lambda r: r.isNotNull())).alias("r"))
@@ -98,11 +111,8 @@ def category_aggregate(view: DataFrame, entity: str, settings: Settings = DEFAUL
     aggs = [
         F.count(F.lit(1)).alias("n"),
         money_sum().alias("value"),
-        # representative values: deterministic min() instead of any_value()
+        # representative snapshot date: deterministic min() instead of any_value()
         F.min(F.when(is_all, F.col("snapshot_date"))).alias("snapshot_date"),
-        F.min(F.when(is_all, F.col("sales_region"))).alias("sales_region"),
-        *[F.min(F.when(is_all, F.col(f"sales_subregion_level_{i}"))).alias(f"sales_subregion_level_{i}")
-          for i in range(1, 5)],
     ]
     for n, (_, with_value) in measures.items():
         aggs.append(_cnt(is_all & F.col(f"_m_{n}")).alias(f"{n}_n"))
@@ -111,6 +121,10 @@ def category_aggregate(view: DataFrame, entity: str, settings: Settings = DEFAUL
     return exploded.groupBy(entity, "dim", "category").agg(*aggs)
 
 
+def _representatives() -> list[Column]:
+    return [F.min(F.when(F.col("dim") == _rep_dim(c), F.col("category"))).alias(c) for c in REPRESENTATIVES]
+
+
 def ranked_categories(agg: DataFrame, entity: str, top: int = 3) -> DataFrame:
     """Rank categories within (entity, dim): by value sum for use-case types,
     by count otherwise; ties broken by category name."""
@@ -118,7 +132,7 @@ def ranked_categories(agg: DataFrame, entity: str, top: int = 3) -> DataFrame:
     w = Window.partitionBy(entity, "dim").orderBy(
         F.when(by_value, F.col("value")).otherwise(F.col("n").cast(MONEY)).desc(),
         F.col("category").asc_nulls_last())
-    return (agg.where(F.col("dim") != ALL)
+    return (agg.where(F.col("dim").isin(*RANK_DIMS))
             .withColumn("rn", F.row_number().over(w))
             .where(F.col("rn") <= top))
 
@@ -189,7 +203,10 @@ def slot_columns(top: int = 3) -> list[tuple[str, str]]:
 
 
 def manager_kpis(agg: DataFrame, entity: str) -> DataFrame:
-    a = agg.where(F.col("dim") == ALL)
+    is_all = F.col("dim") == ALL
+    kpi_cols = [c for c in agg.columns if c not in (entity, "dim", "category")]
+    a = (agg.where(is_all | F.col("dim").startswith("rep:"))
+         .groupBy(entity).agg(*[F.max(F.when(is_all, F.col(c))).alias(c) for c in kpi_cols], *_representatives()))
     total = F.col("n")
     cols = [F.col(entity), F.col("snapshot_date"), F.col("sales_region"),
             *[F.col(f"sales_subregion_level_{i}") for i in range(1, 5)],
@@ -214,9 +231,11 @@ def manager_summary(view: DataFrame, entity: str, spark: SparkSession, settings:
     second read of the view and no join of KPIs to slots."""
     agg = category_aggregate(view, entity, settings)
     by_value = F.col("dim") == "usecase_type"
+    is_rep = F.col("dim").startswith("rep:")
     w = Window.partitionBy(entity, "dim").orderBy(
-        F.when(by_value, F.col("value")).otherwise(F.col("n").cast(MONEY)).desc(),
-        F.col("category").asc_nulls_last())
+        F.when(is_rep, F.lit(0).cast(MONEY))
+         .when(by_value, F.col("value")).otherwise(F.col("n").cast(MONEY)).desc(),
+        F.col("category").asc_nulls_last())  # representatives: rank 1 is the minimum
     ranked = (agg.withColumn("rn", F.row_number().over(w))
               .where((F.col("dim") == ALL) | (F.col("rn") <= 3)))
     slip = slippage_lookup(spark).select(F.col("type").alias("_st"), F.col("description").alias("_sd"))
@@ -230,10 +249,10 @@ def manager_summary(view: DataFrame, entity: str, spark: SparkSession, settings:
     def kpi(c):
         return F.max(F.when(is_all, F.col(c))).alias(c)
 
-    kpi_cols = ["snapshot_date", "sales_region", *[f"sales_subregion_level_{i}" for i in range(1, 5)], "n", "value",
+    kpi_cols = ["snapshot_date", "n", "value",
                 *[f"{m}_n" for m in _kpi_measures(settings)],
                 *[f"{m}_value" for m, (_, wv) in _kpi_measures(settings).items() if wv]]
-    j = r.groupBy(entity).agg(*[kpi(c) for c in kpi_cols], *_slot_aggs())
+    j = r.groupBy(entity).agg(*[kpi(c) for c in kpi_cols], *_representatives(), *_slot_aggs())
     total = F.col("n")
     out = [F.col("snapshot_date"), F.col(entity), F.col("sales_region"),
            *[F.col(f"sales_subregion_level_{i}") for i in range(1, 5)],

@@ -374,7 +374,7 @@ register("manager_cloud_slice")(_fm_cols("cloud_medhigh_usecase_count", "cloud_m
 @register("category_counts")
 def category_counts(spark, sf_dir):
     agg = ru.category_aggregate(_view(spark, sf_dir), "sales_manager", S)
-    return agg.where(F.col("dim") != ru.ALL).select(
+    return agg.where(F.col("dim").isin(*ru.RANK_DIMS)).select(
         "sales_manager", "dim", "category", F.col("n").alias("usecase_count"),
         F.col("value").cast("double").alias("monthly_value"))
 
