@@ -66,16 +66,25 @@ def assign_clusters(rows: DataFrame, k: int, seed: int = SEED, text_col: str = "
 
 
 def silhouette_sweep(spark: SparkSession, rows: DataFrame, ks=range(2, 16), seed: int = SEED,
-                     text_col: str = "business_usecase_type") -> DataFrame:
+                     text_col: str = "business_usecase_type", parallelism: int = 4) -> DataFrame:
     """``(k, silhouette_score)`` for each k; one distributed fit per k on the
-    persisted weighted features (the loop only sequences Spark jobs)."""
+    persisted weighted features.  The fits are independent, so up to
+    ``parallelism`` of them are submitted concurrently (like
+    ``CrossValidator(parallelism=...)``); each fit is still seeded and
+    deterministic."""
+    from concurrent.futures import ThreadPoolExecutor
+
     feats = weighted_label_features(rows, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        feats.count()  # materialise once before the concurrent fits
         evaluator = ClusteringEvaluator(featuresCol="features", weightCol="weight")
-        scores = []
-        for k in ks:
+
+        def score(k: int) -> tuple[int, float]:
             clustered = fit_clusters(feats, k, seed).transform(feats)
-            scores.append((int(k), float(evaluator.evaluate(clustered))))
+            return int(k), float(evaluator.evaluate(clustered))
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            scores = list(pool.map(score, list(ks)))
     finally:
         feats.unpersist()
     return spark.createDataFrame(scores, "k int, silhouette_score double")
