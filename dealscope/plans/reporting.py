@@ -9,8 +9,8 @@ from dealscope.functions.answers import SCORE_COLUMNS
 from dealscope.operators import extract as ex
 from dealscope.settings import ARCHITECT_DEFAULT, DEFAULT, FIELD_MANAGER_DEFAULT, Settings
 
-# Source columns the reporting view carries (after the key), in view order;
-# ``None`` marks where the target's enrichment block is inserted.
+# Columns of the reporting view up to the enrichment block, in view order
+# (``usecase_id`` and ``num_of_blockers`` come from the target).
 _SOURCE_HEAD = (
     "snapshot_date", "field_manager", "account_name", "usecase_id", "usecase_name", "last_modified_date",
     "account_executive", "account_solution_architect", "stage", "target_cloud", "primary_competitor",
@@ -34,10 +34,23 @@ RADAR_COLUMNS = tuple(c for c in REPORTING_COLUMNS if c != "soundbyte")
 _FROM_TARGET = {"usecase_id", "num_of_blockers", *_TEXT_BLOCK, *_SCORE_BLOCK}
 
 
-def _joined(target: DataFrame, source: DataFrame, settings: Settings) -> DataFrame:
+KEY_BROADCAST_ROWS = 2_000_000  # target keys only: ~tens of MB
+
+
+def _joined(target: DataFrame, source: DataFrame, settings: Settings,
+            broadcast_rows: int | None = KEY_BROADCAST_ROWS) -> DataFrame:
+    """Target x source on the key.  The source side is wide (long texts)
+    and usually much larger than the target, so it is first reduced by a
+    broadcast semi join on the target's keys (narrow, broadcast only after a
+    row-count check): the scan streams through a hash lookup and only
+    matching source rows reach the join's shuffle."""
     src_cols = [c for c in _SOURCE_HEAD if c not in _FROM_TARGET] + ["vertical"]
     src = source.select("usecase_id", *src_cols)
     t = target.select(*[c for c in target.columns if c in _FROM_TARGET])
+    if broadcast_rows is not None:
+        keys = t.select("usecase_id")
+        if keys.count() <= broadcast_rows:
+            src = src.join(F.broadcast(keys), "usecase_id", "left_semi")
     return t.join(src, "usecase_id", "inner")
 
 
