@@ -87,16 +87,22 @@ def bootstrap_from_wide(wide: DataFrame, settings: Settings = DEFAULT) -> DataFr
     return conform(up.bootstrap(wide, en.ENRICHED_COLUMNS, settings.as_of))
 
 
+FIXTURE_CUT_DATE = _dt.date(2001, 6, 1)
+FIXTURE_SYNC_DATE = _dt.date(2001, 4, 1)
+
+
 def fixture_target_v0(source: DataFrame, watermark: _dt.date, settings: Settings = DEFAULT) -> DataFrame:
-    """Target "version 0" for tests: enriched in-scope rows with even keys,
-    processed on ``watermark``; keys divisible by 4 carry a change date 10
-    days older than the source (they will be updated), the rest are equal
-    (they will be kept)."""
+    """Target "version 0" for tests: the state left by an earlier sync.
+
+    It holds the enriched in-scope rows changed up to ``FIXTURE_CUT_DATE``,
+    processed on ``watermark``, with change dates as the earlier sync saw
+    them (capped at ``FIXTURE_SYNC_DATE``).  Against the next batch (rows
+    changed after ``watermark``) this gives every outcome by date alone:
+    kept (changed before the watermark), unchanged (equal dates), updated
+    (source changed after the sync date) and inserted (after the cut)."""
     scope = ex.extract(source, None, settings)
-    k = F.col("usecase_id").cast("long")
-    e = en.enrich(scope, settings).where(k % 2 == 0)
+    e = en.enrich(scope, settings).where(F.col("last_modified_date") <= F.lit(FIXTURE_CUT_DATE))
     return conform(e.withColumns({
-        "last_modified_date": F.when(k % 4 == 0, F.date_sub(F.col("last_modified_date"), 10))
-                               .otherwise(F.col("last_modified_date")),
+        "last_modified_date": F.least(F.col("last_modified_date"), F.lit(FIXTURE_SYNC_DATE)),
         "processed_date": F.lit(watermark),
     }))
