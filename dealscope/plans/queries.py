@@ -9,10 +9,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealscope.functions import answers as ans
+from dealscope.functions import text as tx
+from dealscope.operators import clustering as cl
+from dealscope.operators import enrich as en
 from dealscope.operators import extract as ex
-from dealscope.settings import DEFAULT
+from dealscope.operators import inference as inf
+from dealscope.operators import rollup as ru
+from dealscope.operators import upsert as up
+from dealscope.plans import incremental as inc
+from dealscope.plans import reporting as rp
+from dealscope.settings import DEFAULT, DIMENSIONS
 from dealscope.sources import fixtures as fx
-from dealscope.functions import text as tx
+from dealscope.sources.target import conform
 
 S = DEFAULT
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,10 +138,6 @@ def extract_profile(spark, sf_dir):
 
 # -- answer parsing and decision rules on the stand-in answer column ----------
 
-from dealscope.functions import answers as ans  # noqa: E402
-from dealscope.operators import enrich as en  # noqa: E402
-from dealscope.settings import DIMENSIONS  # noqa: E402
-
 
 @register("parse_confidence")
 def parse_confidence(spark, sf_dir):
@@ -225,12 +230,6 @@ def level_disagreement(spark, sf_dir):
 
 # -- target lifecycle: watermark, upsert, change feed, bootstrap, runs ----------
 
-from dealscope.operators import rollup as ru  # noqa: E402
-from dealscope.operators import upsert as up  # noqa: E402
-from dealscope.plans import incremental as inc  # noqa: E402
-from dealscope.plans import reporting as rp  # noqa: E402
-from dealscope.sources.target import conform  # noqa: E402
-
 
 # The enriched batch is materialised (reliable checkpoint) before the upsert,
 # so the explicit row-count check of the broadcast sides is cheap.
@@ -476,7 +475,6 @@ def template_fill(spark, sf_dir):
 
 # -- text clustering -----------------------------------------------------------------
 
-from dealscope.operators import clustering as cl  # noqa: E402
 
 CLUSTER_K = 16
 
@@ -527,7 +525,6 @@ def group_top_words(spark, sf_dir):
 
 # -- prompt de-duplication (I13) -------------------------------------------------------
 
-from dealscope.operators import inference as inf  # noqa: E402
 
 DEDUP_STAGES = ("next_steps_summary", "implementation_notes_summary", "usecase_type")
 
