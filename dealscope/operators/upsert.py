@@ -38,7 +38,9 @@ def classify_batch(target: DataFrame, batch: DataFrame, key: str = "usecase_id",
                    date_col: str = "last_modified_date", broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
     """Batch rows with ``_action``: ``insert`` (key not in target),
     ``update`` (batch date strictly newer) or ``unchanged``."""
-    bkeys = _maybe_broadcast(batch.select(key).distinct(), broadcast_rows)
+    # Semi-join build side: duplicates would not change the result, and batch
+    # keys are unique by the MERGE contract, so no distinct() (no shuffle).
+    bkeys = _maybe_broadcast(batch.select(key), broadcast_rows)
     matched = (target.select(key, F.col(date_col).alias("_t_date"), F.lit(True).alias("_in_t"))
                .join(bkeys, key, "left_semi"))
     j = batch.join(matched, key, "left")
