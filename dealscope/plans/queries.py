@@ -383,7 +383,7 @@ def _top(dim):
         agg = ru.category_aggregate(_view(spark, sf_dir), "field_manager", S)
         return (ru.ranked_categories(agg, "field_manager").where(F.col("dim") == dim)
                 .select("field_manager", "category", F.col("n").alias("usecase_count"),
-                        F.col("value").cast("double").alias("monthly_value"), "rn"))
+                        F.col("value").cast("double").alias("monthly_value"), F.col("rn").cast("long").alias("rn")))
     return q
 
 
