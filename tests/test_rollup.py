@@ -54,3 +54,21 @@ def test_pct_half_up_exact(spark):
     df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (1, 32)], "n long, t long")
     got = [r[0] for r in df.select(ru.pct(F.col("n"), F.col("t"))).collect()]
     assert got == [12.5, 33.33, 66.67, 3.13]
+
+
+def test_reporting_join_reduction_is_transparent(spark):
+    """The broadcast key semi join in front of the view join changes the plan,
+    never the rows."""
+    from dealscope.plans import reporting as rp
+    from dealscope.plans.queries import _state
+    from dealscope.sources import fixtures as fx
+    from dealscope.settings import DEFAULT
+
+    sf = "/root/testdata/sf0.001"
+    target, source = _state(spark, sf), fx.usecases(spark, sf, DEFAULT)
+    src = source.where(__import__("dealscope.operators.extract", fromlist=["x"]).lookahead(DEFAULT))
+    reduced = rp._joined(target, src, DEFAULT)
+    plain = rp._joined(target, src, DEFAULT, broadcast_rows=None)
+    cols = ["usecase_id", "stage", "context", "estimated_monthly_value"]
+    assert sorted(map(tuple, reduced.select(cols).collect())) == sorted(map(tuple, plain.select(cols).collect()))
+    assert "LeftSemi" in reduced._jdf.queryExecution().executedPlan().toString()
