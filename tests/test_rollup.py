@@ -59,14 +59,15 @@ def test_pct_half_up_exact(spark):
 def test_reporting_join_reduction_is_transparent(spark):
     """The broadcast key semi join in front of the view join changes the plan,
     never the rows."""
+    from dealscope.operators.extract import lookahead
     from dealscope.plans import reporting as rp
     from dealscope.plans.queries import _state
-    from dealscope.sources import fixtures as fx
     from dealscope.settings import DEFAULT
+    from dealscope.sources import fixtures as fx
 
     sf = "/root/testdata/sf0.001"
     target, source = _state(spark, sf), fx.usecases(spark, sf, DEFAULT)
-    src = source.where(__import__("dealscope.operators.extract", fromlist=["x"]).lookahead(DEFAULT))
+    src = source.where(lookahead(DEFAULT))
     reduced = rp._joined(target, src, DEFAULT)
     plain = rp._joined(target, src, DEFAULT, broadcast_rows=None)
     cols = ["usecase_id", "stage", "context", "estimated_monthly_value"]
