@@ -541,3 +541,10 @@ def infer_distinct_prompts(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"),
         F.count("prompt").alias("sent"),
         F.count_distinct(F.when(F.col("prompt").isNotNull(), F.col("h"))).alias("distinct_prompts"))
+
+
+@register("version_diff")
+def version_diff(spark, sf_dir):
+    """Change feed between target version 0 and the state after the run,
+    computed by diffing the two versions (null-safe whole-row compare)."""
+    return up.diff_versions(conform(_v0(spark, sf_dir)), _state(spark, sf_dir))

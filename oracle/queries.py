@@ -319,3 +319,23 @@ def _dedup_sql() -> str:
 
 
 SQL["infer_distinct_prompts"] = _dedup_sql()
+
+
+# -- change feed as a diff of two versions -------------------------------------------------
+
+def _version_diff_sql() -> str:
+    from dealscope.operators.enrich import ENRICHED_COLUMNS
+    o_cols = ", ".join(f"o.{c}" for c in ENRICHED_COLUMNS)
+    n_cols = ", ".join(f"n.{c}" for c in ENRICHED_COLUMNS)
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in ENRICHED_COLUMNS)
+    return _st(f"""SELECT {n_cols}, 'insert' AS _change_type FROM state n
+WHERE NOT EXISTS (SELECT 1 FROM v0 o WHERE o.usecase_id = n.usecase_id)
+UNION ALL
+SELECT {o_cols}, 'delete' FROM v0 o WHERE NOT EXISTS (SELECT 1 FROM state n WHERE o.usecase_id = n.usecase_id)
+UNION ALL
+SELECT {o_cols}, 'update_preimage' FROM v0 o JOIN state n ON o.usecase_id = n.usecase_id WHERE {differs}
+UNION ALL
+SELECT {n_cols}, 'update_postimage' FROM v0 o JOIN state n ON o.usecase_id = n.usecase_id WHERE {differs}""")
+
+
+SQL["version_diff"] = _version_diff_sql()
