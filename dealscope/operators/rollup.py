@@ -66,8 +66,19 @@ def pct(n: Column, total: Column) -> Column:
     return (F.floor((F.lit(20000) * n + total) / (F.lit(2) * total)) / F.lit(100)).cast("double")
 
 
+_MEASURES: dict = {}
+
+
 def _kpi_measures(s: Settings) -> dict[str, tuple[Column | None, bool]]:
-    """name -> (row condition, with value sum)."""
+    """name -> (row condition, with value sum); built once per settings
+    (Column trees are immutable; building them costs driver round trips)."""
+    key = repr(s)
+    if key not in _MEASURES:
+        _MEASURES[key] = _build_kpi_measures(s)
+    return _MEASURES[key]
+
+
+def _build_kpi_measures(s: Settings) -> dict[str, tuple[Column | None, bool]]:
     lvl = F.col("confidence_level_normalized")
     stale = F.col("last_modified_date") < F.date_sub(F.lit(s.as_of), s.stale_days)
     cloud = F.lower(F.col("target_cloud")).contains(s.cloud_keyword.lower())
@@ -150,7 +161,16 @@ def top_slots(ranked: DataFrame, entity: str, spark: SparkSession, top: int = 3)
     return r.groupBy(entity).agg(*_slot_aggs())
 
 
+_SLOT_AGGS: dict = {}
+
+
 def _slot_aggs(top: int = 3) -> list[Column]:
+    if top not in _SLOT_AGGS:
+        _SLOT_AGGS[top] = _build_slot_aggs(top)
+    return _SLOT_AGGS[top]
+
+
+def _build_slot_aggs(top: int) -> list[Column]:
     def slot(dim, k, c):
         return F.max(F.when((F.col("dim") == dim) & (F.col("rn") == k), F.col(c)))
 
