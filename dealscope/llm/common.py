@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that a Python helper handles at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 6 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -8,73 +8,91 @@ and the ids are gathered back: the library sees every distinct chunk of a batch
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: The pre-tokenizer pattern of the vocabulary file, for lower-case printable ASCII (fixed value).
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-PRINTABLE = re.compile(r"[!-~]*")
-#: Pieces whose ids a worker remembers from batch to batch; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: The pre-tokenizer pattern of the vocabulary file, for the lower case of PRINTABLE (fixed value).
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+#: Printable ASCII and the precomposed letters of Latin-1: normalisation changes nothing but the case here.
+PRINTABLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
+#: How the vocabulary writes the bytes 33 to 255 that occur in PRINTABLE's UTF-8 form (128 to 191 and 195).
+SYMBOLS = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+SYMBOLS |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in SYMBOLS)}
+#: Chunks whose ids a worker remembers in each of two generations: when the young one is full, it becomes the old.
+REMEMBERED = 120_000
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
+    """Ids are kept as the bytes of little-endian 32-bit integers: small, and joined without Python integers."""
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
-        self.pieces: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() else "".join(map(SYMBOLS.__getitem__, piece.encode()))
+        return array("i", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def _printable(self, chunk: str) -> bytes:
+        pieces = PIECES.findall(chunk.lower())
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._known, pieces))
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
+    def _known(self, piece: str) -> bytes:
+        ids = self.young.get(piece) or self.old.get(piece)
         if ids is None:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
+            ids = self.young[piece] = self._piece(piece)
         return ids
 
-    def chunks(self, chunks: list[str]) -> list[list[int]]:
+    def chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks without white space."""
-        out: list[list[int]] = [[]] * len(chunks)
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = [young.get(c) for c in chunks]
         rest = []
-        for i, chunk in enumerate(chunks):
-            if PRINTABLE.fullmatch(chunk) and "<|" not in chunk:
-                found = ASCII_PIECES.findall(chunk.lower())
-                out[i] = self._piece(found[0]) if len(found) == 1 else [x for p in found for x in self._piece(p)]
-            else:
-                rest.append(i)
-        # known chunks with other characters are remembered under themselves (they are no printable-ASCII piece)
-        ask = [i for i in rest if chunks[i] not in self.pieces]
-        for i, e in zip(ask, self.library.encode_batch_fast([chunks[i] for i in ask], add_special_tokens=False),
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            chunk = chunks[i]
+            ids = old.get(chunk)
+            if ids is None:
+                if not PRINTABLE.fullmatch(chunk) or "<|" in chunk:
+                    rest.append(i)
+                    continue
+                ids = self._printable(chunk)
+            out[i] = young[chunk] = ids
+        for i, e in zip(rest, self.library.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False),
                         strict=True):
-            out[i] = e.ids
-        for i in rest:
-            if chunks[i] in self.pieces:
-                out[i] = self.pieces[chunks[i]]
-        if len(self.pieces) + len(ask) < REMEMBERED:
-            self.pieces.update((chunks[i], out[i]) for i in ask)
+            out[i] = young[chunks[i]] = array("i", e.ids).tobytes()
         return out
 
     def batch(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other (int32), and their n + 1 offsets; ``end_id`` closes every text."""
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # else lowering might make a special string
+            # fewer distinct chunks: one case, and a comma or full stop after a letter stands alone
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])([ \n]|$)", r"\1 \2\3")
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
         each = self.chunks(words.dictionary.to_pylist())
-        sizes = np.fromiter((len(x) for x in each), np.int64, len(each))
-        ids = np.fromiter((x for ids in each for x in ids), np.int32, int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, each), np.int32, len(each)) // 4
+        ids = np.frombuffer(b"".join(each), "<i4")
+        begin = np.cumsum(sizes, dtype=np.int32) - sizes
         at = words.indices.to_numpy(zero_copy_only=False)
         n = sizes[at]
-        done = np.cumsum(n)
-        flat = ids[np.repeat(begin[at] - (done - n), n) + np.arange(done[-1] if len(done) else 0)]
+        done = np.cumsum(n, dtype=np.int32)
+        place = np.repeat(begin[at] - (done - n), n)
+        place += np.arange(len(place), dtype=np.int32)
+        flat = ids[place]
         word_offsets = np.asarray(lists.offsets, dtype=np.int64)
-        offsets = np.concatenate(([0], done))[word_offsets - word_offsets[0]]
+        offsets = np.concatenate(([0], done)).astype(np.int64)[word_offsets - word_offsets[0]]
         if end_id is not None:
             flat = np.insert(flat, offsets[1:], end_id).astype(np.int32)
             offsets = offsets + np.arange(len(offsets))
