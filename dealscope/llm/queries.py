@@ -5,28 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealscope.llm import common, packing, sharding, token_counts, token_orc
+from dealscope.llm import (
+    common,
+    fingerprints,
+    language_id,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    token_counts,
+    token_orc,
+    toxicity,
+)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.read_documents(spark, sf_dir), with_ids=False)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(common.read_documents(spark, sf_dir))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(common.read_documents(spark, sf_dir), common.read_documents(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(common.read_documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(common.read_documents(spark, sf_dir))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(common.read_documents(spark, sf_dir))
+
+
 def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.new_path(spark, "tokens")
     token_orc.write(common.read_documents(spark, sf_dir), path)
     return token_orc.checksums(token_orc.read(spark, path))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(common.read_documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(common.read_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op7_token_orc, op10_token_counts)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_fingerprints, op3_toxicity, op4_sharding, op5_ngram_jaccard, op6_language_id, op7_token_orc,
+    op9_quality, op10_token_counts)}
+
+#: The same join stated as SQL: all pairs that share a shingle, then the transitive closure of the links.
+SQL = {"op5_ngram_jaccard": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+rows_ AS (SELECT doc_id, unnest(s) AS g FROM sets),
+overlaps AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM rows_ a JOIN rows_ b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT x, y FROM overlaps JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 75 * (p.n + q.n - o)),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r)
+SELECT n.doc_id, n.n AS n_shingles, min(r) AS component_id FROM n JOIN reach USING (doc_id) GROUP BY ALL
+"""}
