@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dealscope.llm import (
     common,
+    decontamination,
     fingerprints,
     language_id,
     ngram_join,
@@ -51,6 +52,11 @@ def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.checksums(token_orc.read(spark, path))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(common.read_documents(spark, sf_dir),
+                                   common.read_documents(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(common.read_documents(spark, sf_dir))
 
@@ -61,7 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_fingerprints, op3_toxicity, op4_sharding, op5_ngram_jaccard, op6_language_id, op7_token_orc,
-    op9_quality, op10_token_counts)}
+    op8_decontamination, op9_quality, op10_token_counts)}
 
 #: The same join stated as SQL: all pairs that share a shingle, then the transitive closure of the links.
 SQL = {"op5_ngram_jaccard": r"""
@@ -70,15 +76,42 @@ WITH RECURSIVE words AS (
          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s
   FROM words),
 n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
 rows_ AS (SELECT doc_id, unnest(s) AS g FROM sets),
-overlaps AS (
+common AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM rows_ a JOIN rows_ b ON a.g = b.g AND a.doc_id <> b.doc_id
   GROUP BY ALL),
 links AS (
-  SELECT x, y FROM overlaps JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 75 * (p.n + q.n - o)),
+  SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 75 * (p.n + q.n - o)),
 reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r)
 SELECT n.doc_id, n.n AS n_shingles, min(r) AS component_id FROM n JOIN reach USING (doc_id) GROUP BY ALL
+""",
+    "op8_decontamination": r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ds AS (
+  SELECT doc_id, unnest(range(0, len(w) - 4)) AS i,
+    unnest([array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)]) AS g
+  FROM words WHERE len(w) >= 5),
+items AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+bs AS (
+  SELECT item_id, len(w) AS l, unnest(range(0, len(w) - 4)) AS j,
+    unnest([array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)]) AS g
+  FROM items WHERE len(w) >= 5),
+wins AS (SELECT DISTINCT doc_id, item_id, l, i - j AS start FROM ds JOIN bs USING (g)),
+wc AS (
+  SELECT wins.doc_id, item_id, start, l, g, count(*) AS c FROM wins JOIN ds ON ds.doc_id = wins.doc_id
+    AND ds.i BETWEEN start AND start + l - 5 GROUP BY ALL),
+ic AS (SELECT item_id, g, count(*) AS c FROM bs GROUP BY ALL),
+mins AS (
+  SELECT doc_id, item_id, start, l, sum(least(wc.c, ic.c)) AS m FROM wc JOIN ic USING (item_id, g) GROUP BY ALL),
+n AS (SELECT doc_id, item_id, start, sum(c) AS n FROM wc GROUP BY ALL),
+sims AS (
+  SELECT doc_id, item_id, greatest(start, 0) AS start, l, CAST(m AS DOUBLE) / (n + l - 4 - m) AS similarity
+  FROM mins JOIN n USING (doc_id, item_id, start))
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS start, CAST(l AS BIGINT) AS n_words, similarity FROM sims
+WHERE similarity * 100 >= 75
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
 """}
