@@ -27,7 +27,7 @@ BLOCKS = 8
 BITS = 64 // BLOCKS
 #: Two sets with Jaccard 0.75 have fingerprints 11 bits apart on average, with a standard deviation of 3.
 RADIUS = 23
-#: A side with at most so many rows (of some 50 bytes) is broadcast; a larger one is joined by shuffling.
+#: A side with at most so many rows of a few longs (25 MB) is broadcast; a larger one is joined by shuffling.
 BROADCAST_ROWS = 500_000
 
 
@@ -61,17 +61,16 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame, k: int) -> DataFrame:
-    """item_id, item_words, item_hashes, item_print of the items with at least ``k`` words."""
+    """item_key (a row number), item_id, item_words, item_hashes, item_print of the items with ``k`` words or more."""
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text")).alias("iw")) \
         .where(F.size("iw") >= k).select("item_id", F.size("iw").alias("item_words"),
                                          shingle_hashes("iw", k).alias("item_hashes")) \
-        .withColumn("item_print", simhash("item_hashes"))
+        .withColumn("item_print", simhash("item_hashes")).withColumn("item_key", F.monotonically_increasing_id())
 
 
-def seed_windows(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
+def seed_windows(docs: DataFrame, items: DataFrame, size: int, k: int) -> DataFrame:
     """doc_id, start, item_words: windows aligned with a shingle that they share with an item of that size."""
     index = items.select("item_words", F.posexplode("item_hashes").alias("j", "h")).distinct()
-    size = items.agg(F.sum(F.size("item_hashes"))).first()[0] or 0
     shingles = docs.select("doc_id", words_of(F.col("text")).alias("w")).select(
         "doc_id", F.posexplode(shingle_hashes("w", k)).alias("i", "h"))
     return shingles.join(bounded(index, size), "h").select(
@@ -85,7 +84,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = common.materialise(items_of(benchmark, k), "items")
-    windows = common.materialise(seed_windows(texts, items, k), "windows")
+    size = items.agg(F.sum(F.size("item_hashes"))).first()[0] or 0
+    windows = common.materialise(seed_windows(texts, items, size, k), "windows")
     # one row per document, so that a text is held and hashed once, however many windows it has
     by_doc = windows.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "item_words")).alias("at"))
     wanted = bounded(by_doc, windows.count())
@@ -99,14 +99,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int
     part = f"cast(shiftrightunsigned({{}}, {BITS} * block) & {(1 << BITS) - 1} as int)"
     near = F.expr(f"explode(filter(sequence(0, {(1 << BITS) - 1}), "
                   f"v -> bit_count(v ^ {part.format('item_print')}) <= {RADIUS // BLOCKS}))")
-    index = items.withColumn("block", blocks).withColumn("value", near)
-    size = items.count() << BITS
+    index = items.select("item_key", "item_words", "item_print", blocks.alias("block")).withColumn("value", near)
     found = printed.withColumn("block", blocks).withColumn("value", F.expr(part.format("print"))) \
-        .join(bounded(index, size), ["item_words", "block", "value"]) \
+        .join(bounded(index, items.count() << BITS), ["item_words", "block", "value"]) \
         .where(f"bit_count(print ^ item_print) <= {RADIUS}") \
         .where(f"not exists(sequence(0, block), b -> b < block and bit_count(shiftrightunsigned(print ^ item_print, "
                f"{BITS} * b) & {(1 << BITS) - 1}) <= {RADIUS // BLOCKS})")  # of several blocks, the first counts
-    verified = found.withColumn("similarity", weighted_similarity("hashes", "item_hashes")) \
+    full = bounded(items.select("item_key", "item_id", "item_hashes"), size)
+    verified = found.join(full, "item_key").withColumn("similarity", weighted_similarity("hashes", "item_hashes")) \
         .where(F.col("similarity") * 100 >= percent)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "item_words")).alias("best")
     return verified.groupBy("doc_id", "item_id").agg(best).select(
