@@ -10,9 +10,8 @@ Documents with equal shingle sets form one class, and only classes are compared.
    sizes that differ too much separate a group.
 3. The candidate groups' components are the blocks of the matrix product.  A block's shingle sets are brought
    together, the product of the block's document-by-shingle incidence with its transpose accumulates the overlaps,
-   and overlaps below the bound that the two sizes imply are discarded.  A component with more than
-   ``BLOCK`` entries is dealt into chunks, and every pair of chunks is a block of its own, so no task holds more
-   than two chunks.  A block returns a spanning forest of its links, not all pairs.
+   and overlaps below the bound that the two sizes imply are discarded.  A large component
+   is dealt into chunks, and every pair of chunks is a block of its own, so no task holds more than two chunks.  A block returns a spanning forest of its links, not all pairs.
 4. The components of the links are the result.
 
 Everything is exact up to collisions of 64-bit hashes.
@@ -43,8 +42,11 @@ PERCENT = 75
 CELL_BITS = 25
 #: Bits of the filter of document ids whose sets are needed (fixed size).
 FILTER_BITS = 25
-#: Shingle entries in a chunk of a block.
+#: Shingle entries in a chunk of a block, at most.
 BLOCK = 1_000_000
+#: A component of n entries is dealt into sqrt(n / UNIT) chunks or more: every set is sent once per chunk, and every
+#: pair of chunks is a task of its own, so both the copies and the largest task grow with the root of its size.
+UNIT = 4096
 #: Bytes of text per hash bucket of the two grouping steps.
 BUCKET_BYTES = 1 << 25
 
@@ -297,7 +299,8 @@ def class_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, wor
     """u, v: linked classes, as spanning forests of the blocks."""
     members = common.materialise(
         components(candidates).withColumnRenamed("node", "class").join(classes, "class"), "members")
-    totals = members.groupBy("component").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("chunks"))
+    totals = members.groupBy("component").agg(F.greatest(
+        F.ceil(F.sum("n") / F.lit(block)), F.ceil(F.sqrt(F.sum("n") / F.lit(UNIT)))).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     # a class takes part in the block of its chunk with every chunk
