@@ -170,25 +170,18 @@ def distinct_prompts(df: DataFrame, key: str, prompts: dict[str, Column]) -> tup
     long = df.select(F.col(key), stacked)
     h = F.coalesce(F.sha2(F.col("prompt"), 256), F.concat(F.lit("~"), F.col("stage"), F.lit("~"), F.col(key)))
     long = long.withColumn("h", h)
-    uniq = (long.where(F.col("prompt").isNotNull()).select("h", "prompt")
-            .dropDuplicates(["h"]))
+    uniq = long.where(F.col("prompt").isNotNull()).select("h", "prompt").distinct()  # hash aggregate, no buffers
     return long, uniq
 
 
-ANSWER_BROADCAST_ROWS = 1_000_000
-
-
 def infer_long(df: DataFrame, key: str, prompts: dict[str, Column], fn, batch_size: int = 64,
-               partitions: int | None = None, checkpoint: bool = True,
-               broadcast_rows: int | None = ANSWER_BROADCAST_ROWS) -> DataFrame:
+               partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """``(key, stage, answer)`` for every row and stage; NULL answer when the
     prompt is NULL or the call failed.
 
     Joining answers back: one prompt may be shared by a large share of the
-    rows (a hot hash).  The de-duplicated answers are broadcast when their
-    row count (cheap: they are checkpointed) is within ``broadcast_rows``,
-    so hot hashes never meet in one reducer; beyond it the shuffle join
-    relies on AQE's skew-join splitting."""
+    rows (a hot hash).  Spark broadcasts the de-duplicated answers when their
+    bytes allow; beyond that AQE splits the hot partitions of the join."""
     long, uniq = distinct_prompts(df, key, prompts)
     if partitions:
         uniq = uniq.repartition(partitions, "h")
@@ -197,8 +190,6 @@ def infer_long(df: DataFrame, key: str, prompts: dict[str, Column], fn, batch_si
         # Reliable checkpoint in the shared spark.checkpoint.dir: the paid
         # calls run once; downstream retries read the stored answers.
         answers = answers.checkpoint(eager=True)
-        if broadcast_rows is not None and answers.count() <= broadcast_rows:
-            answers = F.broadcast(answers)
     return long.join(answers, "h", "left").select(key, "stage", "answer")
 
 

@@ -242,7 +242,7 @@ def manager_kpis(agg: DataFrame, entity: str) -> DataFrame:
 
 def manager_summary(view: DataFrame, entity: str, spark: SparkSession, settings: Settings = DEFAULT,
                     directory: DataFrame | None = None, contact_columns: bool = True) -> DataFrame:
-    """Roll-up per ``entity`` (69 columns with contact columns, 64 without;
+    """Roll-up per ``entity`` (69 columns with contact columns, 67 without;
     with a directory the address comes from it when present).
 
     One path from the view: a single aggregate (KPI records + category
@@ -295,10 +295,10 @@ def manager_summary(view: DataFrame, entity: str, spark: SparkSession, settings:
         else:
             out.append(F.when(blank, F.lit(0.0)).otherwise(F.coalesce(c.cast("double"), F.lit(0.0))).alias(name))
     res = j.select(*out)
-    if not contact_columns:
-        return res
     m = F.col(entity)
     gen = generated_contact(m, settings)
+    if not contact_columns:  # the older variant: name parts and the generated address, no directory and no status
+        return res.withColumns({"name": name_first(m), "surname": name_last(m), "email": gen})
     res = res.withColumns({"name": name_first(m), "surname": name_last(m), "generated_email": gen})
     if directory is None:
         return res.withColumns({"email": gen, "email_status": F.lit("correct")})

@@ -5,10 +5,10 @@ Scale notes: the target can be large, the batch is the incremental slice.
 The target is only touched through (a) a semi join that keeps the target
 keys present in the batch (build side: batch keys), and (b) one anti join
 that drops replaced rows (build side: winning keys).  Both build sides are
-batch-sized; they are broadcast only after their row count has been
-checked against ``broadcast_rows``, otherwise the join stays a shuffle
-join.  The target's payload columns are never shuffled through a
-full-outer join.
+batch-sized; whether they are broadcast is left to Spark, which compares
+their bytes (estimated, or measured by AQE after their exchange) with
+``autoBroadcastJoinThreshold``.  The target's payload columns are never
+shuffled through a full-outer join.
 """
 
 from __future__ import annotations
@@ -18,29 +18,18 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 2_000_000  # ~tens of MB of keys
-
-
-def _maybe_broadcast(df: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only behind a row-count check (one number to the driver)."""
-    if broadcast_rows is None:
-        return df
-    return F.broadcast(df) if df.count() <= broadcast_rows else df
-
-
 def assert_unique_keys(batch: DataFrame, key: str) -> None:
     dup = batch.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"batch has duplicate key {dup[0][key]!r}: a MERGE source must be unique on {key}")
 
 
-def classify_batch(target: DataFrame, batch: DataFrame, key: str = "usecase_id",
-                   date_col: str = "last_modified_date", broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
+def classify_batch(target: DataFrame, batch: DataFrame, key: str = "usecase_id", date_col: str = "last_modified_date") -> DataFrame:
     """Batch rows with ``_action``: ``insert`` (key not in target),
     ``update`` (batch date strictly newer) or ``unchanged``."""
     # Semi-join build side: duplicates would not change the result, and batch
     # keys are unique by the MERGE contract, so no distinct() (no shuffle).
-    bkeys = _maybe_broadcast(batch.select(key), broadcast_rows)
+    bkeys = batch.select(key)
     matched = (target.select(key, F.col(date_col).alias("_t_date"), F.lit(True).alias("_in_t"))
                .join(bkeys, key, "left_semi"))
     j = batch.join(matched, key, "left")
@@ -50,37 +39,34 @@ def classify_batch(target: DataFrame, batch: DataFrame, key: str = "usecase_id",
     return j.withColumn("_action", action).drop("_t_date", "_in_t")
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str = "usecase_id", date_col: str = "last_modified_date",
-           broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, key: str = "usecase_id", date_col: str = "last_modified_date") -> DataFrame:
     """New table state: matched rows whose batch date is newer are replaced
     whole, unmatched batch rows are inserted, everything else is kept.
     No deletes."""
     cols = target.columns
-    cls = classify_batch(target, batch, key, date_col, broadcast_rows)
+    cls = classify_batch(target, batch, key, date_col)
     winners = cls.where(F.col("_action") != "unchanged").select(*cols)
-    wkeys = _maybe_broadcast(cls.where(F.col("_action") == "update").select(key), broadcast_rows)
+    wkeys = cls.where(F.col("_action") == "update").select(key)
     kept = target.join(wkeys, key, "left_anti")
     return kept.unionByName(winners)
 
 
-def upsert_actions(target: DataFrame, batch: DataFrame, key: str = "usecase_id",
-                   date_col: str = "last_modified_date", broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
+def upsert_actions(target: DataFrame, batch: DataFrame, key: str = "usecase_id", date_col: str = "last_modified_date") -> DataFrame:
     """Outcome accounting of one upsert: rows per action."""
-    return (classify_batch(target, batch, key, date_col, broadcast_rows)
+    return (classify_batch(target, batch, key, date_col)
             .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def change_feed(target: DataFrame, batch: DataFrame, key: str = "usecase_id",
-                date_col: str = "last_modified_date", broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
+def change_feed(target: DataFrame, batch: DataFrame, key: str = "usecase_id", date_col: str = "last_modified_date") -> DataFrame:
     """Changes produced by one upsert, with ``_change_type`` in {insert,
     update_preimage, update_postimage}: derived from the batch and the
     matched target rows only, never by diffing two full versions."""
     cols = target.columns
-    cls = classify_batch(target, batch, key, date_col, broadcast_rows)
+    cls = classify_batch(target, batch, key, date_col)
     post = cls.where(F.col("_action") != "unchanged").select(
         *cols, F.when(F.col("_action") == "insert", F.lit("insert"))
                 .otherwise(F.lit("update_postimage")).alias("_change_type"))
-    upd_keys = _maybe_broadcast(cls.where(F.col("_action") == "update").select(key), broadcast_rows)
+    upd_keys = cls.where(F.col("_action") == "update").select(key)
     pre = target.join(upd_keys, key, "left_semi").select(*cols, F.lit("update_preimage").alias("_change_type"))
     return post.unionByName(pre)
 

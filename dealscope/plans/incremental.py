@@ -46,12 +46,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def incremental_state(target: DataFrame, source: DataFrame, settings: Settings = DEFAULT, backend="rule",
-                      watermark=None, broadcast_rows: int | None = up.BROADCAST_ROWS) -> DataFrame:
+                      watermark=None) -> DataFrame:
     """Side-effect-free form of one run: the next table state as a DataFrame
     (the enriched batch is materialised once, as in ``run_incremental``)."""
     wm = ex.watermark(target, settings) if watermark is None else watermark
     batch = materialize(conform(incremental_batch(source, wm, settings, backend)))
-    return up.upsert(conform(target), batch, broadcast_rows=broadcast_rows)
+    return up.upsert(conform(target), batch)
 
 
 def run_incremental(spark: SparkSession, source: DataFrame, table: VersionedTable,

@@ -231,14 +231,10 @@ def level_disagreement(spark, sf_dir):
 # -- target lifecycle: watermark, upsert, change feed, bootstrap, runs ----------
 
 
-# The enriched batch is materialised (reliable checkpoint) before the upsert,
-# so the explicit row-count check of the broadcast sides is cheap.
-QUERY_BROADCAST = up.BROADCAST_ROWS
-
-
 def _v0(spark, sf_dir):
     """Target version 0 (a stored table in a real deployment)."""
-    return fx.materialized(spark, "target_v0", (sf_dir, repr(S)),
+    key = (sf_dir, repr(S), fx.input_identity(spark, sf_dir), spark.sparkContext.applicationId)
+    return fx.materialized(spark, "target_v0", key,
                            lambda: inc.fixture_target_v0(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S),
                            partition_col="usecase_id")
 
@@ -257,24 +253,24 @@ def watermark_read(spark, sf_dir):
 @register("upsert_newer_wins")
 def upsert_newer_wins(spark, sf_dir):
     v0 = _v0(spark, sf_dir)
-    return up.upsert(v0, _batch(spark, sf_dir, v0), broadcast_rows=QUERY_BROADCAST)
+    return up.upsert(v0, _batch(spark, sf_dir, v0))
 
 
 @register("upsert_actions")
 def upsert_actions(spark, sf_dir):
     v0 = _v0(spark, sf_dir)
-    return up.upsert_actions(v0, _batch(spark, sf_dir, v0), broadcast_rows=QUERY_BROADCAST)
+    return up.upsert_actions(v0, _batch(spark, sf_dir, v0))
 
 
 @register("change_feed")
 def change_feed(spark, sf_dir):
     v0 = _v0(spark, sf_dir)
-    return up.change_feed(v0, _batch(spark, sf_dir, v0), broadcast_rows=QUERY_BROADCAST)
+    return up.change_feed(v0, _batch(spark, sf_dir, v0))
 
 
 @register("incremental_run")
 def incremental_run(spark, sf_dir):
-    return inc.incremental_state(_v0(spark, sf_dir), _uc(spark, sf_dir), S, broadcast_rows=QUERY_BROADCAST)
+    return inc.incremental_state(_v0(spark, sf_dir), _uc(spark, sf_dir), S)
 
 
 @register("full_refresh_run")

@@ -34,23 +34,13 @@ RADAR_COLUMNS = tuple(c for c in REPORTING_COLUMNS if c != "soundbyte")
 _FROM_TARGET = {"usecase_id", "num_of_blockers", *_TEXT_BLOCK, *_SCORE_BLOCK}
 
 
-KEY_BROADCAST_ROWS = 2_000_000  # target keys only: ~tens of MB
-
-
-def _joined(target: DataFrame, source: DataFrame, settings: Settings,
-            broadcast_rows: int | None = KEY_BROADCAST_ROWS) -> DataFrame:
-    """Target x source on the key.  The source side is wide (long texts)
-    and usually much larger than the target, so it is first reduced by a
-    broadcast semi join on the target's keys (narrow, broadcast only after a
-    row-count check): the scan streams through a hash lookup and only
-    matching source rows reach the join's shuffle."""
+def _joined(target: DataFrame, source: DataFrame, settings: Settings) -> DataFrame:
+    """Target x source on the key, both cut to the columns that the view
+    shows.  Spark chooses the join by bytes: the narrower side is broadcast
+    when its measured size allows, otherwise both are exchanged on the key."""
     src_cols = [c for c in _SOURCE_HEAD if c not in _FROM_TARGET] + ["vertical"]
     src = source.select("usecase_id", *src_cols)
     t = target.select(*[c for c in target.columns if c in _FROM_TARGET])
-    if broadcast_rows is not None:
-        keys = t.select("usecase_id")
-        if keys.count() <= broadcast_rows:
-            src = src.join(F.broadcast(keys), "usecase_id", "left_semi")
     return t.join(src, "usecase_id", "inner")
 
 

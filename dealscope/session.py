@@ -34,7 +34,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (unit tests) a scratch folder is created.
+    is; a cluster without it is refused.  Only in local mode (tests, bench,
+    one machine) a scratch folder is created where it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="dealscope-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch

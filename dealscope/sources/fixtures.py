@@ -44,7 +44,8 @@ def _cached(spark: SparkSession, key: tuple, build):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _cached(spark, ("table", sf_dir, name), lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    path = f"{sf_dir}/{name}.parquet"
+    return _cached(spark, ("table", path, file_identity(spark, path)), lambda: spark.read.parquet(path))
 
 
 def _by_mod(k: Column, n: int, cases: dict[int, object], default) -> Column:
@@ -105,25 +106,44 @@ def _code_key() -> str:
     return h.hexdigest()[:16]
 
 
+def file_identity(spark: SparkSession, path: str) -> tuple:
+    """(name, length, modification time) of every file under ``path``: what a
+    derived table depends on, so it never outlives its input."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return ()
+    files, out = fs.listFiles(root, True), []
+    while files.hasNext():
+        s = files.next()
+        out.append((s.getPath().getName(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def input_identity(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the identity of every given table."""
+    import hashlib
+    parts = [(t, file_identity(spark, f"{sf_dir}/{t}.parquet")) for t in TABLES]
+    return hashlib.sha256(repr(parts).encode()).hexdigest()[:20]
+
+
 def materialized(spark: SparkSession, name: str, key: tuple, build, partition_col: str | None = None,
                  partitions: int | None = None, cluster_col: str | None = None) -> DataFrame:
     """Read a derived table from the shared folder, deriving and writing it
-    (by Spark, from the given tables) the first time.  Written tables cut
-    lineage: later queries scan parquet instead of re-planning and
-    re-running the derivation."""
+    (by Spark, from the given tables) the first time.  ``key`` must hold the
+    identity of the input.  A table is written to a folder of its own, then
+    renamed once; it counts only with Spark's ``_SUCCESS`` marker, and of two
+    concurrent writers the first rename wins."""
     import hashlib
+    import uuid
 
-    from pyspark.errors import AnalysisException
     digest = hashlib.sha256(repr((name, key, _code_key())).encode()).hexdigest()[:20]
     path = f"{shared_root(spark)}/dealscope-tables/{name}-{digest}"
 
-    def read():
-        return spark.read.parquet(path)
-
     def get():
-        try:
-            return read()
-        except AnalysisException:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path
+        fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(jpath(path + "/_SUCCESS")):
             df = build()
             n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
             if cluster_col is not None:
@@ -132,31 +152,25 @@ def materialized(spark: SparkSession, name: str, key: tuple, build, partition_co
                 df = df.repartitionByRange(n, cluster_col).sortWithinPartitions(cluster_col)
             elif partition_col is not None:
                 df = df.repartition(n, partition_col)
-            try:
-                df.write.mode("errorifexists").parquet(path)
-            except AnalysisException:
-                # Written concurrently by another job: wait for its commit.
-                import time
-                for attempt in range(30):
-                    try:
-                        return read()
-                    except AnalysisException:
-                        time.sleep(2)
-            return read()
+            own = f"{path}-{uuid.uuid4().hex}"
+            df.write.mode("errorifexists").parquet(own)
+            if fs.exists(jpath(path)) or not fs.rename(jpath(own), jpath(path)):
+                fs.delete(jpath(own), True)  # another job published it meanwhile
+        return spark.read.parquet(path)
     return _cached(spark, ("materialized", path), get)
 
 
 def usecases(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
     """The source fact table, one row per use case (key ``usecase_id``),
-    derived once from the test tables and stored as a table clustered by
+    derived once per state of the test tables and stored as a table clustered by
     change date (the layout that keeps incremental reads cheap)."""
-    return materialized(spark, "usecases", (sf_dir, repr(settings)),
+    return materialized(spark, "usecases", (sf_dir, repr(settings), input_identity(spark, sf_dir)),
                         lambda: derive_usecases(spark, sf_dir, settings), cluster_col="last_modified_date")
 
 
 def derive_usecases(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
     """The lazy derivation of ``usecases`` from the test tables."""
-    return _cached(spark, ("usecases", sf_dir, repr(settings)), lambda: _usecases(spark, sf_dir, settings))
+    return _cached(spark, ("usecases", sf_dir, repr(settings), input_identity(spark, sf_dir)), lambda: _usecases(spark, sf_dir, settings))
 
 
 def _usecases(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
@@ -260,7 +274,7 @@ def _usecases(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame
 
 
 def directory(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
-    return _cached(spark, ("directory", sf_dir, repr(settings)), lambda: _directory(spark, sf_dir, settings))
+    return _cached(spark, ("directory", sf_dir, repr(settings), input_identity(spark, sf_dir)), lambda: _directory(spark, sf_dir, settings))
 
 
 def _directory(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:

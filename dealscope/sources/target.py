@@ -1,16 +1,14 @@
-"""The narrow target table: fixed schema with column comments, stored as a
-versioned parquet dataset (``_version=n`` partitions).
+"""The narrow target table: fixed schema with column comments, stored as one
+parquet folder per version.
 
 A run reads version *n* and writes the complete next state as version
-*n+1* in its own partition directory, so a table is never overwritten by a
-query that reads it, a failed job leaves the current version intact (the
-file committer publishes the partition at job commit) and earlier versions
-stay readable for change feeds.  Single writer per table is assumed.
+*n+1* into its own folder, so a table is never overwritten by a query that
+reads it, a failed job leaves the current version intact and earlier
+versions stay readable for change feeds until they are expired.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +16,6 @@ from pyspark.sql import types as T
 from dealscope.functions.answers import SCORE_COLUMNS
 from dealscope.settings import DIMENSIONS
 
-VERSION = "_version"
-
 _COMMENTS = {
     "usecase_id": "Primary key: use case identifier of the source",
     "last_modified_date": "Change date of the source row (detects updates)",
@@ -73,46 +69,74 @@ def conform(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
 
 
 class VersionedTable:
-    """Versioned parquet table at ``path`` (a shared, cluster-visible URI)."""
+    """Versioned parquet table at ``path`` (a shared, cluster-visible URI).
+
+    Every version is a folder ``v=00000001`` of its own, written with
+    ``errorifexists`` and valid only with the ``_SUCCESS`` marker that Spark
+    leaves at job commit; versions are found by listing folder names, so no
+    data file is opened and a half-written version is never current.  Two
+    writers of the same version cannot both succeed.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
         self.schema = schema or target_schema()
-        self._stored = T.StructType(list(self.schema.fields) + [T.StructField(VERSION, T.IntegerType())])
 
-    def _all(self) -> DataFrame:
-        return self.spark.read.schema(self._stored).parquet(self.path)
+    def _fs(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/v={version:08d}"
+
+    def versions(self) -> list[int]:
+        """Committed versions in ascending order."""
+        folder, fs = self._fs()
+        if not fs.exists(folder):
+            return []
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+        found = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+        return [v for v in found if fs.exists(path(self._folder(v) + "/_SUCCESS"))]
 
     def exists(self) -> bool:
-        try:
-            self._all().limit(0).collect()  # resolves the path; reads no data
-            return True
-        except AnalysisException:
-            return False
+        return bool(self.versions())
 
     def create_if_missing(self) -> bool:
         """Create an empty table (version 0) unless one exists; True if created."""
         if self.exists():
             return False
-        empty = self.spark.createDataFrame([], self.schema).withColumn(VERSION, F.lit(0))
-        empty.write.mode("append").partitionBy(VERSION).parquet(self.path)
+        self.spark.createDataFrame([], self.schema).write.mode("errorifexists").parquet(self._folder(0))
         return True
 
     def current_version(self) -> int:
-        v = self._all().agg(F.max(VERSION).alias("v")).first()["v"]
-        return int(v) if v is not None else 0
+        return max(self.versions(), default=0)
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
-        return self._all().where(F.col(VERSION) == v).drop(VERSION)
+        return self.spark.read.schema(self.schema).parquet(self._folder(v))
 
     def write_next(self, df: DataFrame, expected_version: int | None = None) -> int:
-        """Append the complete next state as a new version; returns it."""
+        """Write the complete next state as a new version; returns it.
+
+        A folder without its marker, left by a crashed run, is skipped: the
+        version after it is written."""
         current = self.current_version()
         if expected_version is not None and current != expected_version:
             raise RuntimeError(f"table moved from version {expected_version} to {current} during the run")
+        folder, fs = self._fs()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
         nxt = current + 1
-        conform(df, self.schema).withColumn(VERSION, F.lit(nxt)).write.mode("append") \
-            .partitionBy(VERSION).parquet(self.path)
+        while fs.exists(path(self._folder(nxt))):
+            nxt += 1
+        conform(df, self.schema).write.mode("errorifexists").parquet(self._folder(nxt))
         return nxt
+
+    def expire(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
+        old = self.versions()[:-keep] if keep > 0 else []
+        _, fs = self._fs()
+        for v in old:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(v)), True)
+        return old

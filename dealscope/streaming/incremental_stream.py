@@ -14,42 +14,45 @@ the target ends in the same state.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from dealscope.operators import enrich as en
 from dealscope.operators import extract as ex
 from dealscope.operators import upsert as up
+from dealscope.session import ensure_checkpoint_dir
 from dealscope.settings import DEFAULT, Settings
-from dealscope.sources.fixtures import shared_root
 from dealscope.sources.target import VersionedTable, conform
 
 
+def latest_rows(batch: DataFrame, key: str = "usecase_id", date_col: str = "last_modified_date") -> DataFrame:
+    """The newest row per key; equal dates are decided by a hash of the whole
+    row, so a replay picks the same one.  Rows with a NULL date come last."""
+    order = Window.partitionBy(key).orderBy(F.col(date_col).desc_nulls_last(), F.xxhash64(*batch.columns).desc())
+    return batch.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+
+
 def process_batch(batch: DataFrame, table: VersionedTable, settings: Settings = DEFAULT, backend="rule") -> int:
     """Upsert one micro-batch of source rows; returns the new version (or the
-    current one when nothing qualified)."""
+    current one when nothing qualified).  A key that arrives several times is
+    reduced to its newest row before anything is enriched."""
     table.create_if_missing()
     version = table.current_version()
-    enriched = conform(en.enrich(ex.extract(batch, None, settings), settings, backend))
-    enriched = enriched.checkpoint(eager=True)  # paid once; read by the size checks and the join
+    enriched = conform(en.enrich(ex.extract(latest_rows(batch), None, settings), settings, backend))
+    enriched = enriched.checkpoint(eager=True)  # paid once; read by both branches of the upsert
     if enriched.isEmpty():
         return version
-    # Within one micro-batch a key may arrive twice: keep its newest row.
-    latest = enriched.groupBy("usecase_id").agg(
-        {"last_modified_date": "max"}).withColumnRenamed("max(last_modified_date)", "_max")
-    enriched = (enriched.join(latest, "usecase_id")
-                .where("last_modified_date <=> _max").drop("_max")
-                .dropDuplicates(["usecase_id"]))
-    new_state = up.upsert(table.read(version), enriched)
-    return table.write_next(new_state, expected_version=version)
+    return table.write_next(up.upsert(table.read(version), enriched), expected_version=version)
 
 
 def start(spark: SparkSession, source_path: str, source_schema: StructType, table: VersionedTable,
           checkpoint_location: str | None = None, settings: Settings = DEFAULT, backend="rule",
           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; the checkpoint defaults to the shared folder."""
-    location = checkpoint_location or f"{shared_root(spark)}/dealscope-streams/incremental"
+    """Start the stream; each target table has a checkpoint of its own beside it by default."""
+    ensure_checkpoint_dir(spark)
+    location = checkpoint_location or f"{table.path}-stream"
     reader = spark.readStream.schema(source_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

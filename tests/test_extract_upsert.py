@@ -51,8 +51,10 @@ def _t(spark, rows):
     return spark.createDataFrame(rows, "usecase_id string, last_modified_date date, v string")
 
 
-@pytest.mark.parametrize("broadcast_rows", [None, 10])
-def test_upsert_newer_wins(spark, broadcast_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_upsert_newer_wins(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     target = _t(spark, [("a", D(2020, 1, 1), "old"), ("b", D(2020, 1, 5), "old"), ("c", D(2020, 1, 1), "old"),
                         ("d", None, "old"), ("k", D(2020, 1, 1), "keep")])
     batch = _t(spark, [("a", D(2020, 1, 2), "new"),   # newer -> update
@@ -60,17 +62,18 @@ def test_upsert_newer_wins(spark, broadcast_rows):
                        ("c", D(2019, 1, 1), "new"),   # older -> unchanged
                        ("d", D(2020, 1, 1), "new"),   # target date NULL -> unchanged
                        ("e", None, "new")])           # new key -> insert
-    out = {r["usecase_id"]: r["v"] for r in up.upsert(target, batch, broadcast_rows=broadcast_rows).collect()}
+    out = {r["usecase_id"]: r["v"] for r in up.upsert(target, batch).collect()}
     assert out == {"a": "new", "b": "old", "c": "old", "d": "old", "e": "new", "k": "keep"}
-    acts = {r["action"]: r["n"] for r in up.upsert_actions(target, batch, broadcast_rows=broadcast_rows).collect()}
+    acts = {r["action"]: r["n"] for r in up.upsert_actions(target, batch).collect()}
     assert acts == {"update": 1, "unchanged": 3, "insert": 1}
     feed = sorted((r["usecase_id"], r["_change_type"], r["v"])
-                  for r in up.change_feed(target, batch, broadcast_rows=broadcast_rows).collect())
+                  for r in up.change_feed(target, batch).collect())
     assert feed == [("a", "update_postimage", "new"), ("a", "update_preimage", "old"), ("e", "insert", "new")]
     # second application of the same batch changes nothing
-    once = up.upsert(target, batch, broadcast_rows=broadcast_rows)
-    twice = up.upsert(once, batch, broadcast_rows=broadcast_rows)
+    once = up.upsert(target, batch)
+    twice = up.upsert(once, batch)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_diff_versions(spark):

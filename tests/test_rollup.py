@@ -56,9 +56,8 @@ def test_pct_half_up_exact(spark):
     assert got == [12.5, 33.33, 66.67, 3.13]
 
 
-def test_reporting_join_reduction_is_transparent(spark):
-    """The broadcast key semi join in front of the view join changes the plan,
-    never the rows."""
+def test_reporting_join_is_the_same_with_and_without_broadcast(spark):
+    """Spark's choice of the join by size changes the plan, never the rows."""
     from dealscope.operators.extract import lookahead
     from dealscope.plans import reporting as rp
     from dealscope.plans.queries import _state
@@ -68,8 +67,18 @@ def test_reporting_join_reduction_is_transparent(spark):
     sf = "/root/testdata/sf0.001"
     target, source = _state(spark, sf), fx.usecases(spark, sf, DEFAULT)
     src = source.where(lookahead(DEFAULT))
-    reduced = rp._joined(target, src, DEFAULT)
-    plain = rp._joined(target, src, DEFAULT, broadcast_rows=None)
     cols = ["usecase_id", "stage", "context", "estimated_monthly_value"]
-    assert sorted(map(tuple, reduced.select(cols).collect())) == sorted(map(tuple, plain.select(cols).collect()))
-    assert "LeftSemi" in reduced._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = []
+    for threshold in ("-1", "100MB"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        rows.append(sorted(map(tuple, rp._joined(target, src, DEFAULT).select(cols).collect())))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows[0] == rows[1] and rows[0]
+
+
+def test_older_summary_variant_has_name_parts_and_address(spark):
+    from dealscope.plans.queries import REGISTRY
+
+    df = REGISTRY["sales_manager_summary_basic"](spark, "/root/testdata/sf0.001")
+    assert len(df.columns) == 67 and df.columns[-3:] == ["name", "surname", "email"]
