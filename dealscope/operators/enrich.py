@@ -84,11 +84,11 @@ def _cs(x: Column) -> Column:
 
 def context_stage(s: Settings) -> Stage:
     content = F.concat(
-        F.lit("Main contact: "), F.coalesce(_t("ae_authority"), F.lit("not specified.")),
-        F.lit(" Funding: "), F.coalesce(_t("ae_money_budget"), F.lit("not specified.")),
-        F.lit(" Outcome: "), F.coalesce(_t("business_outcome_description"), F.lit("no business outcome provided.")),
+        F.lit("Notes: "), F.coalesce(strip_html("sdr_bdr_notes", s.cut_notes_at), F.lit("no context provided.")),
         F.lit(" Impact: "), F.coalesce(_t("business_impact"), F.lit("no business impact provided.")),
-        F.lit(" Notes: "), F.coalesce(strip_html("sdr_bdr_notes", s.cut_notes_at), F.lit("no context provided.")),
+        F.lit(" Outcome: "), F.coalesce(_t("business_outcome_description"), F.lit("no business outcome provided.")),
+        F.lit(" Main contact: "), F.coalesce(_t("ae_authority"), F.lit("not specified.")),
+        F.lit(" Funding: "), F.coalesce(_t("ae_money_budget"), F.lit("not specified.")),
     )
     prompt = F.concat(F.lit("Summarise in at most four sentences the customer's challenge, the expected "
                             "value, the role of the main contact and whether funding is approved.\n"), content)
@@ -142,8 +142,10 @@ def usecase_type_stage(s: Settings) -> Stage:
 def business_label_stage(s: Settings) -> Stage:
     industry = F.when(has_text("industry_imperative"),
                       F.lower(first_words(F.col("industry_imperative"), 1))).otherwise(F.lit("general"))
+    # the first three words of the most telling run of the name and the whole description
+    told = F.concat_ws(" ", _t("usecase_name"), _t("usecase_description"))
     rule = F.when(has_text("usecase_name"),
-                  F.concat(F.lower(first_words(F.col("usecase_name"), 3)), F.lit(" for "), industry))
+                  F.concat(F.lower(first_words(rule_summarize(told, 10), 3)), F.lit(" for "), industry))
     prompt = F.concat(
         F.lit("Give a business label of at most five words, nothing else. Use case: "),
         F.coalesce(_t("usecase_name"), F.lit("unknown")),
@@ -169,7 +171,7 @@ def soundbyte_stage(s: Settings) -> Stage:
     rule = F.concat(
         F.lit("By delivering "), F.lower(F.col("usecase_type")), F.lit(" for "),
         F.coalesce(F.col("account_name"), F.lit("the customer")), F.lit(", the team turns "),
-        first_words(F.col("one_liner"), 12), F.lit(" into "), F.col("business_usecase_type"), F.lit("."))
+        rule_summarize(F.col("one_liner"), 10), F.lit(" into "), F.col("business_usecase_type"), F.lit("."))
     prompt = F.concat(
         F.lit("Write one executive sentence linking the technical solution to the business outcome.\n"),
         F.lit("Customer: "), F.coalesce(F.col("account_name"), F.lit("unknown")),

@@ -3,7 +3,7 @@
 A *stage* produces one column from a prompt.  Two backends:
 
 * ``rule`` (default): a deterministic stand-in written as Catalyst
-  expressions (summarise = first words, classify = keyword hits over a
+  expressions (summarise = the densest runs of words, classify = keyword hits over a
   closed label set, generate = template fill).  No Python in the plan, no
   shuffle, fully oracle-checkable.
 * a Python callable ``fn(list[str]) -> list[str | None]`` (or a factory
@@ -25,16 +25,33 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.functions.text import bind, first_words, tokens
+from dealscope.functions.text import bind, tokens, words
 
 # ---------------------------------------------------------------------------
 # Rule backend primitives
 # ---------------------------------------------------------------------------
 
 
+RUN = 10  # words per run of the extractive summary
+
+
 def rule_summarize(content: Column, max_words: int) -> Column:
-    """Extractive stand-in: the first ``max_words`` words of the content."""
-    return first_words(content, max_words)
+    """Extractive stand-in over the whole content: its words are cut into runs
+    of ``RUN``; the runs with most distinct long words (5 characters or more;
+    ties -> earlier run) are kept, in text order, up to ``max_words`` words.
+    A content of at most ``max_words`` words is its own summary."""
+    def run(w: Column, i: Column) -> Column:
+        return F.slice(w, i * RUN + 1, F.lit(RUN))
+
+    def pick(w: Column) -> Column:
+        last = F.floor((F.size(w) - 1) / F.lit(RUN)).cast("int")
+        scored = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+            (-F.size(F.array_distinct(F.filter(F.transform(run(w, i), F.lower), lambda x: F.length(x) >= 5))))
+            .alias("rank"), i.alias("at")))
+        best = F.transform(F.slice(F.array_sort(scored), 1, max_words // RUN), lambda r: r["at"])
+        chosen = F.flatten(F.transform(F.array_sort(best), lambda i: run(w, i)))
+        return F.array_join(F.when(F.size(w) <= max_words, w).otherwise(chosen), " ")
+    return bind(words(content), pick)
 
 
 def rule_classify(content: Column, labels: Sequence[tuple[str, Sequence[str]]]) -> Column:

@@ -28,6 +28,20 @@ def fw(x, n):
     return f"array_to_string(string_split({collapse(x)}, ' ')[1:{n}], ' ')"
 
 
+def ws(x):
+    """The words of a text; kept in a column of its own, as summaries use it several times."""
+    return f"string_split({collapse(x)}, ' ')"
+
+
+def sm(w, n):
+    """Whole-text summary of a word-list column: the runs of ten words with most distinct long words, in text order."""
+    run = f"{w}[i * 10 + 1:i * 10 + 10]"
+    ranked = (f"list_sort([{{'rank': -len(list_distinct([lower(y) for y in {run} if length(y) >= 5])), 'at': i}} "
+              f"for i in range(0, (len({w}) - 1) // 10 + 1)])[1:{n // 10}]")
+    return (f"array_to_string(CASE WHEN len({w}) <= {n} THEN {w} ELSE "
+            f"flatten([{run} for i in list_sort([r.at for r in {ranked}])]) END, ' ')")
+
+
 def wc(x):
     c = collapse(x)
     return f"(CASE WHEN COALESCE(length({c}), 0) = 0 THEN 0 ELSE len(string_split({c}, ' ')) END)"
@@ -56,11 +70,11 @@ def enriched_ctes(s: Settings = DEFAULT, src: str = "ex", prefix: str = "") -> l
     """CTEs l1..l5 + ``enr`` (31 target columns) on top of an extract CTE;
     ``prefix`` renames every CTE so two chains can live in one query."""
     ctx_content = (
-        f"'Main contact: ' || COALESCE(trim(ae_authority), 'not specified.') || "
-        f"' Funding: ' || COALESCE(trim(ae_money_budget), 'not specified.') || "
-        f"' Outcome: ' || COALESCE(trim(business_outcome_description), 'no business outcome provided.') || "
+        f"'Notes: ' || COALESCE({strip('sdr_bdr_notes', s.cut_notes_at)}, 'no context provided.') || "
         f"' Impact: ' || COALESCE(trim(business_impact), 'no business impact provided.') || "
-        f"' Notes: ' || COALESCE({strip('sdr_bdr_notes', s.cut_notes_at)}, 'no context provided.')")
+        f"' Outcome: ' || COALESCE(trim(business_outcome_description), 'no business outcome provided.') || "
+        f"' Main contact: ' || COALESCE(trim(ae_authority), 'not specified.') || "
+        f"' Funding: ' || COALESCE(trim(ae_money_budget), 'not specified.')")
     ctx_guard = " OR ".join(ht(c) for c in ("sdr_bdr_notes", "business_impact", "business_outcome_description",
                                             "ae_authority", "ae_money_budget"))
     blk_content = (
@@ -73,25 +87,31 @@ def enriched_ctes(s: Settings = DEFAULT, src: str = "ex", prefix: str = "") -> l
                     "COALESCE(trim(usecase_description), '.')")
     name_or_desc = f"({ht('usecase_name')} OR {ht('usecase_description')})"
     industry = f"CASE WHEN {ht('industry_imperative')} THEN lower({fw('industry_imperative', 1)}) ELSE 'general' END"
+    l0 = f"""SELECT *, {ws(ctx_content)} AS _w_ctx, {ws('trim(demand_plan_stage_next_steps)')} AS _w_next,
+  {ws('implementation_notes')} AS _w_impl, {ws(blk_content)} AS _w_blk,
+  {ws("concat_ws(' ', trim(usecase_name), trim(usecase_description))")} AS _w_told
+FROM {src}"""
     l1 = f"""SELECT *,
-  CASE WHEN {ctx_guard} THEN {fw(ctx_content, 100)} ELSE {q(NO_CONTEXT)} END AS context,
-  CASE WHEN {ht('demand_plan_stage_next_steps')} THEN {fw('trim(demand_plan_stage_next_steps)', 100)}
+  CASE WHEN {ctx_guard} THEN {sm('_w_ctx', 100)} ELSE {q(NO_CONTEXT)} END AS context,
+  CASE WHEN {ht('demand_plan_stage_next_steps')} THEN {sm('_w_next', 100)}
        ELSE {q(NO_NEXT_STEPS)} END AS next_steps_summary,
-  CASE WHEN {ht('implementation_notes')} THEN {fw('implementation_notes', 100)}
+  CASE WHEN {ht('implementation_notes')} THEN {sm('_w_impl', 100)}
        ELSE {q(NO_IMPLEMENTATION_PLAN)} END AS implementation_notes_summary,
-  CASE WHEN {blk_guard} THEN 'There are ' || {s_('num_of_blockers')} || ' blockers. ' || {fw(blk_content, 50)}
+  CASE WHEN {blk_guard} THEN 'There are ' || {s_('num_of_blockers')} || ' blockers. ' || {sm('_w_blk', 50)}
        WHEN num_of_blockers = 0 THEN {q(ZERO_BLOCKERS)} ELSE {q(NO_BLOCKER_DETAILS)} END AS blockers_summary,
   CASE WHEN {name_or_desc} THEN COALESCE({cls(type_content, USECASE_TYPES, en.USECASE_KEYWORDS)}, 'Other')
        ELSE 'Other' END AS usecase_type,
-  COALESCE(CASE WHEN {ht('usecase_name')} THEN lower({fw('usecase_name', 3)}) || ' for ' || {industry} END,
+  COALESCE(CASE WHEN {ht('usecase_name')} THEN lower({fw(sm('_w_told', 10), 3)}) || ' for ' || {industry} END,
            {q(UNKNOWN_BUSINESS_LABEL)}) AS business_usecase_type
-FROM {src}"""
+FROM l0"""
     one_content = ("'Use case: ' || COALESCE(trim(usecase_name), 'not named') || '. Description: ' || "
                    "COALESCE(trim(usecase_description), 'none') || '. Account context: ' || "
                    "COALESCE(trim(context), 'none')")
-    l2 = f"""SELECT *,
-  CASE WHEN {name_or_desc} THEN {fw(one_content, 50)} ELSE {q(NO_NAME_OR_DESCRIPTION)} END AS one_liner
-FROM l1"""
+    l1b = f"SELECT *, {ws(one_content)} AS _w_one FROM l1"
+    l2a = f"""SELECT *,
+  CASE WHEN {name_or_desc} THEN {sm('_w_one', 50)} ELSE {q(NO_NAME_OR_DESCRIPTION)} END AS one_liner
+FROM l1b"""
+    l2 = f"SELECT *, {ws('one_liner')} AS _w_line FROM l2a"
     ctxw = wc("context")
     dims = {
         "Pain": f"least(10, CAST(floor({ctxw} / 10) AS INTEGER))",
@@ -118,7 +138,7 @@ FROM l1"""
               f"CASE WHEN _score >= 70 THEN 'High' WHEN _score >= 40 THEN 'Medium' ELSE 'Low' END || {NL} || "
               f"'RATIONALE: ' || {rationale} || {NL} || 'DIMENSION_SCORES: ' || {dim_text}")
     soundbyte = ("'By delivering ' || lower(usecase_type) || ' for ' || COALESCE(account_name, 'the customer') || "
-                 f"', the team turns ' || {fw('one_liner', 12)} || ' into ' || business_usecase_type || '.'")
+                 f"', the team turns ' || {sm('_w_line', 10)} || ' into ' || business_usecase_type || '.'")
     l3 = f"""SELECT *,
   COALESCE({soundbyte}, {q(NO_SOUNDBYTE)}) AS soundbyte,
   COALESCE({answer}, {q(DEFAULT_ASSESSMENT)}) AS ai_confidence_score_advanced
@@ -172,7 +192,7 @@ FROM pn"""
   {d(s.as_of)} AS processed_date
 FROM l4"""
     enr = "SELECT " + ", ".join(en.ENRICHED_COLUMNS) + " FROM l5"
-    ctes = [("l1", l1), ("l2", l2), ("l3a", l3a), ("l3b", l3b), ("l3", l3), ("p", p), ("pn", pn),
+    ctes = [("l0", l0), ("l1", l1), ("l1b", l1b), ("l2a", l2a), ("l2", l2), ("l3a", l3a), ("l3b", l3b), ("l3", l3), ("p", p), ("pn", pn),
             ("l4", l4), ("l5", l5), ("enr", enr)]
     if not prefix:
         return ctes

@@ -111,3 +111,12 @@ def test_enrich_with_model_backend(spark, tmp_dir):
     calls = open(log).read().splitlines()
     # each distinct prompt is sent once (a failed answer is not retried by the level pass)
     assert len(calls) == len(set(calls))
+
+
+def test_summary_reads_the_whole_text(spark):
+    telling = "sponsor approved budget because warehouse migration removes nightly outages"
+    text = "it is ok so we go on " * 800 + telling + " and so it is" * 300
+    df = spark.createDataFrame([(text,), ("short  text",), ("",), (None,)], "t string")
+    got = [r[0] for r in df.select(inf.rule_summarize(F.col("t"), 50)).collect()]
+    assert "warehouse migration" in got[0] and len(got[0].split(" ")) <= 50
+    assert got[1:] == ["short text", "", None]
