@@ -32,6 +32,8 @@ from dealscope.llm import common
 
 SPAN = 4
 SECTION = 8
+#: Bytes of text in a range of ids.
+RANGE_BYTES = 8 << 20
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
@@ -133,8 +135,10 @@ def with_edits(docs: DataFrame) -> DataFrame:
     each range goes as a guest to the range before it too, so every task sees the follower of its last document.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    down = F.col("doc_id").desc_nulls_last()
-    ids = common.materialise(common.sorted_parts(texts.select("doc_id"), down), "ids")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = int(size // RANGE_BYTES) + 1  # by the size of the texts, not of the ids that are sorted here
+    ids = common.materialise(texts.select("doc_id").repartitionByRange(ranges, F.col("doc_id").desc_nulls_last())
+                             .withColumn("part", F.spark_partition_id()), "ids")
     tops = ids.groupBy("part").agg(F.max("doc_id").alias("top")).orderBy("part").collect()  # a row per range
     floor = -(1 << 63)
     bounds = np.array([floor if r.top is None else r.top for r in tops], dtype=np.int64)[::-1].copy()
