@@ -334,6 +334,12 @@ def stage_levels(s: Settings = DEFAULT) -> list[list[Stage]]:
     return _stage_set(s)["levels"]
 
 
+def all_stages(s: Settings = DEFAULT) -> list[Stage]:
+    """The twelve stages in the order of their levels."""
+    st = _stage_set(s)
+    return [x for level in st["levels"] for x in level] + [st["action"], *st["reasons"]]
+
+
 def _stage_levels(s: Settings) -> list[list[Stage]]:
     return [
         [context_stage(s), next_steps_stage(s), implementation_stage(s), blockers_stage(s),

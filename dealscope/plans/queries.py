@@ -522,17 +522,13 @@ def group_top_words(spark, sf_dir):
 # -- prompt de-duplication (I13) -------------------------------------------------------
 
 
-DEDUP_STAGES = ("next_steps_summary", "implementation_notes_summary", "usecase_type")
-
-
 @register("infer_distinct_prompts")
 def infer_distinct_prompts(spark, sf_dir):
-    """Per stage: rows, prompts actually sent (guard true) and distinct
-    prompts after the ``sha2`` de-duplication -- the calls a model backend
-    would pay."""
-    stages = {s.name: s for s in en.stage_levels(S)[0] if s.name in DEDUP_STAGES}
-    e = ex.extract(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S)
-    long, _ = inf.distinct_prompts(e, "usecase_id", {n: s.guarded_prompt() for n, s in stages.items()})
+    """Per stage, for all twelve: rows, prompts actually sent (guard true) and
+    distinct prompts after the ``sha2`` de-duplication -- the calls a model
+    backend would pay.  Later levels' prompts are built on the enriched rows."""
+    e = _enriched(spark, sf_dir, keep_inputs=True)
+    long, _ = inf.distinct_prompts(e, "usecase_id", {s.name: s.guarded_prompt() for s in en.all_stages(S)})
     return long.groupBy("stage").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("prompt").alias("sent"),

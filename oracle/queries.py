@@ -300,22 +300,73 @@ LEFT JOIN (SELECT usecase_type, count(*) AS usecase_count FROM rv WHERE business
 # -- prompt de-duplication (I13) ---------------------------------------------------------
 
 def _dedup_sql() -> str:
-    from oracle.enrich import ht
+    """Prompts of all twelve stages, spelled out, over the enriched rows with their inputs (l5)."""
+    from oracle.enrich import ht, strip
+
+    def told(c, blank):
+        return f"COALESCE(trim({c}), {q(blank)})"
+
+    def or_none(c, blank="none"):
+        return f"COALESCE({c}, {q(blank)})"
+    name_or_desc = f"({ht('usecase_name')} OR {ht('usecase_description')})"
+    noted = " OR ".join(ht(c) for c in ("sdr_bdr_notes", "business_impact", "business_outcome_description",
+                                        "ae_authority", "ae_money_budget"))
+    evidence = (f"'Context: ' || {or_none('context')} || chr(10) || 'Use case: ' || {or_none('one_liner')} || chr(10) "
+                f"|| 'Next steps: ' || {or_none('next_steps_summary')} || chr(10) || 'Implementation: ' || "
+                f"{or_none('implementation_notes_summary')} || chr(10) || 'Blockers: ' || "
+                f"{or_none('blockers_summary')} || chr(10) || 'Competition: ' || {or_none('competition_string')}")
+    names = ("Pain", "Champion", "ImplementationPlan", "DecisionProcess", "Urgency", "CompetitionAwareness",
+             "MajorBlockers", "MeasurableImpact")
+    scores = " || ', ' || ".join(f"'{n}=' || COALESCE(CAST({n.lower()}_score AS VARCHAR), 'None')" for n in names)
+    reason = ("'Rationale: ' || COALESCE(left(rationale_for_confidence_score, 200), 'N/A') || chr(10) || "
+              "'Next step: ' || COALESCE(left(next_best_action_recommendation, 200), 'N/A')")
+    n = "CAST(num_of_blockers AS VARCHAR)"
     prompts = {
-        "next_steps_summary": f"CASE WHEN {ht('demand_plan_stage_next_steps')} THEN "
-                              f"'Condense these next steps into one action-focused sentence:' || chr(10) || "
-                              f"trim(demand_plan_stage_next_steps) END",
-        "implementation_notes_summary": f"CASE WHEN {ht('implementation_notes')} THEN "
-                                        f"'Condense these implementation notes into a short paragraph on steps, "
-                                        f"milestones and owners:' || chr(10) || implementation_notes END",
-        "usecase_type": f"CASE WHEN {ht('usecase_name')} OR {ht('usecase_description')} THEN "
-                        f"'Pick the technical category of this use case.' || chr(10) || 'Use case: ' || "
-                        f"COALESCE(trim(usecase_name), '.') || ' Description: ' || "
-                        f"COALESCE(trim(usecase_description), '.') END",
+        "context": (noted, f"""'Summarise in at most four sentences the customer''s challenge, the expected value, '
+            || 'the role of the main contact and whether funding is approved.' || chr(10)
+            || 'Notes: ' || COALESCE({strip('sdr_bdr_notes', S.cut_notes_at)}, 'no context provided.')
+            || ' Impact: ' || {told('business_impact', 'no business impact provided.')}
+            || ' Outcome: ' || {told('business_outcome_description', 'no business outcome provided.')}
+            || ' Main contact: ' || {told('ae_authority', 'not specified.')}
+            || ' Funding: ' || {told('ae_money_budget', 'not specified.')}"""),
+        "next_steps_summary": (ht("demand_plan_stage_next_steps"), """'Condense these next steps into one '
+            || 'action-focused sentence:' || chr(10) || trim(demand_plan_stage_next_steps)"""),
+        "implementation_notes_summary": (ht("implementation_notes"), """'Condense these implementation notes into a '
+            || 'short paragraph on steps, milestones and owners:' || chr(10) || implementation_notes"""),
+        "blockers_summary": (
+            f"COALESCE(num_of_blockers <> 0, true) AND ({ht('last_modified_blocker_category')} OR "
+            f"{ht('last_modified_blocker_comment')})",
+            f"""'Name the main theme of the latest blocker in one sentence.' || chr(10) || 'There are ' || {n}
+            || ' blockers. ' || CASE WHEN {ht('last_modified_blocker_category')}
+                THEN 'Category: ' || trim(last_modified_blocker_category) || '. ' ELSE '' END
+            || {told('last_modified_blocker_comment', 'No blocker comment provided.')}"""),
+        "usecase_type": (name_or_desc, f"""'Pick the technical category of this use case.' || chr(10) || 'Use case: '
+            || {told('usecase_name', '.')} || ' Description: ' || {told('usecase_description', '.')}"""),
+        "business_usecase_type": ("true", f"""'Give a business label of at most five words, nothing else. Use case: '
+            || {told('usecase_name', 'unknown')} || '. Description: ' || {told('usecase_description', 'none')}
+            || '. Industry priority: ' || {told('industry_imperative', 'none')}"""),
+        "one_liner": (name_or_desc, f"""'State the core business objective of this use case in one line.' || chr(10)
+            || 'Use case: ' || {told('usecase_name', 'not named')} || '. Description: '
+            || {told('usecase_description', 'none')} || '. Account context: ' || {told('context', 'none')}"""),
+        "soundbyte": ("true", f"""'Write one executive sentence linking the technical solution to the business outcome.'
+            || chr(10) || 'Customer: ' || {or_none('account_name', 'unknown')} || chr(10) || 'Challenge: '
+            || {or_none('one_liner', 'not specified')} || chr(10) || 'Solution: '
+            || {or_none('usecase_type', 'not specified')} || chr(10) || 'Benefit: '
+            || {or_none('business_usecase_type', 'not specified')} || chr(10) || 'Goal: '
+            || {or_none('context', 'not specified')}"""),
+        "ai_confidence_score_advanced": ("true", f"""'Score this use case''s chance to reach production on eight '
+            || 'dimensions (0-10): {', '.join(names)}. Answer in four lines: CONFIDENCE_SCORE, LEVEL, RATIONALE, '
+            || 'DIMENSION_SCORES.' || chr(10) || {evidence}"""),
+        "next_best_action_recommendation": ("true", f"""'Recommend the single next best action for the account team '
+            || 'this week, in two lines: NEXT_BEST_ACTION and RATIONALE.' || chr(10) || {evidence} || chr(10)
+            || 'Scores: ' || {scores} || chr(10) || 'Level: ' || {or_none('confidence_level_normalized')}"""),
+        "slippage_category": ("likely_to_slip", f"""'Pick the main reason this use case may slip: ' || {reason}"""),
+        "accel_category": ("can_be_accelerated", f"""'Pick the main lever to accelerate this use case: ' || {reason}"""),
     }
-    parts = [f"SELECT {q(n)} AS stage, {p} AS prompt FROM ex" for n, p in prompts.items()]
-    return _uc("SELECT stage, count(*) AS rows, count(prompt) AS sent, count(DISTINCT prompt) AS distinct_prompts "
-               "FROM (" + " UNION ALL ".join(parts) + ") GROUP BY stage", _EX)
+    parts = [f"SELECT {q(k)} AS stage, CASE WHEN {guard} THEN {p} END AS prompt FROM l5"
+             for k, (guard, p) in prompts.items()]
+    return _enr("SELECT stage, count(*) AS rows, count(prompt) AS sent, count(DISTINCT prompt) AS distinct_prompts "
+                "FROM (" + " UNION ALL ".join(parts) + ") GROUP BY stage")
 
 
 SQL["infer_distinct_prompts"] = _dedup_sql()
