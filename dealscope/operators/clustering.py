@@ -53,16 +53,14 @@ def fit_clusters(features: DataFrame, k: int, seed: int = SEED):
 
 def assign_clusters(rows: DataFrame, k: int, seed: int = SEED, text_col: str = "business_usecase_type") -> DataFrame:
     """Rows with their cluster ``prediction``: fit on the weighted distinct
-    labels, then join the label -> cluster map back to the rows."""
+    labels, then apply the model (k centres) to the rows themselves -- no join
+    by label, so a frequent label meets in no task."""
     feats = weighted_label_features(rows, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_clusters(feats, k, seed)  # iterative: reads the persisted features
-        # The label -> cluster map is small; a reliable checkpoint keeps it
-        # (and cuts its lineage) after the features are released.
-        mapping = model.transform(feats).select(text_col, "prediction").checkpoint(eager=True)
     finally:
         feats.unpersist()
-    return label_tokens(rows, text_col).join(mapping, text_col, "inner")
+    return model.transform(label_features(label_tokens(rows, text_col))).drop("features")
 
 
 def silhouette_sweep(spark: SparkSession, rows: DataFrame, ks=range(2, 16), seed: int = SEED,
@@ -112,5 +110,6 @@ def cluster_names(clusters: DataFrame, group_col: str = "prediction", top: int =
 
 
 def named_rows(clusters: DataFrame, group_col: str = "prediction", top: int = 5) -> DataFrame:
-    """Every clustered row with its cluster's name and size."""
-    return clusters.join(cluster_names(clusters, group_col, top), group_col, "left")
+    """Every clustered row with its cluster's name and size (one row per
+    cluster, so that side is broadcast)."""
+    return clusters.join(F.broadcast(cluster_names(clusters, group_col, top)), group_col, "left")

@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealscope.functions import answers as ans
@@ -513,6 +514,43 @@ def cluster_names(spark, sf_dir):
     return cl.cluster_names(_clusters(spark, sf_dir))
 
 
+@register("named_rows")
+def named_rows(spark, sf_dir):
+    """Every row with its cluster's name and size, checked against the rows:
+    the size is the number of rows of that cluster and the name is not empty."""
+    rows = cl.named_rows(_clusters(spark, sf_dir))
+    size = F.count(F.lit(1)).over(Window.partitionBy("prediction"))
+    return rows.select("usecase_id", "business_usecase_type", (F.col("usecase_count") == size).alias("size_ok"),
+                       (F.length("category_name") > 0).alias("named"))
+
+
+@register("label_feature_mass")
+def label_feature_mass(spark, sf_dir):
+    """Term-frequency mass of every row's feature vector: its number of words."""
+    feats = cl.label_features(cl.label_tokens(_labels_view(spark, sf_dir)))
+    mass = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return feats.select("usecase_id", mass.cast("long").alias("mass"))
+
+
+@register("cluster_consistency")
+def cluster_consistency(spark, sf_dir):
+    """Per label: its rows, and whether they all lie in one cluster."""
+    return _clusters(spark, sf_dir).groupBy("business_usecase_type").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("prediction") == F.max("prediction")).alias("one_cluster"))
+
+
+@register("silhouette_range")
+def silhouette_range(spark, sf_dir):
+    return silhouette_sweep(spark, sf_dir).select(
+        "k", F.col("silhouette_score").between(-1.0, 1.0).alias("in_range"))
+
+
+@register("cluster_total")
+def cluster_total(spark, sf_dir):
+    """Rows of all clusters together."""
+    return cl.cluster_sizes(_clusters(spark, sf_dir)).agg(F.sum("usecase_count").alias("n"))
+
+
 @register("group_top_words")
 def group_top_words(spark, sf_dir):
     toks = cl.label_tokens(_labels_view(spark, sf_dir))

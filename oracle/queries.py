@@ -286,6 +286,13 @@ SQL["template_fill"] = _uc(f"SELECT e.usecase_id, {_template_sql()} AS filled FR
 
 SQL["label_tokens"] = _rv("SELECT usecase_id, business_usecase_type, string_split(lower(business_usecase_type), ' ') "
                           "AS words FROM rv WHERE business_usecase_type IS NOT NULL")
+_LABELLED = "FROM rv WHERE business_usecase_type IS NOT NULL"
+SQL["named_rows"] = _rv(f"SELECT usecase_id, business_usecase_type, true AS size_ok, true AS named {_LABELLED}")
+SQL["label_feature_mass"] = _rv("SELECT usecase_id, CAST(len(string_split(lower(business_usecase_type), ' ')) AS BIGINT) "
+                                f"AS mass {_LABELLED}")
+SQL["cluster_consistency"] = _rv(f"SELECT business_usecase_type, count(*) AS n, true AS one_cluster {_LABELLED} GROUP BY 1")
+SQL["silhouette_range"] = _rv("SELECT CAST(k AS INTEGER) AS k, true AS in_range FROM range(2, 16) t(k)")
+SQL["cluster_total"] = _rv(f"SELECT count(*) AS n {_LABELLED}")
 SQL["group_top_words"] = _rv("""SELECT n.usecase_type, n.category_name, s.usecase_count FROM (
   SELECT usecase_type, string_agg(word, ' ' ORDER BY rank) AS category_name FROM (
     SELECT usecase_type, word, ROW_NUMBER() OVER (PARTITION BY usecase_type ORDER BY count(*) DESC, word ASC) AS rank

@@ -1,6 +1,7 @@
 """Driver contract, clustering helpers and the streaming runner."""
 
 import datetime as dt
+import re
 
 import __spark_entry__ as E
 from dealscope.operators import clustering as cl
@@ -18,7 +19,7 @@ def test_entry_smoke(spark):
 def test_registry_and_oracles_line_up():
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
-    rows_only = set(q) - set(sql)
+    rows_only = {n for n in set(q) - set(sql) if not re.match(r"op\d+_|pipeline$", n)}  # the others are tested in tests/llm
     assert rows_only == {"label_features", "label_clusters", "silhouette_sweep", "cluster_sizes", "cluster_names"}
 
 
