@@ -136,7 +136,7 @@ def usecase_type_stage(s: Settings) -> Stage:
     prompt = F.concat(F.lit("Pick the technical category of this use case.\n"), content)
     return Stage("usecase_type", prompt, rule_classify(content, _labels(USECASE_TYPES, USECASE_KEYWORDS)),
                  guard=any_text("usecase_name", "usecase_description"), otherwise=F.lit("Other"),
-                 default="Other")
+                 default="Other", labels=tuple(USECASE_TYPES))
 
 
 def business_label_stage(s: Settings) -> Stage:
@@ -291,7 +291,7 @@ def slippage_stage(s: Settings) -> Stage:
                             + ".\n"), content)
     return Stage("slippage_category", prompt, rule_classify(content, _labels(SLIPPAGE_LABELS, SLIPPAGE_KEYWORDS)),
                  guard=ans.slip_flag(F.col("confidence_level_normalized")), otherwise=F.lit(NOT_APPLICABLE),
-                 default=UNKNOWN_SLIPPAGE)
+                 default=UNKNOWN_SLIPPAGE, labels=tuple(SLIPPAGE_LABELS))
 
 
 def acceleration_stage(s: Settings) -> Stage:
@@ -301,7 +301,7 @@ def acceleration_stage(s: Settings) -> Stage:
     return Stage("accel_category", prompt,
                  rule_classify(content, _labels(ACCELERATION_LABELS, ACCELERATION_KEYWORDS)),
                  guard=ans.accel_flag(F.col("confidence_level_normalized")), otherwise=F.lit(NOT_APPLICABLE),
-                 default=UNKNOWN_ACCELERATION)
+                 default=UNKNOWN_ACCELERATION, labels=tuple(ACCELERATION_LABELS))
 
 
 # -- the chain ---------------------------------------------------------------
@@ -350,8 +350,7 @@ def _stage_levels(s: Settings) -> list[list[Stage]]:
 
 
 def enrich(extract_df: DataFrame, settings: Settings = DEFAULT, backend: Backend = "rule",
-           key: str = "usecase_id", keep_inputs: bool = False, checkpoint_levels: bool = True,
-           **infer_opts) -> DataFrame:
+           key: str = "usecase_id", keep_inputs: bool = False, **infer_opts) -> DataFrame:
     """Add all enrichment columns (I1-I12, D1-D9) to the extract.
 
     With a callable backend every level's answers are checkpointed inside

@@ -18,6 +18,7 @@ whose guard is false gets a NULL prompt and is never sent.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -100,8 +101,14 @@ class Stage:
     otherwise: Column | None = None
     default: str | None = None
     post: Callable[[Column], Column] | None = None
+    #: Closed label set: any other answer counts as none.
+    labels: tuple[str, ...] | None = None
+    #: Model options as (name, value) pairs, e.g. max_tokens, temperature, top_p.
+    options: tuple[tuple[str, float], ...] = ()
 
     def finish(self, answer: Column) -> Column:
+        if self.labels is not None:
+            answer = F.when(answer.isin(*self.labels), answer)
         out = answer if self.default is None else F.coalesce(answer, F.lit(self.default))
         if self.post is not None:
             out = self.post(out)
@@ -119,16 +126,23 @@ Backend = str | Callable
 
 
 def apply_level(df: DataFrame, key: str, stages: Sequence[Stage], backend: Backend = "rule",
-                batch_size: int = 64, partitions: int | None = None) -> DataFrame:
-    """Add every stage of one dependency level to ``df``."""
+                batch_size: int = 64, partitions: int | None = None,
+                max_failure_rate: float | None = None) -> DataFrame:
+    """Add every stage of one dependency level to ``df``.
+
+    With a model backend the level's answers (key and one column per stage)
+    are written by a reliable checkpoint, so a level adds one scan and one
+    join to the plan, whatever came before it.  ``max_failure_rate``: share
+    of failed calls beyond which the run stops before anything is written."""
     if backend == "rule":
         return df.withColumns({s.name: s.finish(s.rule) for s in stages})
     answers = infer_long(df, key, {s.name: s.guarded_prompt() for s in stages}, backend,
-                         batch_size=batch_size, partitions=partitions)
+                         batch_size=batch_size, partitions=partitions, max_failure_rate=max_failure_rate,
+                         options={s.name: dict(s.options) for s in stages if s.options})
     tmp = {s.name: "__ans_" + s.name for s in stages}
     wide = (answers.groupBy(key)
             .agg(*[F.max(F.when(F.col("stage") == s.name, F.col("answer"))).alias(tmp[s.name])
-                   for s in stages]))
+                   for s in stages])).checkpoint(eager=True)
     out = df.join(wide, key, "left")
     out = out.withColumns({s.name: s.finish(F.col(tmp[s.name])) for s in stages})
     return out.drop(*tmp.values())
@@ -153,61 +167,85 @@ def model_factory(factory: Callable[[], Callable[[list[str]], list]]):
     return factory
 
 
+def takes_options(fn: Callable) -> Callable:
+    """Mark a model function that is called as ``fn(prompts, options)``."""
+    fn.takes_options = True
+    return fn
+
+
 def _call_batches(fn_or_factory, batch_size: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = _resolve(fn_or_factory)
+
+        def ask(prompts: list[str], options: str) -> list:
+            res = list(fn(prompts, json.loads(options)) if getattr(fn, "takes_options", False) else fn(prompts))
+            if len(res) != len(prompts):
+                raise ValueError("model returned a different number of answers")
+            return res
+
         for pdf in it:
-            hashes = pdf["h"].tolist()
-            prompts = pdf["prompt"].tolist()
-            out: list = []
-            for i in range(0, len(prompts), batch_size):
-                chunk = prompts[i:i + batch_size]
-                try:
-                    res = list(fn(chunk))
-                    if len(res) != len(chunk):
-                        raise ValueError("model returned a different number of answers")
-                except Exception:  # noqa: BLE001 - failure of one batch: retry per prompt
-                    res = []
-                    for p in chunk:
-                        try:
-                            res.append(fn([p])[0])
-                        except Exception:  # noqa: BLE001 - failure -> NULL -> stage default
-                            res.append(None)
-                out.extend(None if r is None else str(r) for r in res)
-            yield pd.DataFrame({"h": hashes, "answer": out})
+            out, failed = {}, {}
+            for options, part in pdf.groupby("options", sort=False):
+                rows = list(zip(part.index, part["prompt"], strict=True))
+                for i in range(0, len(rows), batch_size):
+                    chunk = rows[i:i + batch_size]
+                    try:
+                        answers = [(a, False) for a in ask([p for _, p in chunk], options)]
+                    except Exception:  # noqa: BLE001 - failure of one batch: retry per prompt
+                        answers = []
+                        for _, p in chunk:
+                            try:
+                                answers.append((ask([p], options)[0], False))
+                            except Exception:  # noqa: BLE001 - flagged; NULL -> stage default
+                                answers.append((None, True))
+                    for (at, _), (answer, bad) in zip(chunk, answers, strict=True):
+                        out[at], failed[at] = None if answer is None else str(answer), bad
+            yield pd.DataFrame({"h": pdf["h"], "answer": pd.Series(out, dtype=object).reindex(pdf.index),
+                                "failed": pd.Series(failed, dtype=bool).reindex(pdf.index)})
     return run
 
 
-def distinct_prompts(df: DataFrame, key: str, prompts: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+def distinct_prompts(df: DataFrame, key: str, prompts: dict[str, Column],
+                     options: dict[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
     """Long table ``(key, stage, h, prompt)`` and its distinct non-NULL
-    prompts ``(h, prompt)``.  NULL prompts get a per-row sentinel hash so
+    prompts ``(h, prompt, options)``; prompts with other options differ.  NULL prompts get a per-row sentinel hash so
     they never meet in one join partition (no skew from guarded rows)."""
-    stacked = F.inline(F.array(*[F.struct(F.lit(n).alias("stage"), p.alias("prompt"))
+    given = {n: json.dumps((options or {}).get(n, {}), sort_keys=True) for n in prompts}
+    stacked = F.inline(F.array(*[F.struct(F.lit(n).alias("stage"), p.alias("prompt"), F.lit(given[n]).alias("options"))
                                  for n, p in prompts.items()]))
     long = df.select(F.col(key), stacked)
-    h = F.coalesce(F.sha2(F.col("prompt"), 256), F.concat(F.lit("~"), F.col("stage"), F.lit("~"), F.col(key)))
+    asked = F.when(F.col("options") == "{}", F.col("prompt")).otherwise(F.concat("options", "prompt"))
+    h = F.coalesce(F.sha2(asked, 256), F.concat(F.lit("~"), F.col("stage"), F.lit("~"), F.col(key)))
     long = long.withColumn("h", h)
-    uniq = long.where(F.col("prompt").isNotNull()).select("h", "prompt").distinct()  # hash aggregate, no buffers
+    uniq = long.where(F.col("prompt").isNotNull()).select("h", "prompt", "options").distinct()  # hash aggregate, no buffers
     return long, uniq
 
 
 def infer_long(df: DataFrame, key: str, prompts: dict[str, Column], fn, batch_size: int = 64,
-               partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """``(key, stage, answer)`` for every row and stage; NULL answer when the
-    prompt is NULL or the call failed.
+               partitions: int | None = None, checkpoint: bool = True, options: dict[str, dict] | None = None,
+               max_failure_rate: float | None = None) -> DataFrame:
+    """``(key, stage, answer, failed)`` for every row and stage; NULL answer
+    when the prompt is NULL or the call failed, and then ``failed`` is true.
+
+    With ``max_failure_rate`` the share of failed calls is checked and a
+    larger one raises, so that an outage is not stored as defaults.
 
     Joining answers back: one prompt may be shared by a large share of the
     rows (a hot hash).  Spark broadcasts the de-duplicated answers when their
     bytes allow; beyond that AQE splits the hot partitions of the join."""
-    long, uniq = distinct_prompts(df, key, prompts)
+    long, uniq = distinct_prompts(df, key, prompts, options)
     if partitions:
         uniq = uniq.repartition(partitions, "h")
-    answers = uniq.mapInPandas(_call_batches(fn, batch_size), "h string, answer string")
+    answers = uniq.mapInPandas(_call_batches(fn, batch_size), "h string, answer string, failed boolean")
     if checkpoint:
         # Reliable checkpoint in the shared spark.checkpoint.dir: the paid
         # calls run once; downstream retries read the stored answers.
         answers = answers.checkpoint(eager=True)
-    return long.join(answers, "h", "left").select(key, "stage", "answer")
+        if max_failure_rate is not None:
+            n = answers.agg(F.count(F.lit(1)).alias("calls"), F.count_if("failed").alias("failed")).first()
+            if n.calls and n.failed > max_failure_rate * n.calls:
+                raise RuntimeError(f"{n.failed} of {n.calls} model calls failed in {sorted(prompts)}")
+    return long.join(answers, "h", "left").select(key, "stage", "answer", F.coalesce("failed", F.lit(False)).alias("failed"))
 
 
 def infer(df: DataFrame, key: str, prompt: Column, out_col: str, fn, default: str | None = None,

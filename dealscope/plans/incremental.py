@@ -55,9 +55,15 @@ def incremental_state(target: DataFrame, source: DataFrame, settings: Settings =
 
 
 def run_incremental(spark: SparkSession, source: DataFrame, table: VersionedTable,
-                    settings: Settings = DEFAULT, backend="rule", **infer_opts) -> RunResult:
-    """Process the rows changed since the last run and write the next version."""
+                    settings: Settings = DEFAULT, backend="rule", max_failure_rate: float = 0.2,
+                    **infer_opts) -> RunResult:
+    """Process the rows changed since the last run and write the next version.
+
+    A level in which more than ``max_failure_rate`` of the model calls fail
+    stops the run before the table is touched."""
     ensure_checkpoint_dir(spark)
+    if backend != "rule":
+        infer_opts["max_failure_rate"] = max_failure_rate
     table.create_if_missing()
     version = table.current_version()
     target = table.read(version)

@@ -573,6 +573,20 @@ def infer_distinct_prompts(spark, sf_dir):
         F.count_distinct(F.when(F.col("prompt").isNotNull(), F.col("h"))).alias("distinct_prompts"))
 
 
+def _prompt_length(prompts: list[str]) -> list[str]:
+    return [str(len(p)) for p in prompts]
+
+
+@register("infer_model_answers")
+def infer_model_answers(spark, sf_dir):
+    """The model path end to end with a deterministic function (a prompt's
+    length) in place of a model: all twelve stages' prompts, de-duplicated,
+    sent in batches, checkpointed and joined back; NULL where the guard is
+    false."""
+    e = _enriched(spark, sf_dir, keep_inputs=True)
+    return inf.infer_long(e, "usecase_id", {s.name: s.guarded_prompt() for s in en.all_stages(S)}, _prompt_length)
+
+
 @register("version_diff")
 def version_diff(spark, sf_dir):
     """Change feed between target version 0 and the state after the run,

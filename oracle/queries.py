@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dealscope.settings import DEFAULT
+from dealscope.settings import ACCELERATION_LABELS, SLIPPAGE_LABELS, DEFAULT
 from dealscope.sources.fixtures import FIXTURE_WATERMARK
 from oracle.base import (d, extract_sql, has_text_sql, in_list, lookahead_sql, q,
                          recency_sql, stale_sql, usecases_sql, with_)
@@ -306,8 +306,8 @@ LEFT JOIN (SELECT usecase_type, count(*) AS usecase_count FROM rv WHERE business
 
 # -- prompt de-duplication (I13) ---------------------------------------------------------
 
-def _dedup_sql() -> str:
-    """Prompts of all twelve stages, spelled out, over the enriched rows with their inputs (l5)."""
+def _prompts_sql() -> str:
+    """(usecase_id, stage, prompt) of all twelve stages, spelled out, over the enriched rows with their inputs (l5)."""
     from oracle.enrich import ht, strip
 
     def told(c, blank):
@@ -367,16 +367,17 @@ def _dedup_sql() -> str:
         "next_best_action_recommendation": ("true", f"""'Recommend the single next best action for the account team '
             || 'this week, in two lines: NEXT_BEST_ACTION and RATIONALE.' || chr(10) || {evidence} || chr(10)
             || 'Scores: ' || {scores} || chr(10) || 'Level: ' || {or_none('confidence_level_normalized')}"""),
-        "slippage_category": ("likely_to_slip", f"""'Pick the main reason this use case may slip: ' || {reason}"""),
-        "accel_category": ("can_be_accelerated", f"""'Pick the main lever to accelerate this use case: ' || {reason}"""),
+        "slippage_category": ("likely_to_slip", f"""'Pick the main reason this use case may slip: {", ".join(SLIPPAGE_LABELS)}.' || chr(10) || {reason}"""),
+        "accel_category": ("can_be_accelerated", f"""'Pick the main lever to accelerate this use case: {", ".join(ACCELERATION_LABELS)}.' || chr(10) || {reason}"""),
     }
-    parts = [f"SELECT {q(k)} AS stage, CASE WHEN {guard} THEN {p} END AS prompt FROM l5"
-             for k, (guard, p) in prompts.items()]
-    return _enr("SELECT stage, count(*) AS rows, count(prompt) AS sent, count(DISTINCT prompt) AS distinct_prompts "
-                "FROM (" + " UNION ALL ".join(parts) + ") GROUP BY stage")
+    return " UNION ALL ".join(f"SELECT usecase_id, {q(k)} AS stage, CASE WHEN {guard} THEN {p} END AS prompt FROM l5"
+                              for k, (guard, p) in prompts.items())
 
 
-SQL["infer_distinct_prompts"] = _dedup_sql()
+SQL["infer_distinct_prompts"] = _enr("SELECT stage, count(*) AS rows, count(prompt) AS sent, count(DISTINCT prompt) AS "
+                                     f"distinct_prompts FROM ({_prompts_sql()}) GROUP BY stage")
+SQL["infer_model_answers"] = _enr("SELECT usecase_id, stage, CAST(length(prompt) AS VARCHAR) AS answer, false AS failed "
+                                  f"FROM ({_prompts_sql()})")
 
 
 # -- change feed as a diff of two versions -------------------------------------------------

@@ -4,6 +4,7 @@ de-duplication, failure handling and plan shape."""
 import sys
 
 from pyspark import cloudpickle
+import pytest
 from pyspark.sql import functions as F
 
 from dealscope.operators import enrich as en
@@ -120,3 +121,39 @@ def test_summary_reads_the_whole_text(spark):
     got = [r[0] for r in df.select(inf.rule_summarize(F.col("t"), 50)).collect()]
     assert "warehouse migration" in got[0] and len(got[0].split(" ")) <= 50
     assert got[1:] == ["short text", "", None]
+
+
+def test_levels_add_a_fixed_part_to_the_plan(spark):
+    df = spark.createDataFrame([("1", "a")], "k string, c0 string")
+    sizes = []
+    for i in range(4):
+        df = apply_level(df, "k", [Stage(f"c{i + 1}", F.col(f"c{i}"), F.lit(""), default="d")],
+                         backend=lambda ps: [p + "!" for p in ps])
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append((plan.count("Join"), plan.count("LogicalRDD")))
+    assert df.first()["c4"] == "a!!!!"
+    assert all(b[0] - a[0] <= 2 and b[1] - a[1] <= 2 for a, b in zip(sizes, sizes[1:]))
+
+
+def test_failed_calls_are_flagged_and_stop_a_run_beyond_the_limit(spark):
+    df = spark.createDataFrame([(str(i), f"p{i}") for i in range(10)], "k string, p string")
+
+    def fragile(prompts):
+        if any(p in ("p1", "p2") for p in prompts):
+            raise RuntimeError("down")
+        return ["ok"] * len(prompts)
+    got = inf.infer_long(df, "k", {"s": F.col("p")}, fragile, max_failure_rate=0.2).collect()
+    assert {r["k"] for r in got if r["failed"]} == {"1", "2"} and {r["answer"] for r in got} == {"ok", None}
+    with pytest.raises(RuntimeError, match="2 of 10"):
+        inf.infer_long(df, "k", {"s": F.col("p")}, fragile, max_failure_rate=0.1)
+
+
+def test_labels_are_closed_and_options_reach_the_model(spark):
+    df = spark.createDataFrame([("1", "red"), ("2", "blue")], "k string, p string")
+
+    def model(prompts, options):
+        return [f"{p}{options.get('max_tokens', '')}" for p in prompts]
+    stages = [Stage("a", F.col("p"), F.lit(""), default="none", labels=("red",)),
+              Stage("b", F.col("p"), F.lit(""), options=(("max_tokens", 5),))]
+    got = {r["k"]: (r["a"], r["b"]) for r in apply_level(df, "k", stages, backend=inf.takes_options(model)).collect()}
+    assert got == {"1": ("red", "red5"), "2": ("none", "blue5")}
