@@ -116,6 +116,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents that hold no benchmark passage, with all their columns."""
-    hit = common.materialise(matches(docs, benchmark, k, percent).select(F.col("doc_id").alias("_hit")).distinct(),
-                             "contaminated")
-    return docs.join(bounded(hit, hit.count()), docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti")
+    hit = common.materialise(matches(docs, benchmark, k, percent).select("doc_id").distinct(), "contaminated")
+    return docs.join(bounded(hit, hit.count()), docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")

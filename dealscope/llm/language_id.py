@@ -28,7 +28,7 @@ from dealscope.llm.linear import Distinct, fit, presence, sigmoid
 ORDERS = (1, 2, 3, 4)
 BITS = 16
 #: Bound of the rows that the machines are fitted on.
-SAMPLE = 6000
+SAMPLE = 4000
 UNDETERMINED = "und"
 #: Families of common languages; any other value is a family of its own.
 FAMILIES = {
@@ -62,7 +62,7 @@ def fit_machines(labels: list, ids: np.ndarray, offsets: np.ndarray) -> bytes:
         cuts = np.concatenate(([0], np.cumsum(sizes[rows])))
         y = np.where(positive[rows], 1.0, -1.0)
         balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-        w, b = fit(ids[of], cuts, unit[row[of]], y, balance, 1 << BITS, "hinge2", l2=1e-5, steps=80, rate=0.1)
+        w, b = fit(ids[of], cuts, unit[row[of]], y, balance, 1 << BITS, "hinge2", l2=1e-5, steps=60, rate=0.1)
         machines.append(kind)
         weights.append(np.append(w, b))
 

@@ -200,7 +200,7 @@ def _filter_places(ids: np.ndarray) -> np.ndarray:
         .astype(np.int64)
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
+def id_filter(ids: DataFrame) -> bytes:
     """A Bloom filter of 2 ** FILTER_BITS bits over a column of longs; it has the same size for any input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,16 +217,15 @@ def id_filter(ids: DataFrame) -> np.ndarray:
                 whole |= np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], names=["bits"])
 
-    parts = ids.mapInArrow(run, "bits binary").coalesce(1).mapInArrow(either, "bits binary").first()
-    return np.unpackbits(np.frombuffer(parts.bits, np.uint8)).view(bool)
+    return bytes(ids.mapInArrow(run, "bits binary").repartition(1).mapInArrow(either, "bits binary").first().bits)
 
 
 def block_sets(texts: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """members (class, doc_id, ...) with the shingle set (binary, sorted 64-bit) of their document."""
-    wanted = texts.sparkSession.sparkContext.broadcast(np.packbits(id_filter(members.select("doc_id"))))
+    wanted = texts.sparkSession.sparkContext.broadcast(id_filter(members.select("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bits = Shingler(words), np.unpackbits(wanted.value).view(bool)
+        shingler, bits = Shingler(words), np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
         for batch in batches:
             batch = batch.filter(pa.array(bits[_filter_places(_plain(batch.column(0)))].all(axis=0)))
             for part in common.text_slices(iter([batch])):

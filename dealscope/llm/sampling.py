@@ -51,5 +51,6 @@ def train(sample: DataFrame, fitter: Callable[[list, np.ndarray, np.ndarray], by
         offsets = np.concatenate(([0], np.cumsum(sizes)))
         yield pa.RecordBatch.from_arrays([pa.array([fitter(labels, ids, offsets)], pa.binary())], names=["model"])
 
+    # repartition, not coalesce: the scan and the features stay parallel, only the bounded sample meets in the task;
     # sorted so that the sums, and with them the model, come out the same each time
-    return bytes(sample.coalesce(1).sortWithinPartitions("label", "ids").mapInArrow(run, "model binary").first().model)
+    return bytes(sample.repartition(1).sortWithinPartitions("label", "ids").mapInArrow(run, "model binary").first().model)
