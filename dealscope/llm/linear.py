@@ -57,7 +57,7 @@ def fit(ids: np.ndarray, offsets: np.ndarray, values: np.ndarray, target: np.nda
     w = np.zeros(size + 1)
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     weight = weight / weight.sum()
-    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     for step in range(1, steps + 1):
         margin = np.bincount(rows, values * w[ids], len(offsets) - 1) + w[-1]
         if loss == "logistic":

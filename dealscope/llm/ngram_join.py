@@ -217,7 +217,8 @@ def id_filter(ids: DataFrame) -> bytes:
                 whole |= np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], names=["bits"])
 
-    return bytes(ids.mapInArrow(run, "bits binary").repartition(1).mapInArrow(either, "bits binary").first().bits)
+    row = ids.mapInArrow(run, "bits binary").repartition(1).mapInArrow(either, "bits binary").first()
+    return bytes(1 << (FILTER_BITS - 3)) if row is None else bytes(row.bits)
 
 
 def block_sets(texts: DataFrame, members: DataFrame, words: int) -> DataFrame:

@@ -53,4 +53,7 @@ def train(sample: DataFrame, fitter: Callable[[list, np.ndarray, np.ndarray], by
 
     # repartition, not coalesce: the scan and the features stay parallel, only the bounded sample meets in the task;
     # sorted so that the sums, and with them the model, come out the same each time
-    return bytes(sample.repartition(1).sortWithinPartitions("label", "ids").mapInArrow(run, "model binary").first().model)
+    row = sample.repartition(1).sortWithinPartitions("label", "ids").mapInArrow(run, "model binary").first()
+    if row is None:  # no task runs on an empty sample
+        return fitter([], np.zeros(0, np.int32), np.zeros(1, np.int64))
+    return bytes(row.model)

@@ -40,16 +40,15 @@ def fit_model(labels: list, ids: np.ndarray, offsets: np.ndarray) -> bytes:
     share = y.mean() if len(y) else 0.0
     if not 0 < share < 1:
         return np.append(np.zeros(size), 30.0 if share else -30.0).astype("<f4").tobytes()
-    rows = np.repeat(np.arange(len(y)), np.diff(offsets))
-    toxic = np.bincount(ids, y[rows], size)
+    toxic = np.bincount(ids[np.repeat(y > 0.5, np.diff(offsets))], minlength=size)
     every = np.bincount(ids, minlength=size)
     p, q = toxic + 1, every - toxic + 1
     scale = np.log((p / p.sum()) / (q / q.sum()))
     scale[(np.abs(scale) < LEAST_SCALE) | (every < LEAST_TEXTS)] = 0
-    kept = scale[ids] != 0
-    ids, rows = ids[kept], rows[kept]
-    cuts = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(y)))))
-    w, bias = fit(ids, cuts, scale[ids], y, np.ones(len(y)), size, "logistic", l2=1e-4, steps=120, rate=0.05)
+    kept = (scale != 0)[ids]
+    cuts = np.concatenate(([0], np.cumsum(kept, dtype=np.int32)))[offsets]
+    ids = ids[kept]
+    w, bias = fit(ids, cuts, scale[ids].astype(np.float32), y, np.ones(len(y)), size, "logistic", l2=1e-4, steps=120, rate=0.05)
     return np.append(w * scale, bias).astype("<f4").tobytes()
 
 
