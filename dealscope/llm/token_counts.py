@@ -13,6 +13,7 @@ token, as in the library; repeated rows are counted per row; an empty table give
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from os.path import commonprefix
 
@@ -30,6 +31,8 @@ LIMIT = 512
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
                        r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SPECIAL = "<|endoftext|>"
+#: Chunks of one ASCII word and a mark at most, whose pre-tokens need no pattern search.
+WORD = re.compile(r"([A-Za-z]+)([.,;:!?]?)")
 REMEMBERED = 400_000
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -57,6 +60,7 @@ class PrefixCounter:
         self.whole: dict[bytes, bool] = {}
         self.next_to: dict[tuple[bytes, bytes], bool] = {}
         self.totals: dict[str, int] = {}
+        self.chunks: dict[str, int] = {}
         self.last = (b"", [0], [b""])
 
     def encode(self, data: bytes) -> list[bytes]:
@@ -172,10 +176,17 @@ class PrefixCounter:
         lists = pc.split_pattern(texts.filter(plain), " ")
         chunks = lists.flatten().dictionary_encode()
         names = chunks.dictionary.to_pylist()
-        order = sorted(range(len(names)), key=names.__getitem__)  # neighbours share their tables' beginnings
-        each = np.zeros(len(names), np.int64)
-        for i in order:
-            each[i] = self.count(" " + names[i])
+        if len(self.chunks) > REMEMBERED:
+            self.chunks.clear()
+        known = self.chunks
+        # neighbours in this order share their tables' beginnings
+        for name in sorted(x for x in names if x not in known):
+            word = WORD.fullmatch(name)
+            if word is None:
+                known[name] = self.count(" " + name)
+            else:
+                known[name] = self.total(" " + word[1]) + (self.total(word[2]) if word[2] else 0)
+        each = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
         offsets = np.asarray(lists.offsets, dtype=np.int64)
         offsets = offsets - offsets[0]
         at = chunks.indices.to_numpy(zero_copy_only=False)
