@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that a Python helper handles at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="dealscope-llm-")
     spark.conf.set("spark.checkpoint.dir", folder)

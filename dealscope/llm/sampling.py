@@ -46,8 +46,11 @@ def train(sample: DataFrame, fitter: Callable[[list, np.ndarray, np.ndarray], by
             labels += batch.column(0).to_pylist()
             parts += [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
         sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        ids = np.concatenate([*parts, np.zeros(0, np.int32)])
-        del parts
+        ids, at = np.empty(int(sizes.sum()), np.int32), 0
+        while parts:  # every part is let go as soon as it is copied
+            part = parts.pop()
+            ids[len(ids) - at - len(part):len(ids) - at] = part
+            at += len(part)
         offsets = np.concatenate(([0], np.cumsum(sizes)))
         yield pa.RecordBatch.from_arrays([pa.array([fitter(labels, ids, offsets)], pa.binary())], names=["model"])
 

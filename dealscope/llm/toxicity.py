@@ -27,7 +27,7 @@ from dealscope.llm.linear import Distinct, fit, presence, sigmoid
 ORDERS = (3, 4, 5)
 BITS = 18
 #: Bound of the labelled rows that the model is fitted on.
-SAMPLE = 8000
+SAMPLE = 4000
 #: Features with a smaller scale, or in fewer sampled texts, carry no signal and get weight 0.
 LEAST_SCALE = 0.7
 LEAST_TEXTS = 3
