@@ -1,9 +1,9 @@
 """Benchmark decontamination with DataFrame functions alone.
 
-A benchmark item of L words is looked for in every document's windows of L words.  A window can only be similar to
-an item if the two share a shingle, so the windows are those aligned with a shared shingle (shingle j of the item at
-word i of the document gives the window that begins at i - j, cut at the document's ends); all others have
-similarity 0.  Every such window and every item gets a 64-bit SimHash of its shingles.  The fingerprints lie in
+A benchmark item of L words is looked for in every document's windows of L words; a shorter document is one window.
+Similarity counts shingles and ignores their order, so every start is tried at which enough of the window's shingles
+are those of some item of L words to reach the bound; at all other starts none can.  A window cut at the document's
+begin or end counts where it shares a shingle with the item at the same place of both.  Every such window and every item gets a 64-bit SimHash of its shingles.  The fingerprints lie in
 ``BLOCKS`` blocks; two fingerprints within ``RADIUS`` bits must agree up to RADIUS // BLOCKS bits in some block, so
 an index of each item's blocks with all values that near finds every fingerprint within the radius.  The candidates
 are verified exactly: the sum of the smaller over the sum of the larger shingle counts must reach ``percent``.
@@ -68,33 +68,45 @@ def items_of(benchmark: DataFrame, k: int) -> DataFrame:
         .withColumn("item_print", simhash("item_hashes")).withColumn("item_key", F.monotonically_increasing_id())
 
 
-def seed_windows(docs: DataFrame, items: DataFrame, size: int, k: int) -> DataFrame:
-    """doc_id, start, item_words: windows aligned with a shingle that they share with an item of that size."""
-    index = items.select("item_words", F.posexplode("item_hashes").alias("j", "h")).distinct()
+def seed_windows(docs: DataFrame, items: DataFrame, size: int, k: int, percent: int) -> DataFrame:
+    """doc_id, start, item_words: the windows in which enough shingles are an item's of that size.
+
+    ``start`` is below 0 for a window cut at the document's begin.  With n shingles in the window and N in the item,
+    c common ones reach the bound only if 100 c >= percent (n + N - c).  So the first of them lies at most
+    (100 - percent) N / (100 + percent) after the window's begin, and the c-th before its end.
+    """
+    index = items.select("item_words", F.explode("item_hashes").alias("h")).distinct()
     shingles = docs.select("doc_id", words_of(F.col("text")).alias("w")).select(
-        "doc_id", F.posexplode(shingle_hashes("w", k)).alias("i", "h"))
-    return shingles.join(bounded(index, size), "h").select(
-        "doc_id", (F.col("i") - F.col("j")).alias("start"), "item_words").distinct()
+        "doc_id", F.greatest(F.size("w") - (k - 1), F.lit(0)).alias("total"), F.posexplode(shingle_hashes("w", k)).alias("i", "h"))
+    # rows of one doc_id and size may meet: their positions together can only add windows
+    seeds = shingles.join(bounded(index, size), "h").groupBy("doc_id", "total", "item_words") \
+        .agg(F.array_sort(F.collect_set("i")).alias("p")).withColumn("n", F.col("item_words") - (k - 1))
+    least = f"cast(ceil({percent} * n / 100) as int)"  # in any window, however it is cut
+    dense = F.expr(f"filter(sequence(0, size(p) - 1), x -> get(p, x + {least} - 1) - p[x] < n)")
+    low = f"if(x = 0, -n, greatest(p[x - 1] + 1, p[x] - cast(floor((100 - {percent}) * n / (100 + {percent})) as int)))"
+    need = (f"cast(ceil({percent} * (least(start + n, total) - greatest(start, 0) + n) / (100 + {percent})) as int)")
+    return seeds.withColumn("x", F.explode(dense)).withColumn("start", F.explode(F.expr(f"sequence({low}, p[x])"))) \
+        .where(F.expr(f"get(p, x + {need} - 1) < start + n")).select("doc_id", "start", "item_words").distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, item_id, start (word, from 0), n_words, similarity: the best window of every contaminated pair.
 
-    Ties go to the earliest window.
+    Windows that share a shingle with the item at the same place of both come first; ties go to the earliest window.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = common.materialise(items_of(benchmark, k), "items")
     size = items.agg(F.sum(F.size("item_hashes"))).first()[0] or 0
-    windows = common.materialise(seed_windows(texts, items, size, k), "windows")
+    windows = common.materialise(seed_windows(texts, items, size, k, percent), "windows")
     # one row per document, so that a text is held and hashed once, however many windows it has
     by_doc = windows.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "item_words")).alias("at"))
     wanted = bounded(by_doc, windows.count())
     hashed = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))) \
         .select("doc_id", "at", words_of(F.col("text")).alias("w")).select("doc_id", "at", shingle_hashes("w", k).alias("all"))
-    printed = hashed.select("doc_id", F.explode(F.expr(f"""transform(at, x -> struct(
-            greatest(x.start, 0) as start, x.item_words as item_words,
+    printed = hashed.select("doc_id", F.size("all").alias("total"), F.explode(F.expr(f"""transform(at, x -> struct(
+            x.start as start, x.item_words as item_words,
             slice(all, greatest(x.start, 0) + 1, x.item_words - {k - 1} + least(x.start, 0)) as hashes))""")).alias("x")) \
-        .select("doc_id", "x.*").where(F.size("hashes") > 0).withColumn("print", simhash("hashes"))
+        .select("doc_id", "total", "x.*").where(F.size("hashes") > 0).withColumn("print", simhash("hashes"))
     blocks = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))
     part = f"cast(shiftrightunsigned({{}}, {BITS} * block) & {(1 << BITS) - 1} as int)"
     near = F.expr(f"explode(filter(sequence(0, {(1 << BITS) - 1}), "
@@ -106,9 +118,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int
         .where(f"not exists(sequence(0, block), b -> b < block and bit_count(shiftrightunsigned(print ^ item_print, "
                f"{BITS} * b) & {(1 << BITS) - 1}) <= {RADIUS // BLOCKS})")  # of several blocks, the first counts
     full = bounded(items.select("item_key", "item_id", "item_hashes"), size)
+    aligned = F.expr("exists(zip_with(hashes, slice(item_hashes, 1 - least(start, 0), size(hashes)), (a, b) -> a = b), x -> x)")
     verified = found.join(full, "item_key").withColumn("similarity", weighted_similarity("hashes", "item_hashes")) \
-        .where(F.col("similarity") * 100 >= percent)
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "item_words")).alias("best")
+        .where(F.col("similarity") * 100 >= percent).withColumn("aligned", aligned) \
+        .where("aligned or size(hashes) in (total, size(item_hashes))")
+    begin = F.greatest("start", F.lit(0))
+    best = F.max(F.struct("aligned", "similarity", (-begin).alias("back"), "item_words")).alias("best")
     return verified.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.back")).cast("long").alias("start"),
         F.col("best.item_words").cast("long").alias("n_words"), F.col("best.similarity").alias("similarity"))

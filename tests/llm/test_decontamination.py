@@ -97,3 +97,36 @@ def test_simhash_of_one_and_of_many(spark):
     df = spark.createDataFrame([([5],), ([5, 5, -1],), ([-1],), ([1 << 40, 3, 1],)], "h array<bigint>")
     assert [r.p for r in df.select(dc.simhash("h").alias("p")).collect()] == [5, 5, -1, 1]
     assert df.select(F.size("h")).count() == 4
+
+
+def best_of_all_starts(text, item):
+    a, b = shingles(words(text)), Counter(shingles(words(item)))
+    n, out = sum(b.values()), 0.0
+    for start in range(max(1, len(a) - n + 1)):
+        w = Counter(a[start:start + n])
+        out = max(out, sum((w & b).values()) / sum((w | b).values()))
+    return out
+
+
+def test_reordered_passages(spark):
+    random.seed(7)
+    word = lambda: "".join(random.choices("abcdefghij", k=5))
+    items = [(i, " ".join(word() for _ in range(random.choice([40, 60, 61])))) for i in range(12)]
+    docs = []
+    for d in range(150):
+        p = words(random.choice(items)[1])
+        cut = random.choice([12, len(p) // 2, random.randint(1, len(p) - 1)])
+        p = p[cut:] + p[:cut]
+        p = p[:len(p) - random.randint(0, 6)]
+        before, after = ([word() for _ in range(random.choice([0, 3, 80]))] for _ in range(2))
+        docs.append((d, " ".join(before + p + after)))
+    alone, expected = {(r[0], r[1]) for r in brute(docs, items)}, {}
+    for d, t in docs:
+        for i, x in items:
+            if (found := best_of_all_starts(t, x)) >= 0.75:
+                expected[d, i] = found
+    got, d, b = run(spark, docs, items)
+    assert {(r[0], r[1]) for r in got} == set(expected) | alone
+    assert all(abs(r[4] - expected[r[0], r[1]]) < 1e-12 for r in got if (r[0], r[1]) not in alone)
+    assert len(set(expected) - alone) > 50
+    assert dc.decontaminate(d, b).count() == len(docs) - len({x for x, _ in set(expected) | alone})
