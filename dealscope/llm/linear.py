@@ -8,6 +8,8 @@ import numpy as np
 
 #: Code points that are hashed at a time, so that very long texts need bounded memory.
 STEP = 1 << 20
+#: Entries of the sparse rows that the trainer widens at a time.
+BLOCK = 1 << 21
 
 
 def code_points(text: str) -> np.ndarray:
@@ -58,13 +60,18 @@ def fit(ids: np.ndarray, offsets: np.ndarray, values: np.ndarray, target: np.nda
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     weight = weight / weight.sum()
     rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(ids), BLOCK)]
     for step in range(1, steps + 1):
-        margin = np.bincount(rows, values * w[ids], len(offsets) - 1) + w[-1]
+        margin, slope = np.full(len(offsets) - 1, w[-1]), np.zeros(size)
+        for b in blocks:
+            margin += np.bincount(rows[b], values[b] * w[ids[b]], len(offsets) - 1)
         if loss == "logistic":
             g = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - target)
         else:
             g = -2 * weight * target * np.maximum(0, 1 - target * margin)
-        grad = np.append(np.bincount(ids, values * g[rows], size) + l2 * w[:-1], g.sum())
+        for b in blocks:
+            slope += np.bincount(ids[b], values[b] * g[rows[b]], size)
+        grad = np.append(slope + l2 * w[:-1], g.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)

@@ -18,9 +18,9 @@ def remainder(divisor: int) -> Column:
     return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % divisor
 
 
-def draw(share: Column) -> Column:
-    """True for about ``share`` of the doc_ids, always the same ones."""
-    return (F.xxhash64("doc_id", F.lit("sample")).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))) < share
+def draw(share: Column, *further: str) -> Column:
+    """True for about ``share`` of the doc_ids, always the same ones; ``further`` columns tell rows of one id apart."""
+    return (F.xxhash64("doc_id", *further, F.lit("sample")).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))) < share
 
 
 def features(rows: DataFrame, orders: tuple[int, ...], bits: int, lower: bool) -> DataFrame:
@@ -37,6 +37,18 @@ def features(rows: DataFrame, orders: tuple[int, ...], bits: int, lower: bool) -
         ":", " ") + ", ids binary")
 
 
+def scaled(sample: DataFrame, known: np.ndarray) -> DataFrame:
+    """A sample (label, ids) with the ids for which ``known`` holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[known[x]].tobytes() for x in ids], pa.binary())],
+                                             names=["label", "ids"])
+
+    return sample.mapInArrow(run, sample.schema)
+
+
 def train(sample: DataFrame, fitter: Callable[[list, np.ndarray, np.ndarray], bytes]) -> bytes:
     """Run ``fitter(labels, ids, offsets)`` in one task over a sample of bounded size; the model comes back."""
 

@@ -118,3 +118,21 @@ def test_quality_edges(spark):
     out = quality.score(d).collect()
     assert len(out) == 4 and all(0 <= r.score <= 1 for r in out)
     assert quality.score(d.limit(0)).count() == 0
+
+
+def test_toxicity_learns_from_all_rare_labels_and_bounds_repeated_ids(spark, monkeypatch):
+    words = ["vile", "scum", "idiot", "loser"]
+    rows = [(i, f"{words[i // 500 % 4]} {words[i // 2000 % 4]} you are" if i % 500 == 0 else f"plain note {i} on the weather", 1 if i % 500 == 0 else 0)
+            for i in range(8000)]
+    d = spark.createDataFrame([(i, t, "en", "s", "l") for i, t, _ in rows], DOCS)
+    b = spark.createDataFrame([(i, y, 1, "t") for i, _, y in rows], LABELS)
+    sizes = []
+    train = toxicity.sampling.train
+    monkeypatch.setattr(toxicity.sampling, "train", lambda s, f: sizes.append(dict(s.groupBy("label").count().collect())) or train(s, f))
+    model = toxicity.learn(d, b, F.lit(True), sample=200)
+    assert sizes[0][1] == 16 and 120 < sizes[0][0] < 260
+    scores = toxicity.score(d, model).join(b.select("doc_id", "toxic"), "doc_id").collect()
+    assert auc([(r.score, r.toxic) for r in scores]) > 0.99
+    same = d.withColumn("doc_id", F.lit(1).cast("long"))
+    toxicity.learn(same, spark.createDataFrame([(1, 1, 1, "t"), (1, 0, 1, "t")], LABELS), F.lit(True), sample=200)
+    assert 0 < sum(sizes[1].values()) < 300
