@@ -4,8 +4,11 @@ A text is cut into paragraphs (lines) and these into sections: a section ends at
 paragraph whose checksum is a multiple of ``SECTION`` (so that texts without blank lines have sections too, and an
 edit moves no cut but its own).  A paragraph's digest covers its bytes, a section's digest its paragraphs' digests,
 the root the sections' digests: equal roots mean equal texts, and unequal branches show where two texts differ.
-Below a paragraph stand 24-bit checksums of its runs of ``SPAN`` words; the likeness of two fingerprints is the
-Dice coefficient of these multisets, and 1 for equal roots.
+Below a paragraph stand 24-bit checksums of its spans of about ``SPAN`` words, which are cut by content as well: a
+span ends after a word whose checksum and its forerunner's say so, within ``SHORTEST`` and ``LONGEST`` words, so an
+edit changes only the spans around it.  Runs of more than ``UNBROKEN`` bytes without an ASCII space are cut into words
+by code points in the same way.  The likeness of two fingerprints is the Dice coefficient of these multisets, and 1
+for equal roots.
 
 A fingerprint is a string ``root:section;section...``, a section ``digest=paragraph,paragraph...`` and a paragraph
 ``digest.spans`` with the spans in URL-safe base 64, four characters a span.
@@ -31,6 +34,11 @@ from pyspark.sql import functions as F
 from dealscope.llm import common
 
 SPAN = 4
+#: Words of a span; with a cut after every third word from the shortest on, spans have SPAN words on average.
+SHORTEST, LONGEST, CUT = 2, 16, 3
+#: Bytes of a word that is taken as it is; code points of the words that longer ones are cut into.
+UNBROKEN = 24
+LEAST_POINTS, MOST_POINTS = 3, 12
 SECTION = 8
 #: Bytes of text in a range of ids.
 RANGE_BYTES = 8 << 20
@@ -38,11 +46,41 @@ SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
           "near_edited double, near_next double")
 
 
-def spans(paragraph: bytes) -> list[int]:
+def words_of(paragraph: bytes) -> list[bytes]:
     words = paragraph.split(b" ")
+    if max(map(len, words)) <= UNBROKEN:
+        return words
+    out = []
+    for word in words:
+        if len(word) <= UNBROKEN:
+            out.append(word)
+            continue
+        run, begin, before = word.decode(), 0, 0
+        for end, code in enumerate(map(ord, run), 1):
+            n = end - begin
+            if n >= MOST_POINTS or n >= LEAST_POINTS and ((31 * before + code) * 0x9E3779B1 >> 16) % CUT == 0:
+                out.append(run[begin:end].encode())
+                begin = end
+            before = code
+        if begin < len(run):
+            out.append(run[begin:].encode())
+    return out
+
+
+def spans(paragraph: bytes) -> list[int]:
+    words = words_of(paragraph)
     if len(words) <= SPAN:
         return [zlib.crc32(paragraph) & 0xFFFFFF]
-    return [zlib.crc32(b" ".join(words[i:i + SPAN])) & 0xFFFFFF for i in range(0, len(words), SPAN)]
+    out, begin, before = [], 0, 0
+    for end, own in enumerate(map(zlib.crc32, words), 1):
+        n = end - begin
+        if n >= LONGEST or n >= SHORTEST and (before + own) % CUT == 0:
+            out.append(zlib.crc32(b" ".join(words[begin:end])) & 0xFFFFFF)
+            begin = end
+        before = own
+    if begin < len(words):
+        out.append(zlib.crc32(b" ".join(words[begin:])) & 0xFFFFFF)
+    return out
 
 
 def digest(data: bytes) -> bytes:

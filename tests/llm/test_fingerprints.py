@@ -1,6 +1,7 @@
 """Merkle fingerprints against a direct statement of the edited texts."""
 
 import hashlib
+import random
 
 from dealscope.llm import fingerprints as fp
 
@@ -59,3 +60,20 @@ def test_roots_and_branches():
 def test_fingerprints_alone(spark):
     rows = fp.fingerprints(frame(spark, [(1, "a"), (2, "a"), (3, None)])).collect()
     assert len({r.fingerprint for r in rows}) == 2
+
+
+def test_an_edit_changes_only_the_spans_around_it():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9)))
+    words = [word() for _ in range(1000)]
+    a = fp.tree(" ".join(words))
+    assert 200 <= len(a[1]) <= 300
+    for at in (0, 1, 500, 999):
+        for b in (words[:at] + ["inserted"] + words[at:], words[:at] + words[at + 1:], words[:at] + ["other"] + words[at + 1:]):
+            assert 0.97 < fp.likeness(a[0], fp.tree(" ".join(b))[0]) < 1
+    run = "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(3000))
+    c = fp.tree(run)[0]
+    for at in (0, 1500, 2999):
+        assert 0.9 < fp.likeness(c, fp.tree(run[:at] + "字" + run[at:])[0]) < 1
+    assert fp.likeness(a[0], fp.tree(" ".join(word() for _ in range(1000)))[0]) < 0.05
+    assert fp.leaves_of(c) == fp.tree(run)[1]
