@@ -5,15 +5,21 @@ SVMs separate the languages within it.  Features are the distinct hashed charact
 lower-cased text, scaled to unit length.  The machines are fitted on at most ``SAMPLE`` rows with a language, in
 equal shares per language, drawn by a hash of doc_id; every text is judged whole.
 
+``keep_identified`` keeps a text if its score reaches a bound, which is calibrated on learned rows: machines fitted on
+three quarters of them judge the last quarter, and the bound lies below practically all of these scores.  With fewer
+than ``LEAST_HELD`` rows held out there is no bound; with a single learned language every score is 1.
+
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; null languages are never learned; a
-family with one language needs no second step; with no learned language everything is ``und``; repeated documents
+family with one language needs no second step; with no learned language everything is ``und``, but
+``keep_identified`` keeps all texts with a letter; repeated documents
 are judged per row; an empty table gives no row; other columns are never read.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -29,6 +35,10 @@ ORDERS = (1, 2, 3, 4)
 BITS = 16
 #: Bound of the rows that the machines are fitted on.
 SAMPLE = 4000
+#: Every so many-th row of a language is held out to calibrate the bound; fewer held rows than LEAST_HELD give none.
+HOLD, LEAST_HELD = 4, 100
+#: The bound: this part of the log-odds of the score that all but LOST of the held rows reach.
+LOST, SLACK = 0.001, 0.6
 UNDETERMINED = "und"
 #: Families of common languages; any other value is a family of its own.
 FAMILIES = {
@@ -46,8 +56,8 @@ def family_of(lang: str) -> str:
     return next((f for f, codes in FAMILIES.items() if code in codes), lang)
 
 
-def fit_machines(labels: list, ids: np.ndarray, offsets: np.ndarray) -> bytes:
-    """A JSON head (families, machines) and one row of float32 weights and bias per machine."""
+def fit_machines(labels: list, ids: np.ndarray, offsets: np.ndarray, least: float = 0.0) -> bytes:
+    """A JSON head (families, machines, bound of the score) and one row of float32 weights and bias per machine."""
     langs = sorted(set(labels))
     family = np.array([family_of(x) for x in labels])
     lang = np.array(labels)
@@ -72,16 +82,33 @@ def fit_machines(labels: list, ids: np.ndarray, offsets: np.ndarray) -> bytes:
     for members in families.values():
         for a, b in combinations(members, 2):
             add(["pair", a, b], (lang == a) | (lang == b), lang == a)
-    head = json.dumps({"families": families, "machines": machines}).encode()
+    head = json.dumps({"families": families, "machines": machines, "least": least}).encode()
     body = np.array(weights, dtype="<f4").tobytes()
     return len(head).to_bytes(4, "little") + head + body
 
 
+def fit_calibrated(labels: list, ids: np.ndarray, offsets: np.ndarray) -> bytes:
+    """Machines fitted on all rows, with the bound that machines fitted without the held rows give."""
+    seen, held = Counter(), np.zeros(len(labels), bool)
+    for i, label in enumerate(labels):
+        seen[label] += 1
+        held[i] = seen[label] % HOLD == 0
+    least = 0.0
+    if held.sum() >= LEAST_HELD:
+        sizes = np.diff(offsets)
+        judge = Judge(fit_machines([x for x, h in zip(labels, held, strict=True) if not h], ids[np.repeat(~held, sizes)],
+                                   np.concatenate(([0], np.cumsum(sizes[~held])))))
+        scores = np.array([judge.of(ids[offsets[i]:offsets[i + 1]])[1] for i in np.flatnonzero(held)])
+        low = np.clip(np.quantile(scores, LOST, method="lower"), 1e-9, 1 - 1e-9)
+        least = sigmoid(SLACK * np.log(low / (1 - low)))
+    return fit_machines(labels, ids, offsets, least)
+
+
 class Judge:
     def __init__(self, model: bytes) -> None:
         n = int.from_bytes(model[:4], "little")
         head = json.loads(model[4:4 + n])
-        self.families, machines = head["families"], [tuple(m) for m in head["machines"]]
+        self.families, self.least, machines = head["families"], head["least"], [tuple(m) for m in head["machines"]]
         weights = np.frombuffer(model[4 + n:], "<f4").reshape(len(machines), -1) if machines else np.zeros((0, 1))
         self.weights = np.ascontiguousarray(weights[:, :-1].T, dtype=np.float32)
         self.bias = weights[:, -1].astype(np.float64)
@@ -91,7 +118,15 @@ class Judge:
     def __call__(self, text: str) -> tuple[str, float]:
         if not self.families or not LETTER.search(text):
             return UNDETERMINED, 0.0
-        ids = presence(text.lower(), ORDERS, BITS, self.distinct)
+        return self.of(presence(text.lower(), ORDERS, BITS, self.distinct))
+
+    def keeps(self, text: str, least: float) -> bool:
+        if not self.families:
+            return LETTER.search(text) is not None
+        lang, score = self(text)
+        return lang != UNDETERMINED and score >= least
+
+    def of(self, ids: np.ndarray) -> tuple[str, float]:
         margin = self.weights[ids].sum(axis=0, dtype=np.float64) / np.sqrt(max(1, len(ids))) + self.bias
         names = list(self.families)
         if len(names) == 1:
@@ -113,7 +148,8 @@ class Judge:
         return lang, sure * least[lang]
 
 
-def learn(docs: DataFrame, keep: Column, sample: int = SAMPLE) -> bytes:
+def learn(docs: DataFrame, keep: Column, sample: int = SAMPLE,
+          fitter: Callable[[list, np.ndarray, np.ndarray], bytes] = fit_machines) -> bytes:
     """The machines, from the documents with a language for which ``keep`` holds."""
     known = docs.where(keep & F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("label"),
@@ -124,7 +160,7 @@ def learn(docs: DataFrame, keep: Column, sample: int = SAMPLE) -> bytes:
         return fit_machines([], np.zeros(0, np.int32), np.zeros(1, np.int64))
     lookup = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])
     rows = known.where(sampling.draw(lookup[F.col("label")])).select("label", "text")
-    return sampling.train(sampling.features(rows, ORDERS, BITS, lower=True), fit_machines)
+    return sampling.train(sampling.features(rows, ORDERS, BITS, lower=True), fitter)
 
 
 def predict(docs: DataFrame, model: bytes) -> DataFrame:
@@ -150,15 +186,16 @@ def identify(docs: DataFrame, fold: int = 4, held: int = 2, sample: int = SAMPLE
                                        "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0, sample: int = SAMPLE) -> DataFrame:
-    """The documents whose language can be told: not ``und`` and, with ``least``, a score of at least that."""
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, F.lit(True), sample))
+def keep_identified(docs: DataFrame, least: float | None = None, sample: int = SAMPLE) -> DataFrame:
+    """The documents whose language can be told: not ``und`` and a score of at least ``least`` or the calibrated bound."""
+    lettered = F.col("text").cast("string").rlike(r"\p{L}")
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, lettered, sample, fit_calibrated))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(shared.value)
+        bound = judge.least if least is None else least
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            found = [judge(t or "") for t in text]
-            yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in found], pa.bool_()))
+            yield batch.filter(pa.array([judge.keeps(t or "", bound) for t in text], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

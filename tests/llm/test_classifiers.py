@@ -1,5 +1,6 @@
 """Toxicity, language identification and quality: held-out accuracy, folds and edge cases."""
 
+import random
 import zlib
 
 import numpy as np
@@ -136,3 +137,18 @@ def test_toxicity_learns_from_all_rare_labels_and_bounds_repeated_ids(spark, mon
     same = d.withColumn("doc_id", F.lit(1).cast("long"))
     toxicity.learn(same, spark.createDataFrame([(1, 1, 1, "t"), (1, 0, 1, "t")], LABELS), F.lit(True), sample=200)
     assert 0 < sum(sizes[1].values()) < 300
+
+
+def test_texts_whose_language_cannot_be_told_go(spark, docs):
+    rng = random.Random(8)
+    text = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(rng.randint(20, 200)))
+    latin, greek, thai = ("".join(map(chr, range(a, b))) for a, b in ((97, 123), (0x3B1, 0x3CA), (0xE01, 0xE2F)))
+    odd = [(-1000 * k - i, text(letters), None) for k, letters in enumerate((latin, greek, thai), 1) for i in range(100)]
+    clean = docs.select("doc_id", "text", "lang")
+    kept = language_id.keep_identified(clean.unionByName(spark.createDataFrame(odd, clean.schema))).select("doc_id").collect()
+    ids = {r.doc_id for r in kept}
+    gone = [sum(-1000 * k - i not in ids for i in range(100)) for k in (1, 2, 3)]
+    assert gone[0] >= 80 and gone[1] >= 99 and gone[2] >= 99, gone
+    assert sum(i >= 0 for i in ids) >= 0.998 * clean.where("doc_id >= 0").count()
+    none = clean.withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.keep_identified(none).count() == none.where(F.col("text").rlike(r"\p{L}")).count() > 0
