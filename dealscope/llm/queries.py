@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.llm import (
+    alignment,
     common,
     decontamination,
     fingerprints,
@@ -66,6 +67,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(common.read_documents(spark, sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_figures(common.read_documents(spark, sf_dir))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.planted(common.read_documents(spark, sf_dir))
     return periodic_runs.digest(periodic_runs.periodic_runs(docs))
@@ -73,7 +78,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_fingerprints, op3_toxicity, op4_sharding, op5_ngram_jaccard, op6_language_id, op7_token_orc,
-    op8_decontamination, op9_quality, op10_token_counts, op12_periodic_runs)}
+    op8_decontamination, op9_quality, op10_token_counts, op11_alignment,
+    op12_periodic_runs)}
 
 #: The same join stated as SQL: all pairs that share a shingle, then the transitive closure of the links.
 SQL = {"op5_ngram_jaccard": r"""
