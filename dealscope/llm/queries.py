@@ -11,6 +11,7 @@ from dealscope.llm import (
     decontamination,
     fingerprints,
     language_id,
+    neighbours,
     ngram_join,
     packing,
     periodic_runs,
@@ -76,10 +77,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(docs))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.read_documents(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_fingerprints, op3_toxicity, op4_sharding, op5_ngram_jaccard, op6_language_id, op7_token_orc,
     op8_decontamination, op9_quality, op10_token_counts, op11_alignment,
-    op12_periodic_runs)}
+    op12_periodic_runs, op13_neighbours)}
 
 #: The same join stated as SQL: all pairs that share a shingle, then the transitive closure of the links.
 SQL = {"op5_ngram_jaccard": r"""
