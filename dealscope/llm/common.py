@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -14,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that a Python helper handles at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 6 << 20
+#: The C library of this process; glibc alone has malloc_trim.
+_LIBC = ctypes.CDLL(None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,22 +78,38 @@ def partition_index() -> int:
     return TaskContext.get().partitionId()
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that no slice holds much more text than SLICE_BYTES; nulls in ``column`` become ''."""
+def row_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that no slice holds much more text than ``limit`` (SLICE_BYTES); rows stay as they are."""
+    limit = limit or SLICE_BYTES
     for batch in batches:
         if not batch.num_rows:
             continue
-        at = batch.schema.get_field_index(column)
-        text = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
-        batch = pa.RecordBatch.from_arrays(
-            [text if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
         begin, held = 0, 0
-        for i, n in enumerate(pc.binary_length(text).to_pylist()):
-            if held and held + n > SLICE_BYTES:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+        for i, n in enumerate(sizes.to_pylist()):
+            if held and held + n > limit:
                 yield batch.slice(begin, i - begin)
                 begin, held = i, 0
             held += n
         yield batch.slice(begin)
+        del batch
+        trim()
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of bounded text (see ``row_slices``) in which nulls in ``column`` are '' and its type is large_string."""
+    for batch in row_slices(batches, column, limit):
+        at = batch.schema.get_field_index(column)
+        text = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
+        yield pa.RecordBatch.from_arrays(
+            [text if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+
+
+def trim() -> None:
+    """Give freed memory back to the system: a worker lives on for other tasks, and both allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    if (give_back := getattr(_LIBC, "malloc_trim", None)) is not None:
+        give_back(0)
 
 
 def tokenizer_path(name: str) -> str:

@@ -3,11 +3,11 @@
 First the language family is predicted, by one linear SVM per family against the rest; then one-versus-one linear
 SVMs separate the languages within it.  Features are the distinct hashed character 1- to 4-grams of the whole
 lower-cased text, scaled to unit length.  The machines are fitted on at most ``SAMPLE`` rows with a language, in
-equal shares per language, drawn by a hash of doc_id; every text is judged whole.
+equal shares per language, drawn by a hash of doc_id and text; every text is judged whole.
 
 ``keep_identified`` keeps a text if its score reaches a bound, which is calibrated on learned rows: machines fitted on
-three quarters of them judge the last quarter, and the bound lies below practically all of these scores.  With fewer
-than ``LEAST_HELD`` rows held out there is no bound; with a single learned language every score is 1.
+three quarters of them judge the last quarter, and the bound lies below practically all of these scores, the further
+the fewer they are; with a single learned language every score is 1.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; null languages are never learned; a
 family with one language needs no second step; with no learned language everything is ``und``, but
@@ -35,10 +35,10 @@ ORDERS = (1, 2, 3, 4)
 BITS = 16
 #: Bound of the rows that the machines are fitted on.
 SAMPLE = 4000
-#: Every so many-th row of a language is held out to calibrate the bound; fewer held rows than LEAST_HELD give none.
-HOLD, LEAST_HELD = 4, 100
-#: The bound: this part of the log-odds of the score that all but LOST of the held rows reach.
-LOST, SLACK = 0.001, 0.6
+#: Every so many-th row of a language is held out to calibrate the bound.
+HOLD = 4
+#: The bound: this part of the log-odds of the score that all but LOST of the held rows reach, less WIDEN / (rows + 1).
+LOST, SLACK, WIDEN = 0.001, 0.6, 20.0
 UNDETERMINED = "und"
 #: Families of common languages; any other value is a family of its own.
 FAMILIES = {
@@ -63,16 +63,15 @@ def fit_machines(labels: list, ids: np.ndarray, offsets: np.ndarray, least: floa
     lang = np.array(labels)
     families = {f: [x for x in langs if family_of(x) == f] for f in sorted({family_of(x) for x in langs})}
     sizes = np.diff(offsets)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    unit = 1 / np.sqrt(np.maximum(sizes, 1))
+    unit = 1 / np.sqrt(np.maximum(sizes, 1))  # every entry of a row has this value
     machines, weights = [], []
 
     def add(kind: list, rows: np.ndarray, positive: np.ndarray) -> None:
-        of = rows[row]
         cuts = np.concatenate(([0], np.cumsum(sizes[rows])))
         y = np.where(positive[rows], 1.0, -1.0)
         balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-        w, b = fit(ids[of], cuts, unit[row[of]], y, balance, 1 << BITS, "hinge2", l2=1e-5, steps=60, rate=0.1)
+        own = ids if rows.all() else ids[np.repeat(rows, sizes)]
+        w, b = fit(own, cuts, None, y, balance, 1 << BITS, "hinge2", l2=1e-5, steps=60, rate=0.1, scale=unit[rows])
         machines.append(kind)
         weights.append(np.append(w, b))
 
@@ -93,15 +92,15 @@ def fit_calibrated(labels: list, ids: np.ndarray, offsets: np.ndarray) -> bytes:
     for i, label in enumerate(labels):
         seen[label] += 1
         held[i] = seen[label] % HOLD == 0
-    least = 0.0
-    if held.sum() >= LEAST_HELD:
+    odds, n = 0.0, int(held.sum())
+    if n:
         sizes = np.diff(offsets)
         judge = Judge(fit_machines([x for x, h in zip(labels, held, strict=True) if not h], ids[np.repeat(~held, sizes)],
                                    np.concatenate(([0], np.cumsum(sizes[~held])))))
         scores = np.array([judge.of(ids[offsets[i]:offsets[i + 1]])[1] for i in np.flatnonzero(held)])
         low = np.clip(np.quantile(scores, LOST, method="lower"), 1e-9, 1 - 1e-9)
-        least = sigmoid(SLACK * np.log(low / (1 - low)))
-    return fit_machines(labels, ids, offsets, least)
+        odds = np.log(low / (1 - low))
+    return fit_machines(labels, ids, offsets, sigmoid(min(SLACK * odds, odds) - WIDEN / (n + 1)))
 
 
 class Judge:
@@ -159,7 +158,8 @@ def learn(docs: DataFrame, keep: Column, sample: int = SAMPLE,
     if not share:
         return fit_machines([], np.zeros(0, np.int32), np.zeros(1, np.int64))
     lookup = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])
-    rows = known.where(sampling.draw(lookup[F.col("label")])).select("label", "text")
+    # a repeated row counts once, so that the draw stays bounded whatever repeats
+    rows = known.where(sampling.draw(lookup[F.col("label")], "text")).distinct().select("label", "text")
     return sampling.train(sampling.features(rows, ORDERS, BITS, lower=True), fitter)
 
 
@@ -194,7 +194,7 @@ def keep_identified(docs: DataFrame, least: float | None = None, sample: int = S
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(shared.value)
         bound = judge.least if least is None else least
-        for batch in batches:
+        for batch in common.row_slices(batches):
             text = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([judge.keeps(t or "", bound) for t in text], pa.bool_()))
 

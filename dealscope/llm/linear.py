@@ -49,28 +49,33 @@ def presence(text: str, orders: tuple[int, ...], bits: int, distinct: Distinct)
     return distinct(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
 
 
-def fit(ids: np.ndarray, offsets: np.ndarray, values: np.ndarray, target: np.ndarray, weight: np.ndarray, size: int,
-        loss: str, l2: float, steps: int = 150, rate: float = 0.1) -> tuple[np.ndarray, float]:
+def fit(ids: np.ndarray, offsets: np.ndarray, values: np.ndarray | None, target: np.ndarray, weight: np.ndarray,
+        size: int, loss: str, l2: float, steps: int = 150, rate: float = 0.1,
+        scale: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear model on sparse rows, by full-batch Adam.
 
     ``loss`` is "logistic" (target 0 to 1, may be soft) or "hinge2" (target -1 or 1, squared hinge: a linear SVM).
-    ``values`` stand beside ``ids``; ``l2`` is the penalty on the weights, the bias is free.
+    ``values`` stand beside ``ids``, ``scale`` beside the rows; what is not given is 1.  ``l2`` is the penalty on the
+    weights, the bias is free.
     """
+    scale = np.ones(len(offsets) - 1) if scale is None else scale
+    value = lambda b: 1.0 if values is None else values[b]
     w = np.zeros(size + 1)
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     weight = weight / weight.sum()
     rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     blocks = [slice(i, i + BLOCK) for i in range(0, len(ids), BLOCK)]
     for step in range(1, steps + 1):
-        margin, slope = np.full(len(offsets) - 1, w[-1]), np.zeros(size)
+        margin, slope = np.zeros(len(offsets) - 1), np.zeros(size)
         for b in blocks:
-            margin += np.bincount(rows[b], values[b] * w[ids[b]], len(offsets) - 1)
+            margin += np.bincount(rows[b], value(b) * w[ids[b]], len(offsets) - 1)
+        margin = margin * scale + w[-1]
         if loss == "logistic":
             g = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - target)
         else:
             g = -2 * weight * target * np.maximum(0, 1 - target * margin)
         for b in blocks:
-            slope += np.bincount(ids[b], values[b] * g[rows[b]], size)
+            slope += np.bincount(ids[b], value(b) * (g * scale)[rows[b]], size)
         grad = np.append(slope + l2 * w[:-1], g.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad

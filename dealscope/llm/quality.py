@@ -164,8 +164,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[bytes, dict[str, float
                  pa.array([ids_of(t, s, distinct).tobytes() for t, s in zip(texts, stats, strict=True)], pa.binary())],
                 names=["label", "ids"])
 
+    # a repeated row counts once, so that the draw stays bounded whatever repeats
     drawn = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(
-        sampling.draw(F.lit(min(1.0, sample / max(1, total))))).select("text")
+        sampling.draw(F.lit(min(1.0, sample / max(1, total))), "text")).distinct().select("text")
     return sampling.train(drawn.mapInArrow(run, "label double, ids binary"), fit_scorer), posterior
 
 

@@ -49,7 +49,20 @@ def shard(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHEAD) -> Da
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the documents as one folder per shard, each in slot order (needs unique doc_ids)."""
-    plan = shard(docs, shards).select("doc_id", "shard", "slot")
-    docs.join(plan, "doc_id").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
-        .write.partitionBy("shard").parquet(path)
+    """Write the documents as one folder per shard, each in slot order.
+
+    Every row is written once: rows of one doc_id, null included, are told apart by checksum and size, and rows that
+    agree in these too take the slots of their group one by one.  Own columns named shard or slot are replaced.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = ("doc_id", "text_crc32", "size")
+    plan = shard(docs, shards).select(*[F.col(c).alias(f"__{c}") for c in own], "shard", "slot")
+    plan = plan.withColumn("__nth", F.row_number().over(Window.partitionBy(*[f"__{c}" for c in own]).orderBy("slot")))
+    rows = docs.drop("shard", "slot").withColumns({
+        "__own_doc_id": F.col("doc_id").cast("long"), "__own_text_crc32": F.crc32(F.encode(text, "UTF-8")),
+        "__own_size": (F.octet_length(text) + F.lit(OVERHEAD)).cast("long")})
+    rows = rows.withColumn("__own_nth", F.row_number().over(
+        Window.partitionBy(*[f"__own_{c}" for c in own]).orderBy(F.lit(0))))
+    same = [F.col(f"__own_{c}").eqNullSafe(F.col(f"__{c}")) for c in (*own, "nth")]
+    rows.join(plan, same).select(*docs.drop("shard", "slot").columns, "shard", "slot") \
+        .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealscope.llm import common
@@ -157,8 +157,24 @@ class PrefixCounter:
         return counts[back] + self.count(text[ends[back]:length])
 
     def truncate(self, text: str, ends: list[int], counts: list[int], budget: int) -> int:
-        """Code points of the longest run of whole pre-tokens within ``budget`` tokens."""
-        return ends[int(np.searchsorted(counts, budget, side="right")) - 1]
+        """Code points of a longest beginning within ``budget`` tokens: whole pre-tokens, and as much of the next one
+        as its table allows."""
+        whole = int(np.searchsorted(counts, budget, side="right")) - 1
+        at = ends[whole]
+        if whole + 1 < len(ends):
+            piece = text[at:ends[whole + 1]]
+            if piece != SPECIAL:
+                left, size = budget - counts[whole], 0
+                table = self.table(piece.encode())
+                for char in piece:
+                    size += len(char.encode())
+                    if table[size] > left:
+                        break
+                    at += 1
+                # a cut can split the pre-tokens before it in another way
+                while at > ends[whole] and self.prefix_count(text, ends, counts, at) > budget:
+                    at -= 1
+        return at
 
     def batch(self, texts: pa.Array) -> np.ndarray:
         """Token counts of many texts.
@@ -220,22 +236,51 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
 
 
 def prefix_tables(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """doc_id, ends, counts: the stored prefix table of every text (see ``PrefixCounter.boundaries``)."""
+    """doc_id, text_sha256, ends, counts: the stored prefix table of every text (see ``PrefixCounter.boundaries``).
+
+    Rows of one doc_id, null included, are told apart by the checksum of their text.
+    """
     path = vocabulary or common.tokenizer_path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.text_slices(batches):
             tables = [counter(path).boundaries(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([t[0] for t in tables], pa.list_(pa.int32())),
-                 pa.array([t[1] for t in tables], pa.list_(pa.int32()))], names=["doc_id", "ends", "counts"])
+                [batch.column(0), batch.column(2), pa.array([t[0] for t in tables], pa.list_(pa.int32())),
+                 pa.array([t[1] for t in tables], pa.list_(pa.int32()))],
+                names=["doc_id", "text_sha256", "ends", "counts"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       _sha256().alias("text_sha256")) \
+        .mapInArrow(run, "doc_id long, text_sha256 string, ends array<int>, counts array<int>")
+
+
+def _sha256() -> Column:
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, ends array<int>, counts array<int>")
 
+def truncate_to(docs: DataFrame, tables: DataFrame, budget: int, vocabulary: str | None = None) -> DataFrame:
+    """Every document with the beginning of its text that fits ``budget`` tokens, from the stored tables.
 
-def truncate_to(docs: DataFrame, tables: DataFrame, budget: int) -> DataFrame:
-    """The beginning of every text that fits ``budget`` tokens at a pre-token boundary, from the stored tables."""
-    fit = F.element_at("ends", F.size(F.filter("counts", lambda c: c <= budget)))
-    return docs.join(tables, "doc_id").withColumn("text", F.substring(F.col("text"), F.lit(1), fit)) \
-        .drop("ends", "counts")
+    Every row comes out once, whatever its doc_id, with all its columns; a null text becomes ''.  A cut may lie inside
+    a pre-token, so a long unbroken run is shortened, not lost.
+    """
+    path = vocabulary or common.tokenizer_path("byte_bpe_50k.json")
+    stored = tables.dropDuplicates(["doc_id", "text_sha256"]).select(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("ends").alias("__ends"),
+        F.col("counts").alias("__counts"))
+    joined = docs.withColumn("__own", _sha256()).join(
+        stored, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha")))
+    at, names = docs.columns.index("text"), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.text_slices(batches):
+            ends, counts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__ends", "__counts"))
+            texts = [t[:counter(path).truncate(t, e, c, budget)] for t, e, c in zip(
+                batch.column(at).to_pylist(), ends, counts, strict=True)]
+            columns = list(batch.columns[:len(names)])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return joined.select(*[F.col(c).cast("string").alias(c) if c == "text" else F.col(c) for c in names],
+                         "__ends", "__counts").mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)

@@ -136,7 +136,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.5, sample: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.frombuffer(shared.value, "<f4").astype(np.float64)
         distinct = Distinct(BITS)
-        for batch in batches:
+        for batch in common.row_slices(batches):
             text = batch.column(batch.schema.get_field_index("text")).to_pylist()
             ok = [sigmoid(weights[presence((t or "").lower(), ORDERS, BITS, distinct)].sum() + weights[-1]) < limit
                   for t in text]

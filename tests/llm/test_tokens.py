@@ -130,3 +130,34 @@ def test_truncation_from_stored_tables(spark, library):
     for r in cut.where(F.col("text").isNotNull()).collect():
         assert (ODD[r.doc_id] or "").startswith(r.text)
         assert len(library["byte_bpe_50k.json"].encode(r.text, add_special_tokens=False).ids) <= 5
+
+
+def test_truncation_and_shards_keep_every_row(spark, library, tmp_dir):
+    """Null and repeated ids, repeated rows, columns named like the operators' own."""
+    enc = library["byte_bpe_50k.json"]
+    rows = [(None, "one two three four five six", 1, "a"), (7, "x" * 50, 2, "b"), (7, "y z", 3, "c"), (7, "y z", 4, "d"),
+            (None, None, 5, "e"), (8, "", 6, "f"), (9, "don't  stop\n\n now", 7, "g"), (10, "a<|endoftext|>b", 8, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, counts int, shard string").repartition(3)
+    for budget in (0, 1, 2, 5, 100):
+        cut = {r.counts: r for r in token_counts.truncate_to(docs, token_counts.prefix_tables(docs), budget).collect()}
+        assert len(cut) == len(rows)
+        for doc_id, text, n, shard in rows:
+            r, text = cut[n], text or ""
+            assert (r.doc_id, r.shard) == (doc_id, shard) and text.startswith(r.text)
+            size = lambda t: len(enc.encode(t, add_special_tokens=False).ids)
+            assert size(r.text) <= budget
+            assert len(r.text) == len(text) or size(text[:len(r.text) + 1]) > budget or "<|" in text
+    assert cut[2].text == "x" * 50
+    assert 0 < len(token_counts.truncate_to(docs, token_counts.prefix_tables(docs), 2).where("counts = 2").first().text) < 50
+    sharding.write_shards(docs, tmp_dir + "/shards", shards=3)
+    written = spark.read.parquet(tmp_dir + "/shards").collect()
+    assert sorted(r.counts for r in written) == list(range(1, 9))
+    for s in {r.shard for r in written}:
+        assert sorted(r.slot for r in written if r.shard == s) == list(range(sum(r.shard == s for r in written)))
+
+
+def test_samples_stay_bounded_where_ids_repeat(spark):
+    from dealscope.llm import sampling
+    docs = spark.range(20000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    drawn = docs.where(sampling.draw(F.lit(0.2), "text")).count()
+    assert 3600 < drawn < 4400
