@@ -21,6 +21,10 @@ from dealscope.settings import (ACCELERATION_LABELS, DEFAULT, DEFAULT_ACTION, DE
                                 UNKNOWN_BUSINESS_LABEL, UNKNOWN_SLIPPAGE, USECASE_TYPES, ZERO_BLOCKERS,
                                 Settings)
 
+# Options of the model calls (fixed values): short label, structured answers.
+LABEL_OPTIONS = (("max_tokens", 20), ("temperature", 0.0))
+ANSWER_OPTIONS = (("max_tokens", 200), ("temperature", 0.0), ("top_p", 0.1))
+
 # Keyword lists of the rule classifier (our own vocabulary, lower case).
 USECASE_KEYWORDS = {
     "Machine Learning": ("model", "prediction", "predictive", "forecast", "forecasting", "churn", "scoring"),
@@ -144,14 +148,14 @@ def business_label_stage(s: Settings) -> Stage:
                       F.lower(first_words(F.col("industry_imperative"), 1))).otherwise(F.lit("general"))
     # the first three words of the most telling run of the name and the whole description
     told = F.concat_ws(" ", _t("usecase_name"), _t("usecase_description"))
-    rule = F.when(has_text("usecase_name"),
+    rule = F.when(any_text("usecase_name", "usecase_description"),
                   F.concat(F.lower(first_words(rule_summarize(told, 10), 3)), F.lit(" for "), industry))
     prompt = F.concat(
         F.lit("Give a business label of at most five words, nothing else. Use case: "),
         F.coalesce(_t("usecase_name"), F.lit("unknown")),
         F.lit(". Description: "), F.coalesce(_t("usecase_description"), F.lit("none")),
         F.lit(". Industry priority: "), F.coalesce(_t("industry_imperative"), F.lit("none")))
-    return Stage("business_usecase_type", prompt, rule, default=UNKNOWN_BUSINESS_LABEL)
+    return Stage("business_usecase_type", prompt, rule, default=UNKNOWN_BUSINESS_LABEL, options=LABEL_OPTIONS)
 
 
 # -- level 2 -----------------------------------------------------------------
@@ -182,12 +186,20 @@ def soundbyte_stage(s: Settings) -> Stage:
     return Stage("soundbyte", prompt, rule, default=NO_SOUNDBYTE)
 
 
-def rule_dimensions() -> dict[str, Column]:
+#: Urgency that a use case has at least where its timeline urgency is read.
+TIMELINE_URGENCY = {"High": 9, "Medium": 6, "Low": 3}
+
+
+def rule_dimensions(s: Settings = DEFAULT) -> dict[str, Column]:
     """Evidence rules of the stand-in assessor (0..10 each)."""
     ctx_words = word_count(F.col("context"))
     ns = F.col("next_steps_summary")
     imp = F.col("implementation_notes_summary")
     ctx = F.lower(F.col("context"))
+    urgency = F.length(ns) % 11
+    if s.urgency_input:
+        told = [F.when(_t("timeline_urgency") == level, F.lit(least)) for level, least in TIMELINE_URGENCY.items()]
+        urgency = F.greatest(urgency, F.coalesce(*told, F.lit(0)))
     return {
         "Pain": F.least(F.lit(10), F.floor(ctx_words / 10).cast("int")),
         "Champion": F.when(ctx.contains("sponsor") | ctx.contains("decision maker"), F.lit(8)).otherwise(F.lit(3)),
@@ -195,7 +207,7 @@ def rule_dimensions() -> dict[str, Column]:
                                .otherwise(F.least(F.lit(10), F.lit(3) + word_count(imp) % 8)),
         "DecisionProcess": F.when(ns == NO_NEXT_STEPS, F.lit(2))
                             .otherwise(F.least(F.lit(10), F.lit(2) + F.floor(word_count(ns) / 12).cast("int"))),
-        "Urgency": F.length(ns) % 11,
+        "Urgency": urgency,
         "CompetitionAwareness": F.when(has_text("competition_string"), F.lit(7)).otherwise(F.lit(2)),
         "MajorBlockers": F.least(F.lit(10), (F.col("num_of_blockers") * 2).cast("int")),
         "MeasurableImpact": ctx_words % 11,
@@ -203,7 +215,7 @@ def rule_dimensions() -> dict[str, Column]:
 
 
 def assessment_stage(s: Settings) -> Stage:
-    dims = rule_dimensions()
+    dims = rule_dimensions(s)
     score = ans.weighted_score(dims, s)
     # The stand-in reports its own level with slightly looser cut-offs than
     # the normalisation rule, so self-reported and normalised levels can differ.
@@ -228,7 +240,10 @@ def assessment_stage(s: Settings) -> Stage:
         F.lit("\nImplementation: "), F.coalesce(F.col("implementation_notes_summary"), F.lit("none")),
         F.lit("\nBlockers: "), F.coalesce(F.col("blockers_summary"), F.lit("none")),
         F.lit("\nCompetition: "), F.coalesce(F.col("competition_string"), F.lit("none")))
-    return Stage("ai_confidence_score_advanced", prompt, rule, default=DEFAULT_ASSESSMENT)
+    if s.urgency_input:
+        prompt = F.concat(prompt, F.lit("\nTimeline urgency: "), F.coalesce(
+            F.when(has_text("timeline_urgency"), F.col("timeline_urgency")), F.lit("none")))
+    return Stage("ai_confidence_score_advanced", prompt, rule, default=DEFAULT_ASSESSMENT, options=ANSWER_OPTIONS)
 
 
 # -- level 4 -----------------------------------------------------------------
@@ -272,7 +287,7 @@ def action_stage(s: Settings) -> Stage:
         F.lit("\nCompetition: "), F.coalesce(F.col("competition_string"), F.lit("none")),
         F.lit("\nScores: "), F.concat_ws(", ", *dims),
         F.lit("\nLevel: "), F.coalesce(F.col("confidence_level_normalized"), F.lit("none")))
-    return Stage("next_best_action_recommendation", prompt, rule, default=DEFAULT_ACTION)
+    return Stage("next_best_action_recommendation", prompt, rule, default=DEFAULT_ACTION, options=ANSWER_OPTIONS)
 
 
 # -- level 5 -----------------------------------------------------------------

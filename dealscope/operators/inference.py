@@ -19,14 +19,16 @@ whose guard is false gets a NULL prompt and is never sent.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.functions.text import bind, tokens, words
+from dealscope.session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Rule backend primitives
@@ -127,7 +129,7 @@ Backend = str | Callable
 
 def apply_level(df: DataFrame, key: str, stages: Sequence[Stage], backend: Backend = "rule",
                 batch_size: int = 64, partitions: int | None = None,
-                max_failure_rate: float | None = None) -> DataFrame:
+                max_failure_rate: float | None = None, cache: AnswerCache | None = None) -> DataFrame:
     """Add every stage of one dependency level to ``df``.
 
     With a model backend the level's answers (key and one column per stage)
@@ -136,7 +138,8 @@ def apply_level(df: DataFrame, key: str, stages: Sequence[Stage], backend: Backe
     of failed calls beyond which the run stops before anything is written."""
     if backend == "rule":
         return df.withColumns({s.name: s.finish(s.rule) for s in stages})
-    answers = infer_long(df, key, {s.name: s.guarded_prompt() for s in stages}, backend,
+    ensure_checkpoint_dir(df.sparkSession)
+    answers = infer_long(df, key, {s.name: s.guarded_prompt() for s in stages}, backend, cache=cache,
                          batch_size=batch_size, partitions=partitions, max_failure_rate=max_failure_rate,
                          options={s.name: dict(s.options) for s in stages if s.options})
     tmp = {s.name: "__ans_" + s.name for s in stages}
@@ -205,6 +208,46 @@ def _call_batches(fn_or_factory, batch_size: int):
     return run
 
 
+class AnswerCache:
+    """Answers of earlier runs, by prompt hash (options included), model and prompt version.
+
+    ``path`` is a shared folder; a level's new answers are appended to the
+    partition of their model and prompt version as one folder of files.  What
+    a run knows is looked up with one join by hash, and what it does not know
+    with a left-anti join, so only unknown prompts are sent.  Appending is
+    idempotent: should an answer be stored twice (a run that was started
+    again), look-ups take one, always the same.  Failed calls are not stored.
+    """
+
+    SCHEMA = "h string, answer string, run string, model string, prompt_version string"
+
+    def __init__(self, spark: SparkSession, path: str, model: str, prompt_version: str, run: str | None = None):
+        self.spark, self.path, self.model, self.prompt_version = spark, path.rstrip("/"), model, prompt_version
+        self.run = run or uuid.uuid4().hex
+
+    def known(self) -> DataFrame:
+        """h, answer and run of this model and prompt version, one row per hash."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return self.spark.createDataFrame([], self.SCHEMA).select("h", "answer", "run")
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path).where(
+            (F.col("model") == self.model) & (F.col("prompt_version") == self.prompt_version))
+        return rows.groupBy("h").agg(F.min(F.struct("run", "answer")).alias("a")).select("h", "a.answer", "a.run")
+
+    def answers(self, uniq: DataFrame, ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``(h, answer, failed)`` of the distinct prompts: the known ones from
+        the store, the others from ``ask``, whose answers are stored first."""
+        ensure_checkpoint_dir(self.spark)
+        known = self.known().select("h", "answer")
+        found = uniq.select("h").join(known, "h").withColumn("failed", F.lit(False))
+        new = ask(uniq.join(known.select("h"), "h", "left_anti")).checkpoint(eager=True)  # paid once, stored next
+        answers = found.checkpoint(eager=True).unionByName(new)  # before the store grows
+        (new.where(~F.col("failed")).select("h", "answer", F.lit(self.run).alias("run"), F.lit(self.model).alias("model"),
+                                             F.lit(self.prompt_version).alias("prompt_version"))
+         .hint("rebalance").write.mode("append").partitionBy("model", "prompt_version").parquet(self.path))
+        return answers
+
+
 def distinct_prompts(df: DataFrame, key: str, prompts: dict[str, Column],
                      options: dict[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
     """Long table ``(key, stage, h, prompt)`` and its distinct non-NULL
@@ -223,10 +266,13 @@ def distinct_prompts(df: DataFrame, key: str, prompts: dict[str, Column],
 
 def infer_long(df: DataFrame, key: str, prompts: dict[str, Column], fn, batch_size: int = 64,
                partitions: int | None = None, checkpoint: bool = True, options: dict[str, dict] | None = None,
-               max_failure_rate: float | None = None) -> DataFrame:
+               max_failure_rate: float | None = None, cache: AnswerCache | None = None) -> DataFrame:
     """``(key, stage, answer, failed)`` for every row and stage; NULL answer
     when the prompt is NULL or the call failed, and then ``failed`` is true.
 
+    With a ``cache``, prompts that it knows are not sent, and the answers of
+    the others are added to it before anything else uses them.
+
     With ``max_failure_rate`` the share of failed calls is checked and a
     larger one raises, so that an outage is not stored as defaults.
 
@@ -234,20 +280,37 @@ def infer_long(df: DataFrame, key: str, prompts: dict[str, Column], fn, batch_si
     rows (a hot hash).  Spark broadcasts the de-duplicated answers when their
     bytes allow; beyond that AQE splits the hot partitions of the join."""
     long, uniq = distinct_prompts(df, key, prompts, options)
-    if partitions:
-        uniq = uniq.repartition(partitions, "h")
-    answers = uniq.mapInPandas(_call_batches(fn, batch_size), "h string, answer string, failed boolean")
+    if cache is not None:
+        answers = cache.answers(uniq, lambda unknown: _answers(unknown, fn, batch_size, partitions))
+        _check_failures(answers, max_failure_rate, prompts)
+        return _joined(long, key, answers)
+    answers = _answers(uniq, fn, batch_size, partitions)
     if checkpoint:
         # Reliable checkpoint in the shared spark.checkpoint.dir: the paid
         # calls run once; downstream retries read the stored answers.
+        ensure_checkpoint_dir(df.sparkSession)
         answers = answers.checkpoint(eager=True)
-        if max_failure_rate is not None:
-            n = answers.agg(F.count(F.lit(1)).alias("calls"), F.count_if("failed").alias("failed")).first()
-            if n.calls and n.failed > max_failure_rate * n.calls:
-                raise RuntimeError(f"{n.failed} of {n.calls} model calls failed in {sorted(prompts)}")
+        _check_failures(answers, max_failure_rate, prompts)
+    return _joined(long, key, answers)
+
+
+def _answers(uniq: DataFrame, fn, batch_size: int, partitions: int | None) -> DataFrame:
+    if partitions:
+        uniq = uniq.repartition(partitions, "h")
+    return uniq.mapInPandas(_call_batches(fn, batch_size), "h string, answer string, failed boolean")
+
+
+def _joined(long: DataFrame, key: str, answers: DataFrame) -> DataFrame:
     return long.join(answers, "h", "left").select(key, "stage", "answer", F.coalesce("failed", F.lit(False)).alias("failed"))
 
 
+def _check_failures(answers: DataFrame, max_failure_rate: float | None, prompts: dict) -> None:
+    if max_failure_rate is not None:
+        n = answers.agg(F.count(F.lit(1)).alias("calls"), F.count_if("failed").alias("failed")).first()
+        if n.calls and n.failed > max_failure_rate * n.calls:
+            raise RuntimeError(f"{n.failed} of {n.calls} model calls failed in {sorted(prompts)}")
+
+
 def infer(df: DataFrame, key: str, prompt: Column, out_col: str, fn, default: str | None = None,
           batch_size: int = 64, partitions: int | None = None) -> DataFrame:
     """Single-column convenience wrapper around :func:`infer_long`."""

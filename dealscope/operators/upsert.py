@@ -14,10 +14,12 @@ shuffled through a full-outer join.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def assert_unique_keys(batch: DataFrame, key: str) -> None:
     dup = batch.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
@@ -71,23 +73,41 @@ def change_feed(target: DataFrame, batch: DataFrame, key: str = "usecase_id", da
     return post.unionByName(pre)
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """Checksum of a whole row; names are part of it, so a NULL in one column never looks like one in another."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str = "usecase_id") -> DataFrame:
+    """``key`` and ``_kind`` (insert, delete, update) of the rows that differ between two versions.
+
+    Only keys and row digests meet in the full-outer join, whatever the width of the rows."""
+    cols = new.columns
+    o = old.select(F.col(key).alias("_old_key"), row_digest(cols).alias("_old_digest"))
+    n = new.select(F.col(key).alias("_new_key"), row_digest(cols).alias("_new_digest"))
+    j = o.join(n, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full")
+    kind = (F.when(F.col("_old_digest").isNull(), F.lit("insert")).when(F.col("_new_digest").isNull(), F.lit("delete"))
+            .when(F.col("_old_digest") != F.col("_new_digest"), F.lit("update")))
+    return (j.select(F.coalesce("_new_key", "_old_key").alias(key), kind.alias("_kind"))
+            .where(F.col("_kind").isNotNull()))
+
+
 def diff_versions(old: DataFrame, new: DataFrame, key: str = "usecase_id") -> DataFrame:
-    """Generic change feed between two table versions (one full-outer join on
-    the key, null-safe whole-row comparison)."""
-    cols = [c for c in new.columns]
-    o = old.select(F.col(key).alias("_k"), F.struct(*cols).alias("o"))
-    n = new.select(F.col(key).alias("_k2"), F.struct(*cols).alias("n"))
-    j = o.join(n, o._k == n._k2, "full")
-    same = F.col("o").eqNullSafe(F.col("n"))
-    both = F.col("o").isNotNull() & F.col("n").isNotNull()
-    changes = F.array(
-        F.when(F.col("o").isNull(), F.struct(F.lit("insert").alias("t"), F.col("n").alias("r"))),
-        F.when(F.col("n").isNull(), F.struct(F.lit("delete").alias("t"), F.col("o").alias("r"))),
-        F.when(both & ~same, F.struct(F.lit("update_preimage").alias("t"), F.col("o").alias("r"))),
-        F.when(both & ~same, F.struct(F.lit("update_postimage").alias("t"), F.col("n").alias("r"))),
-    )
-    out = j.select(F.explode(F.filter(changes, lambda x: x.isNotNull())).alias("c"))
-    return out.select(*[F.col("c.r")[c].alias(c) for c in cols], F.col("c.t").alias("_change_type"))
+    """Generic change feed between two table versions, without any stored changes.
+
+    The changed keys are found by digest and checkpointed; the payload is then
+    fetched for these keys alone, from the old version for deletes and
+    pre-images and from the new one for inserts and post-images.  Keys are
+    unique in each version; a NULL key is a key like any other."""
+    cols = list(new.columns)
+    changed = changed_keys(old, new, key).checkpoint(eager=True)
+
+    def fetch(side: DataFrame, gone: str, update: str) -> DataFrame:
+        wanted = changed.where(F.col("_kind").isin(gone, "update")).select(
+            F.col(key).alias("_key"), F.when(F.col("_kind") == "update", F.lit(update)).otherwise(F.lit(gone)).alias("_change_type"))
+        return side.join(wanted, F.col(key).eqNullSafe(F.col("_key"))).select(*cols, "_change_type")
+
+    return fetch(old, "delete", "update_preimage").unionByName(fetch(new, "insert", "update_postimage"))
 
 
 def bootstrap(wide: DataFrame, columns, as_of: _dt.date, processed_col: str = "processed_date") -> DataFrame:

@@ -10,7 +10,7 @@ upsert and write the next version, then return the verification counts.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from dealscope.operators import upsert as up
 from dealscope.plans.reporting import verification_counts
 from dealscope.session import ensure_checkpoint_dir
 from dealscope.settings import DEFAULT, Settings
+from dealscope.sources.bucketed import BucketedTable, RunProperties
 from dealscope.sources.target import VersionedTable, conform
 
 
@@ -30,6 +31,8 @@ class RunResult:
     version: int
     batch_rows: int
     metrics: DataFrame
+    #: rows per action (insert, update, unchanged); a table without buckets does not report them
+    actions: dict[str, int] | None = None
 
 
 def incremental_batch(source: DataFrame, watermark, settings: Settings = DEFAULT, backend="rule",
@@ -54,13 +57,21 @@ def incremental_state(target: DataFrame, source: DataFrame, settings: Settings =
     return up.upsert(conform(target), batch)
 
 
+def run_properties(settings: Settings, watermark: _dt.date | None, pipeline_type: str = "incremental") -> RunProperties:
+    return RunProperties(settings.primary_model, settings.confidence_model, settings.business_label_model,
+                         settings.prompt_version, pipeline_type, settings.quality_tier, watermark, settings.as_of)
+
+
 def run_incremental(spark: SparkSession, source: DataFrame, table: VersionedTable,
                     settings: Settings = DEFAULT, backend="rule", max_failure_rate: float = 0.2,
-                    **infer_opts) -> RunResult:
+                    before_commit=None, **infer_opts) -> RunResult:
     """Process the rows changed since the last run and write the next version.
 
-    A level in which more than ``max_failure_rate`` of the model calls fail
-    stops the run before the table is touched."""
+    A ``BucketedTable`` rewrites only the buckets of changed keys and keeps
+    the run's changes and properties with the version.  A level in which more
+    than ``max_failure_rate`` of the model calls fail stops the run before the
+    table is touched; a run that ends before its commit leaves the table as it
+    was and can be started again."""
     ensure_checkpoint_dir(spark)
     if backend != "rule":
         infer_opts["max_failure_rate"] = max_failure_rate
@@ -73,17 +84,22 @@ def run_incremental(spark: SparkSession, source: DataFrame, table: VersionedTabl
     # Materialise the enriched batch in the shared checkpoint folder: it is
     # read several times below, and an executor loss must not recompute it.
     batch = materialize(batch)
-    n = batch.count()
-    new_state = up.upsert(target, batch)
-    new_version = table.write_next(new_state, expected_version=version)
+    actions = None
+    if isinstance(table, BucketedTable):
+        merged = table.merge(batch, version, run_properties(settings, wm), before_commit)
+        n, new_version, actions = merged.batch_rows, merged.version, merged.actions
+    else:
+        n = batch.count()
+        new_version = table.write_next(up.upsert(target, batch), expected_version=version)
     metrics = verification_counts(table.read(new_version), settings)
-    return RunResult(wm, new_version, n, metrics)
+    return RunResult(wm, new_version, n, metrics, actions)
 
 
 def full_refresh(source: DataFrame, settings: Settings = DEFAULT, backend="rule", **infer_opts) -> DataFrame:
     """Wide table: every in-scope source row with all columns, defaults,
     the staleness flag and all enrichment columns (one chain, each stage
-    evaluated once per row)."""
+    evaluated once per row).  Its assessment also reads the urgency column."""
+    settings = replace(settings, urgency_input=True)
     scope = ex.full_refresh_extract(source, settings)
     return en.enrich(scope, settings, backend, keep_inputs=True, **infer_opts)
 

@@ -4,10 +4,13 @@ operator of the inventory.  Each reads the test tables (through the
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.functions import answers as ans
@@ -20,8 +23,9 @@ from dealscope.operators import rollup as ru
 from dealscope.operators import upsert as up
 from dealscope.plans import incremental as inc
 from dealscope.plans import reporting as rp
-from dealscope.settings import DEFAULT, DIMENSIONS
+from dealscope.settings import ACCELERATION_LABELS, DEFAULT, DIMENSIONS, SLIPPAGE_LABELS, USECASE_TYPES
 from dealscope.sources import fixtures as fx
+from dealscope.sources.bucketed import BucketedTable
 from dealscope.sources.target import conform
 
 S = DEFAULT
@@ -516,12 +520,26 @@ def cluster_names(spark, sf_dir):
 
 @register("named_rows")
 def named_rows(spark, sf_dir):
-    """Every row with its cluster's name and size, checked against the rows:
-    the size is the number of rows of that cluster and the name is not empty."""
-    rows = cl.named_rows(_clusters(spark, sf_dir))
-    size = F.count(F.lit(1)).over(Window.partitionBy("prediction"))
-    return rows.select("usecase_id", "business_usecase_type", (F.col("usecase_count") == size).alias("size_ok"),
-                       (F.length("category_name") > 0).alias("named"))
+    """Every labelled row with the name (top words) and size of its group.  The grouping column is the technical
+    category, so that names and sizes can be compared; the clusters are named by the same functions."""
+    return cl.named_rows(cl.label_tokens(_labels_view(spark, sf_dir)), "usecase_type").select(
+        "usecase_id", "usecase_type", "category_name", "usecase_count")
+
+
+@register("silhouette_by_type")
+def silhouette_by_type(spark, sf_dir):
+    """Silhouette of the labels' word counts for the grouping by technical category: per category its distinct labels,
+    rows and mean score, by the statistics that score the sweep."""
+    tokens = cl.label_tokens(_labels_view(spark, sf_dir)).select("business_usecase_type", "usecase_type", "words")
+    items = (tokens.groupBy("business_usecase_type", "usecase_type").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+             .select(F.concat_ws("|", "business_usecase_type", "usecase_type").alias("item"),
+                     F.col("usecase_type").alias("cluster"), "weight"))
+    cells = (tokens.distinct().select(F.concat_ws("|", "business_usecase_type", "usecase_type").alias("item"),
+                                      F.explode("words").alias("bucket"))
+             .groupBy("item", "bucket").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    return cl.silhouette_items(items, cells).groupBy(F.col("cluster").alias("usecase_type")).agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("weight").cast("long").alias("rows"),
+        F.round(F.sum(F.col("silhouette") * F.col("weight")) / F.sum("weight"), 9).alias("silhouette"))
 
 
 @register("label_feature_mass")
@@ -592,3 +610,147 @@ def version_diff(spark, sf_dir):
     """Change feed between target version 0 and the state after the run,
     computed by diffing the two versions (null-safe whole-row compare)."""
     return up.diff_versions(conform(_v0(spark, sf_dir)), _state(spark, sf_dir))
+
+
+# -- runs on a bucketed table ------------------------------------------------------------
+
+RUN_BUCKETS = 16
+#: Source state that each of three successive runs sees: changes up to this date (None: all).
+RUN_CUTS = (dt.date(2001, 5, 1), dt.date(2001, 6, 15), None)
+
+
+def _seeded(spark, sf_dir, name: str) -> BucketedTable:
+    """A table of its own in the shared folder, holding target version 0."""
+    table = BucketedTable(spark, f"{fx.shared_root(spark)}/dealscope-runs/{name}-{uuid.uuid4().hex}", buckets=RUN_BUCKETS)
+    table.write_next(_v0(spark, sf_dir))
+    return table
+
+
+@register("bucketed_upsert")
+def bucketed_upsert(spark, sf_dir):
+    """Upsert into a written table, touched buckets only, and the table read back."""
+    table = _seeded(spark, sf_dir, "upsert")
+    table.merge(_batch(spark, sf_dir, table.read()))
+    return table.read()
+
+
+@register("incremental_run_written")
+def incremental_run_written(spark, sf_dir):
+    """One whole run on a written table: key check, write, commit, read-back, the six counts and the rows per action.
+    A first attempt ends when its files are written and nothing is committed; the run is then started again."""
+    table = _seeded(spark, sf_dir, "run")
+    before = table.current_version()
+
+    def ends(version: int) -> None:
+        raise InterruptedError(f"planted end before the commit of version {version}")
+
+    source = _uc(spark, sf_dir)
+    try:
+        inc.run_incremental(spark, source, table, S, before_commit=ends)
+    except InterruptedError:
+        pass
+    lost = table.current_version() != before
+    run = inc.run_incremental(spark, source, table, S)
+    read_back = table.read().agg(F.count(F.lit(1)).alias("count"), F.count_distinct("usecase_id").alias("keys"))
+    counted = read_back.select(F.inline(F.array(
+        F.struct(F.lit("Rows read back").alias("metric"), F.col("count")),
+        F.struct(F.lit("Keys read back").alias("metric"), F.col("keys").alias("count")))))
+    noted = [(f"Rows {a}", run.actions.get(a, 0)) for a in ("insert", "update", "unchanged")]
+    noted += [("Rows in the batch", run.batch_rows), ("Versions committed by an ended run", int(lost))]
+    return run.metrics.unionByName(counted).unionByName(spark.createDataFrame(noted, "metric string, count long"))
+
+
+def _three_runs(spark, sf_dir, name: str) -> tuple[BucketedTable, int]:
+    """A table after three runs over the same rows as the source showed them at three dates, and its version before."""
+    table = _seeded(spark, sf_dir, name)
+    base = table.current_version()
+    batch = _batch(spark, sf_dir, table.read())
+    for i, cut in enumerate(RUN_CUTS):
+        as_of = S.as_of - dt.timedelta(days=len(RUN_CUTS) - 1 - i)
+        seen = F.col("last_modified_date") if cut is None else F.least(F.col("last_modified_date"), F.lit(cut))
+        properties = dataclasses.replace(inc.run_properties(S, cut), as_of=as_of)
+        table.merge(batch.withColumns({"last_modified_date": seen, "processed_date": F.lit(as_of)}), properties=properties)
+    return table, base
+
+
+@register("change_feed_range")
+def change_feed_range(spark, sf_dir):
+    """The stored changes of the second and third run: a range of versions, read without comparing states."""
+    table, base = _three_runs(spark, sf_dir, "feed")
+    return table.changes(base + 1, base + 3).withColumn("run", F.col("_version") - base).drop("_version")
+
+
+@register("change_feed_net")
+def change_feed_net(spark, sf_dir):
+    """What three runs come to per key: one insert, or one update from its first to its last state."""
+    table, base = _three_runs(spark, sf_dir, "net")
+    return table.net_changes(base).withColumn("run", F.col("_version") - base).drop("_version")
+
+
+@register("run_properties")
+def run_properties(spark, sf_dir):
+    """The properties stored with each version, with the rows that its run inserted and updated."""
+    table, base = _three_runs(spark, sf_dir, "properties")
+    return table.rows_per_version().withColumn("run", F.col("_version") - base).drop("_version")
+
+
+# -- answers of earlier runs; the chain on model answers -----------------------------------
+
+
+@register("infer_cached")
+def infer_cached(spark, sf_dir):
+    """Three runs that share stored answers: per run and stage the distinct prompts asked for, found and sent.
+    The first run has the earlier rows only, the others all; the third sends nothing."""
+    rows = _enriched(spark, sf_dir, keep_inputs=True)
+    prompts = {s.name: s.guarded_prompt() for s in en.all_stages(S)}
+    path = f"{fx.shared_root(spark)}/dealscope-runs/answers-{uuid.uuid4().hex}"
+    out = None
+    for run, part in enumerate((rows.where(F.col("last_modified_date") <= F.lit(inc.FIXTURE_CUT_DATE)), rows, rows), 1):
+        cache = inf.AnswerCache(spark, path, "length", "v1", run=f"run-{run}")
+        inf.infer_long(part, "usecase_id", prompts, _prompt_length, cache=cache)
+        asked = inf.distinct_prompts(part, "usecase_id", prompts)[0].where(F.col("prompt").isNotNull()).select("stage", "h")
+        sent = F.count_if(F.col("run") == cache.run)
+        one = asked.distinct().join(inc.materialize(cache.known().select("h", "run")), "h").groupBy("stage").agg(
+            F.lit(run).cast("long").alias("run"), F.count(F.lit(1)).alias("asked"),
+            (F.count(F.lit(1)) - sent).alias("found"), sent.alias("sent"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def structured_answers(prompts: list[str]) -> list[str | None]:
+    """A deterministic stand-in for a model: what it answers depends on the task a prompt names and on its length.
+
+    It gives structured assessments and labels, and now and then what a model does wrong: a label outside the closed
+    set, an assessment without structure, no answer, a failing call."""
+    def closed(labels, n: int) -> str:
+        return (*labels, "Nonsense")[n % (len(labels) + 1)]
+
+    out = []
+    for prompt in prompts:
+        n = len(prompt)
+        if n % 29 == 0:
+            raise RuntimeError("the call fails")
+        if prompt.startswith("Pick the technical category"):
+            out.append(closed(USECASE_TYPES, n))
+        elif prompt.startswith("Pick the main reason"):
+            out.append(closed(SLIPPAGE_LABELS, n))
+        elif prompt.startswith("Pick the main lever"):
+            out.append(closed(ACCELERATION_LABELS, n))
+        elif prompt.startswith("Score this use case"):
+            scores = ", ".join(f"{d}={n * (i + 1) % 11}" for i, d in enumerate(DIMENSIONS))
+            level = ("High", "Medium", "Low")[n % 3]
+            out.append("no assessment" if n % 7 == 0 else
+                       f"CONFIDENCE_SCORE: {n % 21 * 5}\nLEVEL: {level}\nRATIONALE: a prompt of {n} characters.\n"
+                       f"DIMENSION_SCORES: {scores}")
+        elif prompt.startswith("Recommend"):
+            out.append(f"NEXT_BEST_ACTION: call {n}\nRATIONALE: {n % 10} reasons.")
+        else:
+            out.append(None if n % 13 == 0 else f"answer {n}")
+    return out
+
+
+@register("enriched_by_model")
+def enriched_by_model(spark, sf_dir):
+    """The whole five-level chain on answers of a model function: every level's prompts are built on the answers of the
+    levels before, checkpointed per level, parsed, and replaced by defaults where the model fails."""
+    return en.enrich(ex.extract(_uc(spark, sf_dir), fx.FIXTURE_WATERMARK, S), S, structured_answers)

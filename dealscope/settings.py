@@ -127,6 +127,12 @@ class Settings:
     cut_notes_at: int = 2000
     cut_reason_at: int = 200
     enrich_partitions: int | None = None  # None -> spark.sql.shuffle.partitions
+    urgency_input: bool = False  # the assessment also reads timeline_urgency (older full refresh)
+    primary_model: str = "rule"
+    confidence_model: str = "rule"
+    business_label_model: str = "rule"
+    prompt_version: str = "v1"
+    quality_tier: str = "gold"
     weights_pct: dict = field(default_factory=lambda: dict(DIMENSION_WEIGHTS_PCT))
 
     @property

@@ -9,6 +9,7 @@ versions stay readable for change feeds until they are expired.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,11 +72,15 @@ def conform(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
 class VersionedTable:
     """Versioned parquet table at ``path`` (a shared, cluster-visible URI).
 
-    Every version is a folder ``v=00000001`` of its own, written with
-    ``errorifexists`` and valid only with the ``_SUCCESS`` marker that Spark
-    leaves at job commit; versions are found by listing folder names, so no
-    data file is opened and a half-written version is never current.  Two
-    writers of the same version cannot both succeed.
+    Every version is a folder ``v=00000001`` of its own, valid only with the
+    ``_SUCCESS`` marker in it; versions are found by listing folder names, so
+    no data file is opened and a half-written version is never current.
+
+    A writer claims its folder by creating a file that must not exist yet, so
+    no two writers share one.  What makes a version count is a second such
+    file, named after the version that it follows: of several writers that
+    started from the same version, the first one succeeds and the others are
+    told so, and no committed row is lost.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
@@ -83,60 +88,116 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.schema = schema or target_schema()
 
+    # -- files ------------------------------------------------------------
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
     def _fs(self):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return self._path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/v={version:08d}"
 
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
+        """Numbers of the sub-folders ``<prefix><number>`` of a folder, ascending."""
+        fs = self._fs()
+        if not fs.exists(self._path(folder)):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(self._path(folder)) if s.isDirectory()]
+        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+    def _create(self, name: str, content: str = "") -> bool:
+        """Create a file that must not exist yet; False if it does."""
+        try:
+            out = self._fs().create(self._path(name), False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        out.write(bytearray(content.encode()))
+        out.close()
+        return True
+
+    # -- versions -----------------------------------------------------------
+
     def versions(self) -> list[int]:
         """Committed versions in ascending order."""
-        folder, fs = self._fs()
-        if not fs.exists(folder):
-            return []
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-        found = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
-        return [v for v in found if fs.exists(path(self._folder(v) + "/_SUCCESS"))]
+        fs = self._fs()
+        return [v for v in self._numbers(self.path, "v=") if fs.exists(self._path(self._folder(v) + "/_SUCCESS"))]
 
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def current_version(self) -> int:
+        current = max(self.versions(), default=0)
+        # a writer that ended between its commit and the marker: the commit holds, so set the marker
+        after = self._path(self._after(current))
+        if self._fs().exists(after):
+            stream = self._fs().open(after)
+            follower = int(bytes(stream.readNBytes(32)).decode())
+            stream.close()
+            if self._fs().exists(self._path(self._folder(follower))):
+                self._create(self._folder(follower) + "/_SUCCESS")
+                return max(self.versions(), default=0)
+        return current
+
+    def _after(self, version: int) -> str:
+        return f"{self.path}/_commits/after-{version:08d}"
+
+    def _claim(self, current: int | None) -> int:
+        """The number of a folder that no other writer has used, left-overs of crashed runs included."""
+        version = 0 if current is None else current + 1
+        while self._fs().exists(self._path(self._folder(version))) or \
+                not self._create(f"{self.path}/_commits/claim-{version:08d}"):
+            version += 1
+        return version
+
+    def _write(self, df: DataFrame, folder: str, *partition_by: str) -> None:
+        """Write files without Spark's marker: the version counts only once it is committed."""
+        writer = df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+
+    def _commit(self, version: int, after: int | None) -> int:
+        if after is not None and not self._create(self._after(after), str(version)):
+            raise RuntimeError(f"another writer has committed a version after version {after}")
+        if not self._create(self._folder(version) + "/_SUCCESS") and after is None:
+            raise RuntimeError(f"version {version} exists already")
+        return version
+
     def create_if_missing(self) -> bool:
-        """Create an empty table (version 0) unless one exists; True if created."""
+        """Create an empty table unless one exists; True if created.  Its
+        version is 0, or the next number that no half-written folder holds."""
         if self.exists():
             return False
-        self.spark.createDataFrame([], self.schema).write.mode("errorifexists").parquet(self._folder(0))
+        self._commit(self._write_whole(self.spark.createDataFrame([], self.schema), self._claim(None)), None)
         return True
 
-    def current_version(self) -> int:
-        return max(self.versions(), default=0)
-
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
         return self.spark.read.schema(self.schema).parquet(self._folder(v))
 
+    def _write_whole(self, df: DataFrame, version: int) -> int:
+        self._write(conform(df, self.schema), self._folder(version))
+        return version
+
+    def _expected(self, expected: int | None) -> int:
+        current = self.current_version()
+        if expected is not None and current != expected:
+            raise RuntimeError(f"table moved from version {expected} to {current} during the run")
+        return current
+
     def write_next(self, df: DataFrame, expected_version: int | None = None) -> int:
         """Write the complete next state as a new version; returns it.
 
         A folder without its marker, left by a crashed run, is skipped: the
         version after it is written."""
-        current = self.current_version()
-        if expected_version is not None and current != expected_version:
-            raise RuntimeError(f"table moved from version {expected_version} to {current} during the run")
-        folder, fs = self._fs()
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        nxt = current + 1
-        while fs.exists(path(self._folder(nxt))):
-            nxt += 1
-        conform(df, self.schema).write.mode("errorifexists").parquet(self._folder(nxt))
-        return nxt
+        current = self._expected(expected_version)
+        return self._commit(self._write_whole(df, self._claim(current)), current if self.exists() else None)
 
     def expire(self, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
         old = self.versions()[:-keep] if keep > 0 else []
-        _, fs = self._fs()
         for v in old:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(v)), True)
+            self._fs().delete(self._path(self._folder(v)), True)
         return old

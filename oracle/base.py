@@ -8,7 +8,7 @@ cast back to DATE.
 from __future__ import annotations
 
 from dealscope.settings import DEFAULT, DIMENSIONS, Settings
-from dealscope.sources.fixtures import ANSWER_DIMENSION_FACTORS
+from oracle.fixed import ANSWER_DIMENSION_FACTORS, EXTRACT_COLUMNS
 
 
 def q(s: str) -> str:
@@ -118,7 +118,6 @@ def stale_sql(s: Settings = DEFAULT, alias: str = "") -> str:
 
 def extract_sql(watermark, s: Settings = DEFAULT) -> str:
     op = ">=" if s.inclusive_watermark else ">"
-    from dealscope.operators.extract import EXTRACT_COLUMNS
     cols = ",\n  ".join("COALESCE(num_of_blockers, 0) AS num_of_blockers" if c == "num_of_blockers" else c
                         for c in EXTRACT_COLUMNS)
     wm = "" if watermark is None else f"last_modified_date {op} {d(watermark)} AND "

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from dealscope.functions.answers import SCORE_COLUMNS
-from dealscope.operators import enrich as en
 from dealscope.settings import (ACCELERATION_LABELS, DEFAULT, DEFAULT_ACTION, DEFAULT_ASSESSMENT,
                                 DIMENSIONS, NO_BLOCKER_DETAILS, NO_CONTEXT, NO_IMPLEMENTATION_PLAN,
                                 NO_NAME_OR_DESCRIPTION, NO_NEXT_STEPS, NO_SOUNDBYTE, NOT_APPLICABLE,
                                 NOT_COMPUTED, OVERRIDE_RATIONALE, SLIPPAGE_LABELS, UNKNOWN_ACCELERATION,
                                 UNKNOWN_BUSINESS_LABEL, UNKNOWN_SLIPPAGE, USECASE_TYPES, ZERO_BLOCKERS,
                                 Settings)
+from oracle import fixed
 from oracle.base import d, q
+from oracle.fixed import SCORE_COLUMNS
 
 NL = "chr(10)"
 WS = "'[\\t\\n\\x0B\\f\\r ]+'"
@@ -66,9 +66,10 @@ def s_(x):
     return f"CAST({x} AS VARCHAR)"
 
 
-def enriched_ctes(s: Settings = DEFAULT, src: str = "ex", prefix: str = "") -> list[tuple[str, str]]:
+def enriched_ctes(s: Settings = DEFAULT, src: str = "ex", prefix: str = "", urgency: bool = False) -> list[tuple[str, str]]:
     """CTEs l1..l5 + ``enr`` (31 target columns) on top of an extract CTE;
-    ``prefix`` renames every CTE so two chains can live in one query."""
+    ``prefix`` renames every CTE so two chains can live in one query;
+    ``urgency``: the assessment also reads the timeline urgency."""
     ctx_content = (
         f"'Notes: ' || COALESCE({strip('sdr_bdr_notes', s.cut_notes_at)}, 'no context provided.') || "
         f"' Impact: ' || COALESCE(trim(business_impact), 'no business impact provided.') || "
@@ -99,9 +100,9 @@ FROM {src}"""
        ELSE {q(NO_IMPLEMENTATION_PLAN)} END AS implementation_notes_summary,
   CASE WHEN {blk_guard} THEN 'There are ' || {s_('num_of_blockers')} || ' blockers. ' || {sm('_w_blk', 50)}
        WHEN num_of_blockers = 0 THEN {q(ZERO_BLOCKERS)} ELSE {q(NO_BLOCKER_DETAILS)} END AS blockers_summary,
-  CASE WHEN {name_or_desc} THEN COALESCE({cls(type_content, USECASE_TYPES, en.USECASE_KEYWORDS)}, 'Other')
+  CASE WHEN {name_or_desc} THEN COALESCE({cls(type_content, USECASE_TYPES, fixed.USECASE_KEYWORDS)}, 'Other')
        ELSE 'Other' END AS usecase_type,
-  COALESCE(CASE WHEN {ht('usecase_name')} THEN lower({fw(sm('_w_told', 10), 3)}) || ' for ' || {industry} END,
+  COALESCE(CASE WHEN {name_or_desc} THEN lower({fw(sm('_w_told', 10), 3)}) || ' for ' || {industry} END,
            {q(UNKNOWN_BUSINESS_LABEL)}) AS business_usecase_type
 FROM l0"""
     one_content = ("'Use case: ' || COALESCE(trim(usecase_name), 'not named') || '. Description: ' || "
@@ -121,7 +122,9 @@ FROM l1b"""
                               f"ELSE least(10, 3 + {wc('implementation_notes_summary')} % 8) END",
         "DecisionProcess": f"CASE WHEN next_steps_summary = {q(NO_NEXT_STEPS)} THEN 2 "
                            f"ELSE least(10, 2 + CAST(floor({wc('next_steps_summary')} / 12) AS INTEGER)) END",
-        "Urgency": "length(next_steps_summary) % 11",
+        "Urgency": "length(next_steps_summary) % 11" if not urgency else
+                   "greatest(length(next_steps_summary) % 11, CASE trim(timeline_urgency) " + " ".join(
+                       f"WHEN {q(k)} THEN {v}" for k, v in fixed.TIMELINE_URGENCY.items()) + " ELSE 0 END)",
         "CompetitionAwareness": f"CASE WHEN {ht('competition_string')} THEN 7 ELSE 2 END",
         "MajorBlockers": "least(10, CAST(num_of_blockers * 2 AS INTEGER))",
         "MeasurableImpact": f"{ctxw} % 11",
@@ -168,8 +171,8 @@ FROM p"""
     def sc(c):
         return f"COALESCE({s_(c)}, 'None')"
     action = (f"CASE WHEN {z('pain_score')} < 5 OR {z('champion_score')} < 5 OR {z('implementationplan_score')} < 5 "
-              f"THEN {q(en.ACTIONS['foundations'])} WHEN {z('majorblockers_score')} > 5 THEN {q(en.ACTIONS['blockers'])} "
-              f"WHEN {z('urgency_score')} > 7 THEN {q(en.ACTIONS['urgent'])} ELSE {q(en.ACTIONS['steady'])} END")
+              f"THEN {q(fixed.ACTIONS['foundations'])} WHEN {z('majorblockers_score')} > 5 THEN {q(fixed.ACTIONS['blockers'])} "
+              f"WHEN {z('urgency_score')} > 7 THEN {q(fixed.ACTIONS['urgent'])} ELSE {q(fixed.ACTIONS['steady'])} END")
     why = (f"'Pain=' || {sc('pain_score')} || ', Champion=' || {sc('champion_score')} || "
            f"', ImplementationPlan=' || {sc('implementationplan_score')} || ', MajorBlockers=' || "
            f"{sc('majorblockers_score')} || ', Urgency=' || {sc('urgency_score')} || '; level ' || "
@@ -184,14 +187,14 @@ FROM pn"""
   COALESCE(confidence_level_normalized = 'Medium', false) AS likely_to_slip,
   COALESCE(confidence_level_normalized IN ('Medium', 'High'), false) AS can_be_accelerated,
   CASE WHEN COALESCE(confidence_level_normalized = 'Medium', false)
-       THEN COALESCE({cls(reason, SLIPPAGE_LABELS, en.SLIPPAGE_KEYWORDS)}, {q(UNKNOWN_SLIPPAGE)})
+       THEN COALESCE({cls(reason, SLIPPAGE_LABELS, fixed.SLIPPAGE_KEYWORDS)}, {q(UNKNOWN_SLIPPAGE)})
        ELSE {q(NOT_APPLICABLE)} END AS slippage_category,
   CASE WHEN COALESCE(confidence_level_normalized IN ('Medium', 'High'), false)
-       THEN COALESCE({cls(reason, ACCELERATION_LABELS, en.ACCELERATION_KEYWORDS)}, {q(UNKNOWN_ACCELERATION)})
+       THEN COALESCE({cls(reason, ACCELERATION_LABELS, fixed.ACCELERATION_KEYWORDS)}, {q(UNKNOWN_ACCELERATION)})
        ELSE {q(NOT_APPLICABLE)} END AS accel_category,
   {d(s.as_of)} AS processed_date
 FROM l4"""
-    enr = "SELECT " + ", ".join(en.ENRICHED_COLUMNS) + " FROM l5"
+    enr = "SELECT " + ", ".join(fixed.ENRICHED_COLUMNS) + " FROM l5"
     ctes = [("l0", l0), ("l1", l1), ("l1b", l1b), ("l2a", l2a), ("l2", l2), ("l3a", l3a), ("l3b", l3b), ("l3", l3), ("p", p), ("pn", pn),
             ("l4", l4), ("l5", l5), ("enr", enr)]
     if not prefix:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dealscope.settings import ACCELERATION_LABELS, SLIPPAGE_LABELS, DEFAULT
-from dealscope.sources.fixtures import FIXTURE_WATERMARK
+from oracle import fixed
 from oracle.base import (d, extract_sql, has_text_sql, in_list, lookahead_sql, q,
                          recency_sql, stale_sql, usecases_sql, with_)
 
@@ -18,7 +18,7 @@ def _uc(body: str, *more: tuple[str, str]) -> str:
 SQL["source_scan"] = _uc(
     "SELECT usecase_id, last_modified_date, stage, estimated_monthly_value, target_live_date FROM usecases")
 SQL["incremental_rows"] = _uc(
-    f"SELECT usecase_id, last_modified_date FROM usecases WHERE last_modified_date > {d(FIXTURE_WATERMARK)}")
+    f"SELECT usecase_id, last_modified_date FROM usecases WHERE last_modified_date > {d(fixed.WATERMARK)}")
 SQL["value_threshold"] = _uc(
     f"SELECT usecase_id, estimated_monthly_value FROM usecases WHERE estimated_monthly_value >= {S.min_value}")
 SQL["stage_exclusion"] = _uc(
@@ -28,7 +28,7 @@ SQL["lookahead_window"] = _uc(
     f"AND CAST({d(S.as_of)} + INTERVAL {S.months_ahead} MONTH AS DATE)")
 SQL["recency_floor"] = _uc(
     f"SELECT usecase_id, last_modified_date FROM usecases WHERE {recency_sql(S)}")
-SQL["filtered_usecases"] = _uc("SELECT * FROM ex", ("ex", extract_sql(FIXTURE_WATERMARK, S)))
+SQL["filtered_usecases"] = _uc("SELECT * FROM ex", ("ex", extract_sql(fixed.WATERMARK, S)))
 SQL["filtered_full_refresh"] = _uc(f"""SELECT * EXCLUDE (field_manager, account_solution_architect, sales_region,
     num_of_blockers, sales_manager),
   COALESCE(field_manager, 'FLM not assigned') AS field_manager,
@@ -65,12 +65,11 @@ SQL["non_null_rows"] = _uc(
     "AND vertical IS NOT NULL")
 SQL["extract_profile"] = _uc(
     "SELECT count(*) AS new_usecases_count, min(last_modified_date) AS oldest_modified, "
-    "max(last_modified_date) AS newest_modified FROM ex", ("ex", extract_sql(FIXTURE_WATERMARK, S)))
+    "max(last_modified_date) AS newest_modified FROM ex", ("ex", extract_sql(fixed.WATERMARK, S)))
 
 
 # -- answer parsing and decision rules ------------------------------------------
 
-from dealscope.functions.answers import SCORE_COLUMNS  # noqa: E402
 from dealscope.settings import DIMENSIONS, OVERRIDE_RATIONALE  # noqa: E402
 from oracle.enrich import enriched_ctes  # noqa: E402
 
@@ -88,7 +87,7 @@ SQL["parse_confidence"] = _uc(
     f"SELECT usecase_id, {_SCORE} AS confidence_score, {_LEVEL} AS confidence_level, "
     f"{_RAT} AS rationale_for_confidence_score FROM usecases")
 SQL["parse_dimensions"] = _uc(
-    "SELECT usecase_id, " + ", ".join(f"{_dim(k)} AS {c}" for k, c in zip(DIMENSIONS, SCORE_COLUMNS))
+    "SELECT usecase_id, " + ", ".join(f"{_dim(k)} AS {c}" for k, c in zip(DIMENSIONS, fixed.SCORE_COLUMNS))
     + " FROM usecases")
 
 _OVER = f"COALESCE(num_of_blockers, 0) > {S.blocker_override_above}"
@@ -100,7 +99,7 @@ _PARSED = ("parsed", f"""SELECT *,
 FROM px""")
 _NORM = (f"CASE WHEN confidence_score >= {S.high_threshold} THEN 'High' WHEN confidence_score >= "
          f"{S.medium_threshold} THEN 'Medium' WHEN confidence_score IS NOT NULL THEN 'Low' ELSE 'Not computed' END")
-_EX = ("ex", extract_sql(FIXTURE_WATERMARK, S))
+_EX = ("ex", extract_sql(fixed.WATERMARK, S))
 
 SQL["blocker_override"] = _uc(
     "SELECT usecase_id, num_of_blockers, confidence_score, confidence_level, rationale_for_confidence_score "
@@ -140,8 +139,6 @@ SQL["level_disagreement"] = _enr(
 
 # -- lifecycle, views, roll-ups -------------------------------------------------------
 
-from dealscope.operators.rollup import slot_columns  # noqa: E402
-from dealscope.plans.queries import TEMPLATE  # noqa: E402
 from oracle.enrich import strip as _strip  # noqa: E402
 from oracle.reporting import (COLS, KPI_NAMES, directory_sql, lookups_ctes, money, radar_ctes,  # noqa: E402
                               rollup_ctes, rollup_select, state_ctes, view_ctes)
@@ -189,10 +186,9 @@ _FR_SRC = f"""SELECT * EXCLUDE (field_manager, account_solution_architect, sales
   COALESCE(num_of_blockers, 0) AS num_of_blockers,
   {stale_sql(S)} AS is_stale
 FROM usecases WHERE {lookahead_sql(S)} AND {recency_sql(S)}"""
-_FR = [("fr", _FR_SRC), *enriched_ctes(S, "fr", "fr_")]
-SQL["full_refresh_run"] = _uc("SELECT * EXCLUDE (_d_Pain, _d_Champion, _d_ImplementationPlan, _d_DecisionProcess, "
-                              "_d_Urgency, _d_CompetitionAwareness, _d_MajorBlockers, _d_MeasurableImpact, _score) "
-                              "FROM fr_l5", *_FR)
+_FR = [("fr", _FR_SRC), *enriched_ctes(S, "fr", "fr_", urgency=True)]
+# all source columns, the staleness flag and the enrichment: what begins with _ is a helper of the chain above
+SQL["full_refresh_run"] = _uc("SELECT COLUMNS(lambda c: c[1] <> '_') FROM fr_l5", *_FR)
 SQL["bootstrap_target"] = _uc(
     f"SELECT * REPLACE (CAST({d(S.as_of)} - 1 AS DATE) AS processed_date) FROM fr_enr", *_FR)
 
@@ -242,7 +238,7 @@ for _q, _t in (("top_usecase_types", "r_type"), ("top_slippage", "r_slip"), ("to
                ("top_verticals", "r_vert")):
     SQL[_q] = _roll("field_manager", f"SELECT field_manager, category, n AS usecase_count, value AS monthly_value, "
                                      f"rn FROM {_t} WHERE rn <= 3")
-SQL["top3_slots"] = _roll("sales_manager", "SELECT sales_manager, " + ", ".join(n for n, _ in slot_columns())
+SQL["top3_slots"] = _roll("sales_manager", "SELECT sales_manager, " + ", ".join(fixed.SLOT_COLUMNS)
                           + " FROM fms", ("fms", rollup_select("sales_manager", S, contact=False)))
 _DESC = [f"top{k}_{c}" for k in (1, 2, 3) for c in ("slippage_category", "slippage_category_description",
                                                     "accel_category", "accel_category_description")]
@@ -271,7 +267,7 @@ SQL["generated_contact"] = _uc(
 
 
 def _template_sql() -> str:
-    out = q(TEMPLATE)
+    out = q(fixed.TEMPLATE)
     for slot, col in (("account", "e.account_name"), ("one_liner", "e.one_liner"),
                       ("usecase_type", "e.usecase_type"), ("stage", "u.stage")):
         out = f"replace({out}, {q('{' + slot + '}')}, COALESCE({col}, ''))"
@@ -287,7 +283,6 @@ SQL["template_fill"] = _uc(f"SELECT e.usecase_id, {_template_sql()} AS filled FR
 SQL["label_tokens"] = _rv("SELECT usecase_id, business_usecase_type, string_split(lower(business_usecase_type), ' ') "
                           "AS words FROM rv WHERE business_usecase_type IS NOT NULL")
 _LABELLED = "FROM rv WHERE business_usecase_type IS NOT NULL"
-SQL["named_rows"] = _rv(f"SELECT usecase_id, business_usecase_type, true AS size_ok, true AS named {_LABELLED}")
 SQL["label_feature_mass"] = _rv("SELECT usecase_id, CAST(len(string_split(lower(business_usecase_type), ' ')) AS BIGINT) "
                                 f"AS mass {_LABELLED}")
 SQL["cluster_consistency"] = _rv(f"SELECT business_usecase_type, count(*) AS n, true AS one_cluster {_LABELLED} GROUP BY 1")
@@ -303,11 +298,34 @@ SQL["group_top_words"] = _rv("""SELECT n.usecase_type, n.category_name, s.usecas
 LEFT JOIN (SELECT usecase_type, count(*) AS usecase_count FROM rv WHERE business_usecase_type IS NOT NULL
            GROUP BY 1) s ON n.usecase_type = s.usecase_type""")
 
+_GROUPS = SQL["group_top_words"].rpartition("SELECT n.usecase_type")
+SQL["named_rows"] = (f"{_GROUPS[0].rstrip()},\ngroups_ AS (SELECT n.usecase_type{_GROUPS[2]})\n"
+                     "SELECT usecase_id, usecase_type, category_name, usecase_count FROM rv "
+                     "LEFT JOIN groups_ USING (usecase_type) WHERE business_usecase_type IS NOT NULL")
+# by the distances of all pairs of items
+SQL["silhouette_by_type"] = _rv(f"""SELECT g AS usecase_type, count(*) AS labels, CAST(sum(w) AS BIGINT) AS rows,
+  round(sum(s * w) / sum(w), 9) AS silhouette
+FROM (SELECT g, w, CASE WHEN a IS NULL OR b IS NULL THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END AS s
+      FROM scored) GROUP BY g""",
+    ("items", f"""SELECT *, row_number() OVER (ORDER BY g, label) AS i FROM (
+  SELECT usecase_type AS g, business_usecase_type AS label, CAST(count(*) AS DOUBLE) AS w {_LABELLED} GROUP BY 1, 2)"""),
+    ("cells", """SELECT i, word, CAST(count(*) AS DOUBLE) AS tf FROM (
+  SELECT i, unnest(string_split(lower(label), ' ')) AS word FROM items) GROUP BY ALL"""),
+    ("norms", "SELECT i, sum(tf * tf) AS norm FROM cells GROUP BY i"),
+    ("dots", "SELECT x.i, y.i AS j, sum(x.tf * y.tf) AS dot FROM cells x JOIN cells y USING (word) GROUP BY ALL"),
+    ("far", """SELECT x.i, x.g AS own, x.w AS own_w, y.i AS j, y.g, y.w, nx.norm + ny.norm - 2 * COALESCE(dot, 0) AS far
+FROM items x CROSS JOIN items y JOIN norms nx ON nx.i = x.i JOIN norms ny ON ny.i = y.i
+LEFT JOIN dots ON dots.i = x.i AND dots.j = y.i"""),
+    ("means", """SELECT i, own, own_w, g, CASE WHEN g = own THEN sum(CASE WHEN j = i THEN 0 ELSE w * far END) /
+  nullif(sum(w) - own_w, 0) ELSE sum(w * far) / sum(w) END AS far FROM far GROUP BY i, own, own_w, g"""),
+    ("scored", """SELECT i, own AS g, own_w AS w, max(CASE WHEN g = own THEN far END) AS a,
+  min(CASE WHEN g <> own THEN far END) AS b FROM means GROUP BY i, own, own_w"""))
+
 
 # -- prompt de-duplication (I13) ---------------------------------------------------------
 
-def _prompts_sql() -> str:
-    """(usecase_id, stage, prompt) of all twelve stages, spelled out, over the enriched rows with their inputs (l5)."""
+def _prompts() -> dict[str, tuple[str, str]]:
+    """stage -> (guard, prompt) of all twelve stages, spelled out, over rows with the inputs and the stages before."""
     from oracle.enrich import ht, strip
 
     def told(c, blank):
@@ -370,8 +388,13 @@ def _prompts_sql() -> str:
         "slippage_category": ("likely_to_slip", f"""'Pick the main reason this use case may slip: {", ".join(SLIPPAGE_LABELS)}.' || chr(10) || {reason}"""),
         "accel_category": ("can_be_accelerated", f"""'Pick the main lever to accelerate this use case: {", ".join(ACCELERATION_LABELS)}.' || chr(10) || {reason}"""),
     }
-    return " UNION ALL ".join(f"SELECT usecase_id, {q(k)} AS stage, CASE WHEN {guard} THEN {p} END AS prompt FROM l5"
-                              for k, (guard, p) in prompts.items())
+    return prompts
+
+
+def _prompts_sql() -> str:
+    """(usecase_id, last_modified_date, stage, prompt) over the enriched rows with their inputs (l5)."""
+    return " UNION ALL ".join(f"SELECT usecase_id, last_modified_date, {q(k)} AS stage, "
+                              f"CASE WHEN {guard} THEN {p} END AS prompt FROM l5" for k, (guard, p) in _prompts().items())
 
 
 SQL["infer_distinct_prompts"] = _enr("SELECT stage, count(*) AS rows, count(prompt) AS sent, count(DISTINCT prompt) AS "
@@ -383,10 +406,9 @@ SQL["infer_model_answers"] = _enr("SELECT usecase_id, stage, CAST(length(prompt)
 # -- change feed as a diff of two versions -------------------------------------------------
 
 def _version_diff_sql() -> str:
-    from dealscope.operators.enrich import ENRICHED_COLUMNS
-    o_cols = ", ".join(f"o.{c}" for c in ENRICHED_COLUMNS)
-    n_cols = ", ".join(f"n.{c}" for c in ENRICHED_COLUMNS)
-    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in ENRICHED_COLUMNS)
+    o_cols = ", ".join(f"o.{c}" for c in fixed.ENRICHED_COLUMNS)
+    n_cols = ", ".join(f"n.{c}" for c in fixed.ENRICHED_COLUMNS)
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in fixed.ENRICHED_COLUMNS)
     return _st(f"""SELECT {n_cols}, 'insert' AS _change_type FROM state n
 WHERE NOT EXISTS (SELECT 1 FROM v0 o WHERE o.usecase_id = n.usecase_id)
 UNION ALL
@@ -398,3 +420,117 @@ SELECT {n_cols}, 'update_postimage' FROM v0 o JOIN state n ON o.usecase_id = n.u
 
 
 SQL["version_diff"] = _version_diff_sql()
+
+
+# -- runs on a bucketed table ------------------------------------------------------------------
+
+SQL["bucketed_upsert"] = SQL["upsert_newer_wins"]
+SQL["incremental_run_written"] = (
+    SQL["verification_counts"] + " UNION ALL SELECT 'Rows read back', count(*) FROM state"
+    " UNION ALL SELECT 'Keys read back', count(DISTINCT usecase_id) FROM state"
+    " UNION ALL SELECT 'Rows in the batch', count(*) FROM cls"
+    " UNION ALL SELECT 'Versions committed by an ended run', 0" + "".join(
+        f" UNION ALL SELECT 'Rows {a}', count(*) FROM cls WHERE _action = '{a}'" for a in ("insert", "update", "unchanged")))
+
+
+def _run_ctes() -> list[tuple[str, str]]:
+    """s1..s3: states after each of three runs; c1..c3: their batches with actions; feed: what they changed."""
+    ctes, feeds, before = [], [], "v0"
+    for run, cut in enumerate(fixed.RUN_CUTS, 1):
+        seen = "last_modified_date" if cut is None else f"least(last_modified_date, {d(cut)})"
+        ctes.append((f"c{run}", f"""SELECT b.*, CASE WHEN t.usecase_id IS NULL THEN 'insert'
+  WHEN b.last_modified_date > t.last_modified_date THEN 'update' ELSE 'unchanged' END AS _action
+FROM (SELECT * REPLACE ({seen} AS last_modified_date, CAST({d(S.as_of)} - {len(fixed.RUN_CUTS) - run} AS DATE) AS processed_date)
+      FROM b_enr) b LEFT JOIN {before} t ON t.usecase_id = b.usecase_id"""))
+        ctes.append((f"s{run}", f"""SELECT {COLS} FROM {before} t
+WHERE NOT EXISTS (SELECT 1 FROM c{run} c WHERE c._action = 'update' AND c.usecase_id = t.usecase_id)
+UNION ALL SELECT {COLS} FROM c{run} WHERE _action <> 'unchanged'"""))
+        feeds.append(f"""SELECT {COLS}, CASE _action WHEN 'insert' THEN 'insert' ELSE 'update_postimage' END AS _change_type,
+  {run} AS run FROM c{run} WHERE _action <> 'unchanged'
+UNION ALL SELECT {COLS}, 'update_preimage', {run} FROM {before} t
+WHERE EXISTS (SELECT 1 FROM c{run} c WHERE c._action = 'update' AND c.usecase_id = t.usecase_id)""")
+        before = f"s{run}"
+    return [*ctes, ("feed", " UNION ALL ".join(feeds))]
+
+
+SQL["change_feed_range"] = _st("SELECT * FROM feed WHERE run > 1", *_run_ctes())
+# the net change from the states themselves: before the first and after the last run
+SQL["change_feed_net"] = _st(f"""SELECT n.*, CASE WHEN o.usecase_id IS NULL THEN 'insert' ELSE 'update_postimage' END
+  AS _change_type, last AS run
+FROM (SELECT {COLS} FROM s3) n JOIN touched USING (usecase_id) LEFT JOIN v0 o USING (usecase_id)
+UNION ALL SELECT o.*, 'update_preimage', first FROM (SELECT {COLS} FROM v0) o JOIN touched USING (usecase_id)""",
+                            *_run_ctes(), ("touched", "SELECT usecase_id, min(run) AS first, max(run) AS last FROM feed GROUP BY 1"))
+SQL["run_properties"] = _st(" UNION ALL ".join(
+    f"""SELECT 'rule' AS primary_model, 'rule' AS confidence_model, 'rule' AS business_label_model, 'v1' AS prompt_version,
+  'incremental' AS pipeline_type, 'gold' AS quality_tier, CAST({'NULL' if cut is None else d(cut)} AS DATE) AS watermark,
+  CAST({d(S.as_of)} - {len(fixed.RUN_CUTS) - run} AS DATE) AS as_of, count(*) AS batch_rows,
+  count(*) FILTER (WHERE _action = 'insert') AS inserted, count(*) FILTER (WHERE _action = 'update') AS updated,
+  {run} AS run FROM c{run}""" for run, cut in enumerate(fixed.RUN_CUTS, 1)), *_run_ctes())
+
+
+# -- answers of earlier runs; the chain on model answers -----------------------------------------
+
+_ASKED = (f"SELECT DISTINCT stage, prompt, last_modified_date <= {d(fixed.CUT_DATE)} AS early FROM ({_prompts_sql()}) "
+          "WHERE prompt IS NOT NULL")
+SQL["infer_cached"] = _enr(f"""SELECT stage, run, count(*) AS asked, count(*) FILTER (WHERE known) AS found,
+  count(*) FILTER (WHERE NOT known) AS sent
+FROM (SELECT stage, prompt, 1 AS run, false AS known FROM prompts WHERE early
+      UNION ALL SELECT stage, prompt, 2, early FROM prompts UNION ALL SELECT stage, prompt, 3, true FROM prompts)
+GROUP BY stage, run""", ("prompts", f"SELECT stage, prompt, bool_or(early) AS early FROM ({_ASKED}) GROUP BY 1, 2"))
+
+
+def _model_sql() -> str:
+    """The five levels on the answers of the stand-in model, spelled out by the length n of a prompt."""
+    from dealscope.settings import (DEFAULT_ACTION, DEFAULT_ASSESSMENT, DIMENSIONS as dims, NO_BLOCKER_DETAILS, NO_CONTEXT,
+                                    NO_IMPLEMENTATION_PLAN, NO_NAME_OR_DESCRIPTION, NO_NEXT_STEPS, NO_SOUNDBYTE,
+                                    NOT_APPLICABLE, UNKNOWN_ACCELERATION, UNKNOWN_BUSINESS_LABEL, UNKNOWN_SLIPPAGE,
+                                    USECASE_TYPES, ZERO_BLOCKERS)
+    n = "CAST({n} AS VARCHAR)"
+    plain = f"CASE WHEN {{n}} % 13 <> 0 THEN 'answer ' || {n} END"
+
+    def closed(labels) -> str:  # the label after the last one is outside the set and counts as none
+        return f"([{', '.join(q(x) for x in labels)}])[{{n}} % {len(labels) + 1} + 1]"
+    scores = " || ', ' || ".join(f"'{x}=' || CAST({{n}} * {i + 1} % 11 AS VARCHAR)" for i, x in enumerate(dims))
+    assessed = (f"CASE WHEN {{n}} % 7 = 0 THEN 'no assessment' ELSE 'CONFIDENCE_SCORE: ' || CAST({{n}} % 21 * 5 AS VARCHAR) || "
+                "chr(10) || 'LEVEL: ' || CASE {n} % 3 WHEN 0 THEN 'High' WHEN 1 THEN 'Medium' ELSE 'Low' END || chr(10) || "
+                f"'RATIONALE: a prompt of ' || {n} || ' characters.' || chr(10) || 'DIMENSION_SCORES: ' || {scores} END")
+    action = (f"'NEXT_BEST_ACTION: call ' || {n} || chr(10) || 'RATIONALE: ' || CAST({{n}} % 10 AS VARCHAR) || ' reasons.'")
+    blocked = "'There are ' || CAST(num_of_blockers AS VARCHAR) || ' blockers. ' || {a}"
+    no_blockers = f"CASE WHEN num_of_blockers = 0 THEN {q(ZERO_BLOCKERS)} ELSE {q(NO_BLOCKER_DETAILS)} END"
+    # stage -> answer by n, default, wrapping, value where the guard is false
+    stages = [
+        {"context": (plain, None, "{a}", q(NO_CONTEXT)), "next_steps_summary": (plain, None, "{a}", q(NO_NEXT_STEPS)),
+         "implementation_notes_summary": (plain, None, "{a}", q(NO_IMPLEMENTATION_PLAN)),
+         "blockers_summary": (plain, None, blocked, no_blockers),
+         "usecase_type": (closed(USECASE_TYPES), "Other", "{a}", "'Other'"),
+         "business_usecase_type": (plain, UNKNOWN_BUSINESS_LABEL, "{a}", "NULL")},
+        {"one_liner": (plain, None, "{a}", q(NO_NAME_OR_DESCRIPTION))},
+        {"soundbyte": (plain, NO_SOUNDBYTE, "{a}", "NULL"),
+         "ai_confidence_score_advanced": (assessed, DEFAULT_ASSESSMENT, "{a}", "NULL")},
+        {"next_best_action_recommendation": (action, DEFAULT_ACTION, "{a}", "NULL")},
+        {"slippage_category": (closed(SLIPPAGE_LABELS), UNKNOWN_SLIPPAGE, "{a}", q(NOT_APPLICABLE)),
+         "accel_category": (closed(ACCELERATION_LABELS), UNKNOWN_ACCELERATION, "{a}", q(NOT_APPLICABLE))}]
+    prompts, parse = _prompts(), dict(enriched_ctes(S))
+    ctes, source = [], "ex"
+    for level, named in enumerate(stages, 1):
+        if level == 4:  # the assessment is parsed and normalised natively
+            ctes += [("m_p", parse["p"].replace("FROM l3", f"FROM {source}")), ("m_pn", parse["pn"].replace("FROM p", "FROM m_p"))]
+            source = "m_pn"
+        if level == 5:
+            ctes.append(("m_flags", f"""SELECT *, COALESCE(confidence_level_normalized = 'Medium', false) AS likely_to_slip,
+  COALESCE(confidence_level_normalized IN ('Medium', 'High'), false) AS can_be_accelerated FROM {source}"""))
+            source = "m_flags"
+        asked = ", ".join(f"CASE WHEN {prompts[k][0]} THEN {prompts[k][1]} END AS _p_{k}" for k in named)
+        ctes.append((f"m{level}_asked", f"SELECT *, {asked} FROM {source}"))
+        done = []
+        for k, (answer, default, wrap, otherwise) in named.items():
+            a = f"CASE WHEN length(_p_{k}) % 29 <> 0 THEN {answer.format(n=f'length(_p_{k})')} END"
+            a = f"({a})" if default is None else f"COALESCE({a}, {q(default)})"
+            done.append(f"CASE WHEN {prompts[k][0]} THEN {wrap.format(a=a)} ELSE {otherwise} END AS {k}")
+        ctes.append((f"m{level}", f"SELECT *, {', '.join(done)} FROM m{level}_asked"))
+        source = f"m{level}"
+    columns = ", ".join(f"{d(S.as_of)} AS processed_date" if c == "processed_date" else c for c in fixed.ENRICHED_COLUMNS)
+    return _uc(f"SELECT {columns} FROM {source}", _EX, *ctes)
+
+
+SQL["enriched_by_model"] = _model_sql()

@@ -76,7 +76,7 @@ def test_callable_backend_one_python_pass_per_level(spark):
     stages = [Stage("x", F.col("p"), F.lit(""), default="d"), Stage("y", F.col("q"), F.lit(""), default="d")]
     out = apply_level(df, "k", stages, backend=lambda ps: [p + "!" for p in ps])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInPandas") <= 1 or "Scan ExistingRDD" in plan  # answers are checkpointed
+    assert "MapInPandas" not in plan and "ExistingRDD" in plan  # the answers are checkpointed, never asked again
     assert {r["x"] + r["y"] for r in out.collect()} == {"a!b!"}
 
 
@@ -157,3 +157,76 @@ def test_labels_are_closed_and_options_reach_the_model(spark):
               Stage("b", F.col("p"), F.lit(""), options=(("max_tokens", 5),))]
     got = {r["k"]: (r["a"], r["b"]) for r in apply_level(df, "k", stages, backend=inf.takes_options(model)).collect()}
     assert got == {"1": ("red", "red5"), "2": ("none", "blue5")}
+
+
+def test_answers_of_earlier_runs_are_not_asked_again(spark, tmp_dir):
+    log = f"{tmp_dir}/calls.txt"
+    open(log, "w").close()
+    calls = lambda: open(log).read().splitlines()
+    df = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", None), ("4", "boom"), ("5", "b")], "k string, p string")
+    prompts, path = {"s": F.col("p")}, f"{tmp_dir}/answers"
+
+    def run(rows, version="v1", model="m", **more):
+        cache = inf.AnswerCache(spark, path, model, version)
+        return {r["k"]: (r["answer"], r["failed"]) for r in
+                inf.infer_long(rows, "k", prompts, Recorder(log, fail_on="boom"), cache=cache, **more).collect()}
+
+    first = run(df)
+    assert first == {"1": ("ANS:a", False), "2": ("ANS:a", False), "3": (None, False), "4": (None, True), "5": ("ANS:b", False)}
+    n = len(calls())
+    # a second run asks the failed prompt only, a later one with a new prompt asks that too
+    assert run(df) == first and set(calls()[n:]) == {"boom"}
+    n = len(calls())
+    more = run(df.where("p <> 'boom' or p is null").union(spark.createDataFrame([("6", "c")], "k string, p string")))
+    assert more["6"] == ("ANS:c", False) and more["1"] == ("ANS:a", False) and calls()[n:] == ["c"]
+    n = len(calls())
+    assert run(df.where("p = 'a'"))["1"] == ("ANS:a", False) and len(calls()) == n
+    # another model, another wording and other options are other questions
+    run(df.where("p = 'a'"), model="other")
+    run(df.where("p = 'a'"), version="v2")
+    run(df.where("p = 'a'"), options={"s": {"max_tokens": 5}})
+    assert calls()[n:] == ["a"] * 3
+    # an append that happened twice changes no look-up
+    cache = inf.AnswerCache(spark, path, "m", "v1")
+    known = sorted(map(tuple, cache.known().collect()))
+    stored = spark.read.parquet(path).where("model = 'm' and prompt_version = 'v1'").collect()
+    spark.createDataFrame(stored, cache.SCHEMA).write.mode("append").partitionBy("model", "prompt_version").parquet(path)
+    assert sorted(map(tuple, cache.known().collect())) == known
+
+
+def test_answers_are_stored_before_a_limit_stops_the_run(spark, tmp_dir):
+    df = spark.createDataFrame([("1", "a"), ("2", "boom")], "k string, p string")
+    cache = inf.AnswerCache(spark, f"{tmp_dir}/answers", "m", "v1")
+    with pytest.raises(RuntimeError, match="1 of 2"):
+        inf.infer_long(df, "k", {"s": F.col("p")}, Recorder(f"{tmp_dir}/log", fail_on="boom"), cache=cache, max_failure_rate=0.1)
+    assert [r.answer for r in cache.known().collect()] == ["ANS:a"]
+
+
+def test_stages_carry_the_options_of_their_calls():
+    options = {s.name: dict(s.options) for s in en.all_stages(en.DEFAULT) if s.options}
+    answers = {"max_tokens": 200, "temperature": 0.0, "top_p": 0.1}
+    assert options == {"business_usecase_type": {"max_tokens": 20, "temperature": 0.0},
+                       "ai_confidence_score_advanced": answers, "next_best_action_recommendation": answers}
+
+
+def test_urgency_input_of_the_full_refresh(spark):
+    from dataclasses import replace
+    s = replace(en.DEFAULT, urgency_input=True)
+    rows = [("1", "High"), ("2", " Low "), ("3", " "), ("4", None)]
+    df = spark.createDataFrame(rows, "usecase_id string, timeline_urgency string").selectExpr(
+        "*", "'abcd' next_steps_summary", "'c' context", "'i' implementation_notes_summary", "'x' competition_string",
+        "0L num_of_blockers", "'o' one_liner", "'b' blockers_summary")
+    got = {r[0]: r[1] for r in df.select("usecase_id", en.rule_dimensions(s)["Urgency"]).collect()}
+    assert got == {"1": 9, "2": 4, "3": 4, "4": 4}  # at least the length rule's 4 % 11
+    prompts = {r[0]: r[1] for r in df.select("usecase_id", en.assessment_stage(s).prompt).collect()}
+    assert prompts["1"].endswith("\nTimeline urgency: High") and prompts["3"].endswith("urgency: none")
+    assert "urgency" not in df.select(en.assessment_stage(en.DEFAULT).prompt).first()[0].split("dimensions")[1].split("\n", 1)[1]
+
+
+def test_a_description_alone_gets_a_business_label(spark):
+    df = spark.createDataFrame([("1", None, "nightly billing reports"), ("2", " ", None)],
+                               "usecase_id string, usecase_name string, usecase_description string") \
+        .withColumn("industry_imperative", F.lit(None).cast("string"))
+    stage = en.business_label_stage(en.DEFAULT)
+    got = {r[0]: r[1] for r in df.select("usecase_id", stage.finish(stage.rule)).collect()}
+    assert got == {"1": "nightly billing reports for general", "2": en.UNKNOWN_BUSINESS_LABEL}
