@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that a Python helper handles at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 #: The C library of this process; glibc alone has malloc_trim.
 _LIBC = ctypes.CDLL(None)
 
@@ -98,11 +99,15 @@ def row_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: i
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int | None = None) -> Iterator[pa.RecordBatch]:
     """Slices of bounded text (see ``row_slices``) in which nulls in ``column`` are '' and its type is large_string."""
-    for batch in row_slices(batches, column, limit):
-        at = batch.schema.get_field_index(column)
-        text = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
-        yield pa.RecordBatch.from_arrays(
-            [text if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+    return row_slices(map(partial(_filled, column=column), batches), column, limit)
+
+
+def _filled(batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
+    # before slicing: some Arrow kernels misread what a cast makes of a sliced array
+    at = batch.schema.get_field_index(column)
+    text = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
+    return pa.RecordBatch.from_arrays(
+        [text if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
 
 def trim() -> None:

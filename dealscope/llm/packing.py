@@ -31,12 +31,15 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
-def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Ids of every document (closed by ``end_id``) with its partition and the tokens before it there."""
+def encode(docs: DataFrame, vocabulary: str, end_id: int, slice_bytes: int | None = None) -> DataFrame:
+    """Ids of every document (closed by ``end_id``) with its partition and the tokens before it there.
+
+    Every distinct chunk of a slice of texts is encoded once, so larger slices cost more memory and less time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, done = word_encoder(vocabulary), common.partition_index(), 0
-        for batch in common.text_slices(batches):
+        for batch in common.text_slices(batches, limit=slice_bytes):
             ids, offsets = encoder.batch(batch.column(1), end_id)
             n = np.diff(offsets)
             yield pa.RecordBatch.from_arrays([

@@ -24,6 +24,8 @@ from dealscope.llm import common
 from dealscope.llm.packing import encode
 
 END_ID = 1
+#: UTF-8 bytes of text that are encoded at a time; one such slice is in a task's memory.
+SLICE_BYTES = 8 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 ORC_OPTIONS = {
     "orc.create.index": "true", "orc.row.index.stride": "2000", "orc.bloom.filter.columns": "doc_id",
@@ -35,7 +37,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
     """Encode every text and write the ids in ascending doc_id order."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     laid = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    encoded = encode(laid, vocabulary or common.tokenizer_path("word_bpe_49k.json"), end_id)
+    encoded = encode(laid, vocabulary or common.tokenizer_path("word_bpe_49k.json"), end_id, SLICE_BYTES)
     encoded.withColumnRenamed("doc_tokens", "n_tokens").write.options(**ORC_OPTIONS).orc(path)
 
 
@@ -55,8 +57,7 @@ def checksums(table: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(3)
-            view = memoryview(np.asarray(ids.flatten(), dtype="<u4").tobytes())
+            view = memoryview(np.asarray(batch.column(3).flatten()).view("<u4")).cast("B")  # the reader's own buffer
             ends = (4 * np.cumsum(np.asarray(batch.column(2)))).tolist()
             crc = [zlib.crc32(view[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())],

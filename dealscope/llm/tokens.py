@@ -94,8 +94,12 @@ class WordEncoder:
         word_offsets = np.asarray(lists.offsets, dtype=np.int64)
         offsets = np.concatenate(([0], done)).astype(np.int64)[word_offsets - word_offsets[0]]
         if end_id is not None:
-            flat = np.insert(flat, offsets[1:], end_id).astype(np.int32)
             offsets = offsets + np.arange(len(offsets))
+            closed = np.empty(len(flat) + len(offsets) - 1, np.int32)
+            own = np.ones(len(closed), bool)
+            own[offsets[1:] - 1] = False
+            closed[own], closed[~own] = flat, end_id
+            flat = closed
         return flat, offsets
 
 

@@ -10,7 +10,8 @@ first, and only n-grams with a scale go to the trainer's task.  Every text is sc
 
 Edge cases: null and empty texts have no n-grams but the padding and get the model's score for that; labels that
 are null or belong to no document are ignored; several labels of a document count once each; with no label, or one
-class only, the score is that class's share (0 without labels); repeated documents are scored per row; an empty
+class only, the score is that class's share (0 without labels); an n-gram in fewer than ``LEAST_TEXTS`` learned texts
+has no scale, so with one or two toxic rows every score is near their share; repeated documents are scored per row; an empty
 table gives no row; other columns are never read.
 """
 
