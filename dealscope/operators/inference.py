@@ -46,15 +46,18 @@ def rule_summarize(content: Column, max_words: int) -> Column:
     def run(w: Column, i: Column) -> Column:
         return F.slice(w, i * RUN + 1, F.lit(RUN))
 
-    def pick(w: Column) -> Column:
+    def chosen(w: Column, lower: Column) -> Column:
         last = F.floor((F.size(w) - 1) / F.lit(RUN)).cast("int")
         scored = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-            (-F.size(F.array_distinct(F.filter(F.transform(run(w, i), F.lower), lambda x: F.length(x) >= 5))))
-            .alias("rank"), i.alias("at")))
+            (-F.size(F.array_distinct(F.filter(run(lower, i), lambda x: F.length(x) >= 5)))).alias("rank"), i.alias("at")))
         best = F.transform(F.slice(F.array_sort(scored), 1, max_words // RUN), lambda r: r["at"])
-        chosen = F.flatten(F.transform(F.array_sort(best), lambda i: run(w, i)))
-        return F.array_join(F.when(F.size(w) <= max_words, w).otherwise(chosen), " ")
-    return bind(words(content), pick)
+        return F.flatten(F.transform(F.array_sort(best), lambda i: run(w, i)))
+
+    def pick(text: Column, w: Column) -> Column:
+        # the whole text is lowered at once, and only where there is more than one run to choose from
+        return F.array_join(F.when(F.size(w) <= max_words, w).otherwise(
+            bind(words(F.lower(text)), lambda lower: chosen(w, lower))), " ")
+    return bind(content, lambda text: bind(words(text), lambda w: pick(text, w)))
 
 
 def rule_classify(content: Column, labels: Sequence[tuple[str, Sequence[str]]]) -> Column:

@@ -104,20 +104,27 @@ def _cnt(cond: Column) -> Column:
 def category_aggregate(view: DataFrame, entity: str, settings: Settings = DEFAULT) -> DataFrame:
     """One pass: per (entity, dim, category) count and value, the KPI
     measures on the ``__all__`` records, and one record per representative
-    column value.  All aggregation buffers are fixed-width (HashAggregate
-    with map-side partial aggregation)."""
+    column value.  The measures' conditions are evaluated once per row and
+    travel on its ``__all__`` record alone, as bits of one number.  All
+    aggregation buffers are fixed-width (HashAggregate with map-side partial
+    aggregation)."""
     measures = _kpi_measures(settings)
-    recs = [F.struct(F.lit(ALL).alias("dim"), F.lit(None).cast("string").alias("category"))]
+    bits = None
+    for i, (cond, _) in enumerate(measures.values()):
+        bit = F.when(cond, F.lit(1 << i)).otherwise(F.lit(0))
+        bits = bit if bits is None else bits + bit
+
+    def record(dim: str, category: Column, flags: Column) -> Column:
+        return F.struct(F.lit(dim).alias("dim"), category.cast("string").alias("category"), flags.alias("flags"))
+
+    recs = [record(ALL, F.lit(None), bits)]
     for name, col, flt, _ in DIMENSIONS:
-        rec = F.struct(F.lit(name).alias("dim"), F.col(col).cast("string").alias("category"))
+        rec = record(name, F.col(col), F.lit(0))
         recs.append(rec if flt is None else F.when(F.col(flt) == F.lit(True), rec))
-    for c in REPRESENTATIVES:
-        recs.append(F.struct(F.lit(_rep_dim(c)).alias("dim"), F.col(c).cast("string").alias("category")))
-    keep = [entity, VALUE, "snapshot_date"]
-    flags = {f"_m_{n}": c for n, (c, _) in measures.items()}
-    exploded = (view.select(*keep, *[c.alias(n) for n, c in flags.items()],
+    recs += [record(_rep_dim(c), F.col(c), F.lit(0)) for c in REPRESENTATIVES]
+    exploded = (view.select(entity, VALUE, "snapshot_date",
                             F.explode(F.filter(F.array(*recs), lambda r: r.isNotNull())).alias("r"))
-                .select("*", "r.dim", "r.category").drop("r"))
+                .select("*", "r.dim", "r.category", "r.flags").drop("r"))
     is_all = F.col("dim") == ALL
     aggs = [
         F.count(F.lit(1)).alias("n"),
@@ -125,10 +132,11 @@ def category_aggregate(view: DataFrame, entity: str, settings: Settings = DEFAUL
         # representative snapshot date: deterministic min() instead of any_value()
         F.min(F.when(is_all, F.col("snapshot_date"))).alias("snapshot_date"),
     ]
-    for n, (_, with_value) in measures.items():
-        aggs.append(_cnt(is_all & F.col(f"_m_{n}")).alias(f"{n}_n"))
+    for i, (n, (_, with_value)) in enumerate(measures.items()):
+        holds = F.col("flags").bitwiseAND(F.lit(1 << i)) != 0
+        aggs.append(_cnt(holds).alias(f"{n}_n"))
         if with_value:
-            aggs.append(money_sum(is_all & F.col(f"_m_{n}")).alias(f"{n}_value"))
+            aggs.append(money_sum(holds).alias(f"{n}_value"))
     return exploded.groupBy(entity, "dim", "category").agg(*aggs)
 
 
@@ -148,19 +156,6 @@ def ranked_categories(agg: DataFrame, entity: str, top: int = 3) -> DataFrame:
             .where(F.col("rn") <= top))
 
 
-def top_slots(ranked: DataFrame, entity: str, spark: SparkSession, top: int = 3) -> DataFrame:
-    """Pivot ranks 1..top of every dimension into slot columns (one
-    aggregate; descriptions via broadcast look-ups of fixed 10/12 rows)."""
-    slip = slippage_lookup(spark).select(F.col("type").alias("_st"), F.col("description").alias("_sd"))
-    acc = acceleration_lookup(spark).select(F.col("type").alias("_at"), F.col("description").alias("_ad"))
-    r = (ranked
-         .join(F.broadcast(slip), (F.col("dim") == "slippage") & (F.col("category") == F.col("_st")), "left")
-         .join(F.broadcast(acc), (F.col("dim") == "accel") & (F.col("category") == F.col("_at")), "left")
-         .withColumn("description", F.coalesce(F.col("_sd"), F.col("_ad"))))
-
-    return r.groupBy(entity).agg(*_slot_aggs())
-
-
 _SLOT_AGGS: dict = {}
 
 

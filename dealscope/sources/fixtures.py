@@ -160,6 +160,16 @@ def materialized(spark: SparkSession, name: str, key: tuple, build, partition_co
     return _cached(spark, ("materialized", path), get)
 
 
+def drop_derived(spark: SparkSession) -> None:
+    """Delete the derived tables, and the tables and answers that registered runs wrote, from the shared folder.
+    Call it when no query over them is read any more; the next query derives what it needs again."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in ("dealscope-tables", "dealscope-runs"):
+        path = jpath(f"{shared_root(spark)}/{folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _CACHE.clear()
+
+
 def usecases(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
     """The source fact table, one row per use case (key ``usecase_id``),
     derived once per state of the test tables and stored as a table clustered by

@@ -22,8 +22,10 @@ from pyspark.sql.types import StructType
 from dealscope.operators import enrich as en
 from dealscope.operators import extract as ex
 from dealscope.operators import upsert as up
+from dealscope.plans.incremental import run_properties
 from dealscope.session import ensure_checkpoint_dir
 from dealscope.settings import DEFAULT, Settings
+from dealscope.sources.bucketed import BucketedTable
 from dealscope.sources.target import VersionedTable, conform
 
 
@@ -44,6 +46,8 @@ def process_batch(batch: DataFrame, table: VersionedTable, settings: Settings =
     enriched = enriched.checkpoint(eager=True)  # paid once; read by both branches of the upsert
     if enriched.isEmpty():
         return version
+    if isinstance(table, BucketedTable):  # touched buckets only
+        return table.merge(enriched, version, run_properties(settings, None, "stream")).version
     return table.write_next(up.upsert(table.read(version), enriched), expected_version=version)
 
 

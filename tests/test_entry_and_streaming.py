@@ -3,6 +3,8 @@
 import datetime as dt
 import re
 
+import pytest
+
 import __spark_entry__ as E
 from dealscope.operators import clustering as cl
 from dealscope.settings import Settings
@@ -33,10 +35,12 @@ def test_top_words_and_small_sweep(spark):
     assert [r["k"] for r in sweep] == [2, 3]
 
 
-def test_streaming_available_now(spark, tmp_dir):
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_streaming_available_now(spark, tmp_dir, bucketed):
     from pyspark.sql import functions as F
 
     from dealscope.sources import fixtures as fx
+    from dealscope.sources.bucketed import BucketedTable
     from dealscope.sources.target import VersionedTable
     from dealscope.streaming.incremental_stream import start
 
@@ -44,7 +48,7 @@ def test_streaming_available_now(spark, tmp_dir):
     src = fx.usecases(spark, SF, s)
     landing = f"{tmp_dir}/landing"
     src.where(F.col("usecase_id").cast("long") % 2 == 0).write.parquet(landing + "/part1")
-    table = VersionedTable(spark, f"{tmp_dir}/target")
+    table = (BucketedTable if bucketed else VersionedTable)(spark, f"{tmp_dir}/target")
     q = start(spark, landing + "/part1", src.schema, table, checkpoint_location=f"{tmp_dir}/ckpt", settings=s)
     q.awaitTermination(300)
     v = table.current_version()
