@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that a Python helper handles at a time.
 SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch between executor and Python worker, and Spark's setting for it with its default.
+ARROW_BYTES = 8 << 20
+ARROW_KEY, ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: The C library of this process; glibc alone has malloc_trim.
 _LIBC = ctypes.CDLL(None)
 
@@ -34,7 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in batches of about ARROW_BYTES, unless the session names another size itself.
+
+    Spark's default is 64 MB a batch, which executor and worker hold several times over."""
+    if spark.conf.get(ARROW_KEY) == ARROW_DEFAULT:
+        spark.conf.set(ARROW_KEY, str(ARROW_BYTES))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
+    bound_batches(spark)
     return f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
@@ -53,6 +65,7 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
