@@ -59,3 +59,18 @@ def test_a_converged_clustering_is_a_fixpoint(spark, labels):
         far = [sum((a - b) ** 2 for a, b in zip(r.x, centre)) for centre in centres]
         assert far[r.prediction] <= min(far) + 1e-9
     feats.unpersist()
+
+
+def test_named_rows_names_the_clusters_too(spark, monkeypatch):
+    """The query fits the clusters; their names and sizes are flags, the category's are values."""
+    from dealscope.plans import queries
+    rows = [(str(i), "BI" if i % 2 else "ETL", f"{WORDS[i % 8]} {WORDS[i // 4]}") for i in range(40)] + [("x", "BI", None)]
+    view = spark.createDataFrame(rows, "usecase_id string, usecase_type string, business_usecase_type string")
+    fitted = []
+    monkeypatch.setattr(queries, "_labels_view", lambda *_: view)
+    monkeypatch.setattr(cl, "fit_clusters", lambda feats, k, *a, f=cl.fit_clusters: fitted.append(k) or f(feats, k, *a))
+    got = queries.named_rows(spark, "").collect()
+    assert fitted == [queries.CLUSTER_K]
+    assert sorted(r.usecase_id for r in got) == sorted(str(i) for i in range(40))
+    assert all(r.size_ok and r.named and r.usecase_count == 20 for r in got)
+    assert {r.usecase_type for r in got} == {"BI", "ETL"} and len({r.category_name for r in got}) == 2
