@@ -31,10 +31,13 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
-def encode(docs: DataFrame, vocabulary: str, end_id: int, slice_bytes: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, end_id: int, slice_bytes: int | None = None,
+           as_bytes: bool = False) -> DataFrame:
     """Ids of every document (closed by ``end_id``) with its partition and the tokens before it there.
 
-    Every distinct chunk of a slice of texts is encoded once, so larger slices cost more memory and less time.
+    With ``as_bytes`` the ids are little-endian 32-bit integers in one binary value: executors then copy them whole,
+    where a list's readers and writers hold its levels and numbers once more and in ever larger arrays.  Every distinct
+    chunk of a slice of texts is encoded once, so larger slices cost more memory and less time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,24 +45,37 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int, slice_bytes: int | Non
         for batch in common.text_slices(batches, limit=slice_bytes):
             ids, offsets = encoder.batch(batch.column(1), end_id)
             n = np.diff(offsets)
+            if as_bytes:
+                ends = pa.py_buffer((4 * offsets).astype(np.int32))
+                column = pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(ids.astype("<i4", copy=False))])
+            else:
+                column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(done + offsets[:-1]),
-                pa.array(n), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
+                pa.array(n), column],
                 names=["doc_id", "part", "local_start", "doc_tokens", "ids"])
             done += int(offsets[-1])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ENCODED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, ENCODED.replace("array<int>", "binary") if as_bytes else ENCODED)
+
+
+def _held(column: pa.Array) -> memoryview:
+    """Bytes of all values of a binary column, one after the other, in the reader's own buffer."""
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], wide)[column.offset:column.offset + len(column) + 1]
+    return memoryview(column.buffers()[2])[ends[0]:ends[-1]]
 
 
 def cut(encoded: DataFrame, window: int, with_ids: bool) -> DataFrame:
-    """Pieces of documents that know their global ``start``."""
+    """Pieces of documents that know their global ``start``; their ids are bytes (see ``encode``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             begin, n = np.asarray(batch.column(1)), np.asarray(batch.column(2))
-            ids = np.asarray(batch.column(3).flatten(), dtype="<u4")
+            view = _held(batch.column(3))
             first = np.cumsum(n) - n
             pieces = (begin + n - 1) // window - begin // window + 1
             row = np.repeat(np.arange(len(n)), pieces)
@@ -67,7 +83,7 @@ def cut(encoded: DataFrame, window: int, with_ids: bool) -> DataFrame:
             sequence = begin[row] // window + number
             start = np.maximum(sequence * window - begin[row], 0)
             length = np.minimum((sequence + 1) * window - begin[row], n[row]) - start
-            view, at = memoryview(ids.tobytes()), first[row] + start
+            at = first[row] + start
             crc = np.fromiter((zlib.crc32(view[4 * a:4 * (a + k)]) for a, k in zip(at.tolist(), length.tolist(),
                                                                                   strict=True)), np.int64, len(row))
             columns = [batch.column(0).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(crc),
@@ -75,9 +91,11 @@ def cut(encoded: DataFrame, window: int, with_ids: bool) -> DataFrame:
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if with_ids:  # pieces of a document follow each other, so their ids do too
                 cuts = np.concatenate((at, at[-1:] + length[-1:])).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids.astype(np.int32))))
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(view, "<i4"))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+            del batch, view, columns
+            common.trim()
 
     return encoded.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(
         run, PIECES + (", ids array<int>" if with_ids else ""))
@@ -90,8 +108,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID, w
     Sequence k holds the ids [k * window, (k + 1) * window) of the concatenation; only the last may be short.
     With ``with_ids`` every piece carries its ids.
     """
-    encoded = common.materialise(encode(docs, vocabulary or common.tokenizer_path("word_bpe_49k.json"), end_id),
-                                 "pack")
+    encoded = common.materialise(encode(docs, vocabulary or common.tokenizer_path("word_bpe_49k.json"), end_id,
+                                        as_bytes=True), "pack")
     return cut(common.add_global_start(encoded, "doc_tokens"), window, with_ids)
 
 

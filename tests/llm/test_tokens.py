@@ -59,6 +59,21 @@ def test_packing_round_trip(spark, library):
     assert all(len(s.input_ids) == 64 for s in seqs) and sum(s.n_tokens for s in seqs) == sum(map(len, whole.values()))
 
 
+def test_ids_travel_as_bytes(spark):
+    """Between its passes packing keeps ids as bytes: the same ids as the list form, for every text."""
+    path = common.tokenizer_path("word_bpe_49k.json")
+    docs = frame(spark, ODD).coalesce(1)
+    lists = {r.doc_id: r.ids for r in packing.encode(docs, path, 2).collect()}
+    encoded = packing.encode(docs, path, 2, slice_bytes=50, as_bytes=True)
+    assert dict(encoded.dtypes)["ids"] == "binary"
+    held = {r.doc_id: memoryview(bytes(r.ids)).cast("i").tolist() for r in encoded.collect()}
+    assert held == lists and len(held) == len(ODD)
+    pieces = packing.cut(encoded.withColumnRenamed("local_start", "start"), 64, with_ids=True).collect()
+    for i, ids in lists.items():
+        own = sorted((r.start, r.ids) for r in pieces if r.doc_id == i)
+        assert [x for _, part in own for x in part] == ids
+
+
 def test_packing_empty_table(spark):
     assert packing.pack(frame(spark, ODD).limit(0)).count() == 0
 
