@@ -14,6 +14,7 @@ are written before the version is committed and count only with it.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import astuple, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealscope.operators import upsert as up
-from dealscope.session import ensure_checkpoint_dir
+from dealscope.session import freed_shuffles
 from dealscope.sources.target import VersionedTable, conform
 
 BUCKETS = 64
@@ -130,14 +131,25 @@ class BucketedTable(VersionedTable):
         an insert or update are written again, whole, into the new version.
         ``before_commit(version)`` is called when all files are written and
         nothing counts yet; what it raises leaves the table as it was.
+        The classified batch lies in a folder of its own while the merge runs.
         """
-        ensure_checkpoint_dir(self.spark)
+        work = f"{self.path}/work/{uuid.uuid4().hex}"
+        try:
+            with freed_shuffles(self.spark):
+                return self._merge(batch, work, expected_version, properties, before_commit)
+        finally:
+            self._fs().delete(self._path(work), True)
+
+    def _merge(self, batch: DataFrame, work: str, expected_version: int | None, properties: RunProperties | None,
+               before_commit) -> MergeResult:
         current = self._expected(expected_version)
         rows = conform(batch, self.schema).withColumn("bucket", self.bucket())
         read = sorted(r.bucket for r in rows.select("bucket").distinct().collect())  # at most ``buckets`` numbers
         target = self.read_buckets(current, read)
-        # batch-sized, read several times below
-        classified = up.classify_batch(target, rows, self.key, self.date_col).checkpoint(eager=True)
+        # batch-sized, read several times below; a column that a reader does not need is not read
+        found = up.classify_batch(target, rows, self.key, self.date_col)
+        self._write(found, work)
+        classified = self.spark.read.schema(found.schema).parquet(work)
         counts = {r["_action"]: r["count"] for r in classified.groupBy("_action").count().collect()}
         winners = classified.where(F.col("_action") != "unchanged")
         written = sorted(r.bucket for r in winners.select("bucket").distinct().collect())
