@@ -6,8 +6,10 @@ Documents with equal shingle sets form one class, and only classes are compared.
    The counts are kept as a table of fixed size (one level per hash cell, the largest of the cell), which only
    fixes an order of all shingles from rare to frequent; any table gives the same result.
 2. A second pass takes each class's prefix in that order: two sets with a similarity of at least ``percent`` share
-   a shingle among their first n - ceil(percent * n / 100) + 1.  Grouped by shingle these give candidate groups;
-   sizes that differ too much separate a group.
+   at least k shingles among their first n - ceil(percent * n / 100) + k, where k is that of the smaller set.  Grouped
+   by shingle these give candidate groups; sizes that differ too much separate a group.  The pairs of a small group are
+   counted over all shingles, and those with too few are no candidates: unrelated long texts share a shingle or two by
+   chance, the more the larger the corpus, and would grow together into one component.  A large group is one star.
 3. The candidate groups' components are the blocks of the matrix product.  A block's shingle sets are brought
    together, the product of the block's document-by-shingle incidence with its transpose accumulates the overlaps,
    and overlaps below the bound that the two sizes imply are discarded.  A large component
@@ -25,6 +27,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,13 @@ BLOCK = 1_000_000
 #: A component of n entries is dealt into sqrt(n / UNIT) chunks or more: every set is sent once per chunk, and every
 #: pair of chunks is a task of its own, so both the copies and the largest task grow with the root of its size.
 UNIT = 4096
+#: Classes of a candidate group whose pairs are counted one by one.
+GROUP = 8
+#: A set of n shingles has n // SHARE more in its prefix, and half as many are asked of a pair (collisions of the
+#: shortened hashes may hide a few).
+SHARE = 32
+#: Shingle entries that the blocks of one round hold, at most, or as many as all sets have.
+ROUND = 1 << 28
 #: Bytes of text per hash bucket of the two grouping steps.
 BUCKET_BYTES = 1 << 25
 
@@ -130,11 +140,17 @@ def frequency_table(counted: DataFrame, bits: int) -> np.ndarray:
 
 
 def prefix_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
-    return n - (percent * n + 99) // 100 + 1
+    return np.minimum(n, n - (percent * n + 99) // 100 + 1 + n // SHARE)
+
+
+def shared_least(n: np.ndarray | int) -> np.ndarray | int:
+    """Shingles that the prefixes of two similar sets surely share; n: size of the smaller set."""
+    return 1 + n // (2 * SHARE)
 
 
 def candidate_edges(texts: DataFrame, cells: np.ndarray, words: int, percent: int, bits: int) -> DataFrame:
-    """u, v: classes that share a shingle of both prefixes, as stars around the smallest set of each run."""
+    """u, v: classes that share enough shingles of both prefixes, or a shingle that many do (as stars around the smallest
+    set of each such run)."""
     shared = texts.sparkSession.sparkContext.broadcast(cells)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,16 +194,33 @@ def candidate_edges(texts: DataFrame, cells: np.ndarray, words: int, percent: in
         order = order[same | np.append(same[1:], False)]  # shingles of one document link nothing
         order = order[np.lexsort((owner[order], size[order], low[order]))]
         low, owner, size = low[order], owner[order], size[order]
+        # a class comes once per task that holds a text of it
+        once = np.concatenate(([True], (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])))[:len(low)]
+        low, owner, size = low[once], owner[once], size[once]
         if not len(low):
-            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("u", "v", "least", "hits")})
         # a run ends where the shingle does, or where the next set is too large for all before it
         begins = np.concatenate(([True], (low[1:] != low[:-1]) | (percent * size[1:] > 100 * size[:-1])))
-        hub = owner[np.flatnonzero(begins)][np.cumsum(begins) - 1]
-        pairs = np.unique(np.stack([hub, owner], 1)[hub != owner], axis=0)
-        return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
+        run = np.cumsum(begins) - 1
+        small = np.bincount(run)[run] <= GROUP
+        hub = owner[np.flatnonzero(begins)][run]
+        stars = np.unique(np.stack([hub, owner], 1)[~small & (hub != owner)], axis=0)
+        parts = [(stars[:, 0], stars[:, 1], np.ones(len(stars), np.int64))]
+        for step in range(1, GROUP):
+            i = np.flatnonzero(small[:-step] & (run[:-step] == run[step:]) &
+                               (percent * size[step:] <= 100 * size[:-step]))
+            parts.append((owner[i], owner[i + step], shared_least(size[i])))
+        u, v, least = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((least, v, u))
+        u, v, least = u[order], v[order], least[order]
+        new = np.flatnonzero(np.concatenate(([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])))[:len(u)])
+        return pa.table({"u": pa.array(u[new]), "v": pa.array(v[new]), "least": pa.array(least[new]),
+                         "hits": pa.array(np.diff(np.append(new, len(u))))})
 
     return texts.mapInArrow(send, "bucket int, shingles binary, owners binary, sizes binary") \
-        .groupBy("bucket").applyInArrow(link, "u long, v long").distinct()
+        .groupBy("bucket").applyInArrow(link, "u long, v long, least long, hits long") \
+        .groupBy("u", "v").agg(F.sum("hits").alias("hits"), F.min("least").alias("least")) \
+        .where("hits >= least").select("u", "v")
 
 
 def _plain(ids: pa.Array) -> np.ndarray:
@@ -299,7 +332,7 @@ def class_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, wor
     """u, v: linked classes, as spanning forests of the blocks."""
     members = common.materialise(
         components(candidates).withColumnRenamed("node", "class").join(classes, "class"), "members")
-    totals = members.groupBy("component").agg(F.greatest(
+    totals = members.groupBy("component").agg(F.sum("n").alias("n"), F.greatest(
         F.ceil(F.sum("n") / F.lit(block)), F.ceil(F.sqrt(F.sum("n") / F.lit(UNIT)))).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
@@ -310,12 +343,21 @@ def class_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, wor
         "class", "chunk", "set")
 
     def multiply(key: tuple, table: pa.Table) -> pa.Table:
+        _, once = np.unique(np.asarray(table["class"].combine_chunks()), return_index=True)  # rows may be repeated
+        table = table.take(pa.array(once))
         sets = [np.frombuffer(b, np.uint64) for b in table["set"].to_pylist()]
         links = product_links(table["class"].to_pylist(), sets, np.asarray(table["chunk"].combine_chunks()), percent)
         return pa.table({"u": pa.array([x[0] for x in links], pa.int64()),
                          "v": pa.array([x[1] for x in links], pa.int64())})
 
-    return dealt.groupBy("component", "i", "j").applyInArrow(multiply, "u long, v long")
+    entries = totals.agg(F.sum("n").alias("held"), F.sum(F.col("n") * F.col("chunks")).alias("sent")).first()
+    rounds = max(1, -(-(entries.sent or 0) // max(ROUND, entries.held or 0)))
+    of_round = F.pmod(F.xxhash64("component", "i", "j"), F.lit(rounds))
+    links = [dealt.where(of_round == k).groupBy("component", "i", "j").applyInArrow(multiply, "u long, v long")
+             for k in range(rounds)]
+    if rounds > 1:  # a round's copies go before the next one's are made
+        links = [common.materialise(x, "links") for x in links]
+    return reduce(DataFrame.unionByName, links)
 
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

@@ -1,13 +1,15 @@
 """The n-gram Jaccard join against brute force."""
 
+import os
 import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from dealscope.llm import ngram_join
+from dealscope.llm import common, ngram_join
 from dealscope.llm.components import components
 from dealscope.llm.shingles import Shingler, set_key
 
@@ -127,3 +129,43 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100)}
+
+
+def test_shingles_shared_by_chance_make_no_candidates(spark):
+    random.seed(5)
+    word = lambda: "".join(random.choices("abcdefgh", k=6))
+    passage = [word() for _ in range(14)]
+    texts = [[word() for _ in range(1280)] for _ in range(6)]
+    rows = [(i, " ".join([*w[:600], *passage, *w[600:]])) for i, w in enumerate(texts)]
+    rows.append((9, rows[0][1] + " and one word more"))
+    cells = np.zeros(1 << ngram_join.CELL_BITS, np.uint8)
+    edges = ngram_join.candidate_edges(ngram_join._texts(frame(spark, rows)), cells, 5, 75, 4).collect()
+    near = {set_key(s) for s in Shingler().sets([rows[0][1].encode(), rows[-1][1].encode()])}
+    assert [{e.u, e.v} for e in edges] == [near]
+    assert linked(spark, rows) == brute(rows)
+
+
+def test_groups_of_any_size_and_rounds_against_brute_force(spark, monkeypatch):
+    rows = near_copies(6, groups=4, size=30, own=80)
+    want = brute(rows)
+    monkeypatch.setattr(ngram_join, "ROUND", 1)
+    for group in (1, 8):
+        monkeypatch.setattr(ngram_join, "GROUP", group)
+        assert linked(spark, rows + rows, block=300) == sorted(want + want, key=repr)
+
+
+def test_scratch_tables_give_their_shuffle_files_back(spark):
+    manager = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        files = [d.getPath() for d in manager.localDirs()]
+        return {f for d in files for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before = shuffles()
+    table = common.materialise(spark.range(1000).repartition(4, "id"), "spread")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before
+    assert table.count() == 1000
